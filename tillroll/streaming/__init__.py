@@ -1,0 +1 @@
+"""Nothing streams here: every refresh is a bounded batch run with full overwrite."""
