@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import rules
 from tillroll.operators.joins import join_dimension
 from tillroll.operators.ordering import running_total
-from tillroll.session import materialise
+from tillroll.session import materialise, settled
 
 # The model's input columns, in model order.
 FEATURES = [
@@ -146,9 +146,11 @@ class Lookups(NamedTuple):
 
 def _label_sums(label_rows: Column | None) -> list[Column]:
     """Row count, and count, sum and sum of squares of the label, over the rows whose label
-    may be used. Decimal sums: exact, so independent of the order rows are added in."""
-    usable = F.lit(True) if label_rows is None else label_rows
-    units = F.when(usable, F.col(LABEL).cast("decimal(18,0)"))
+    may be used. Whole numbers: exact, so independent of the order rows are added in (and
+    the sums raise rather than overflow)."""
+    units = F.col(LABEL).cast("bigint")
+    if label_rows is not None:
+        units = F.when(label_rows, units)
     return [
         F.count(F.lit(1)).alias("n"),
         F.count(units).alias("labelled"),
@@ -165,7 +167,7 @@ def _group_table(profile: DataFrame, key: str, prefix: str) -> DataFrame:
     groups = profile.groupBy(key).agg(
         F.sum("labelled").cast("decimal(20,0)").alias("m"),
         F.sum("units").cast("decimal(38,0)").alias("s"),
-        F.sum("squares").cast("decimal(38,0)").alias("ss"),
+        F.sum(F.col("squares").cast("decimal(20,0)")).cast("decimal(38,0)").alias("ss"),
     )
     ranked = running_total(groups.withColumn("one", F.lit(1)), key, "one")
     m, s, ss = F.col("m"), F.col("s"), F.col("ss")
@@ -212,9 +214,10 @@ def _price_cuts(profile: DataFrame) -> DataFrame:
 def build_lookups(profile: DataFrame) -> Lookups:
     """``profile`` holds category_key, brand_key, price_usd and the sums of
     ``_label_sums``, on any grain that is not finer than needed."""
+    brands = _group_table(profile, "brand_key", "brand").drop("brand_std_sales")
     return Lookups(
-        _group_table(profile, "category_key", "category"),
-        _group_table(profile, "brand_key", "brand").drop("brand_std_sales"),
+        settled(_group_table(profile, "category_key", "category"), "category-table"),
+        settled(brands, "brand-table"),
         _price_cuts(profile),
     )
 

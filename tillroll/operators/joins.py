@@ -5,25 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.session import SMALL_BYTES, is_small
+
 #: Rows of one key that a single task may get. 4 million narrow rows are a few hundred MB.
 ROWS_PER_SLICE = 4_000_000
 
-#: Below this estimate Spark's own size check broadcasts the dimension, the fact is not
-#: shuffled and there is nothing to balance.
-BROADCAST_LIMIT = 10 * 1024 * 1024
-
 # Rows without a key match nothing; they are only spread so that no task gets them all.
 _NULL_SLICES = 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate for ``df`` (no job is run); None where it is not on offer."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return None
-
-
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per key. Combined map-side, so a hot key costs one row per map task."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -36,12 +26,12 @@ def join_dimension(
     how: str = "inner",
     counts: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    broadcast_limit: int = SMALL_BYTES,
 ) -> DataFrame:
     """``fact.join(dim, key, how)`` for how in inner, left, left_semi, left_anti.
 
-    A small dimension is left to Spark, which checks its size and broadcasts it. A larger
-    one is joined by shuffle, and a key with more than ``rows_per_slice`` fact rows is cut
+    A small dimension is left to Spark, which checks its size and broadcasts it: the fact
+    is then not shuffled and there is nothing to balance. A larger one is joined by shuffle, and a key with more than ``rows_per_slice`` fact rows is cut
     into slices: its fact rows are spread over ``ceil(n / rows_per_slice)`` slice numbers
     and its dimension rows are repeated once per slice. Keys below the limit keep one
     slice, so the dimension grows by at most ``fact rows / rows_per_slice`` rows.
@@ -56,8 +46,7 @@ def join_dimension(
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported join type: {how}")
-    size = estimated_bytes(dim)
-    if size is not None and size <= broadcast_limit:
+    if is_small(dim, broadcast_limit):
         return fact.join(dim, key, how)
 
     hot = (

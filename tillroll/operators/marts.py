@@ -8,7 +8,7 @@ into DOUBLE in the last projection only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tillroll.functions import numbers as num
@@ -27,6 +27,7 @@ def rounded_mean(total: Column, n: Column, digits: int = 2) -> Column:
 def sales_per_product(fact: DataFrame) -> DataFrame:
     """One row per product (a missing product id is a row too)."""
     return fact.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("rows"),
         F.count("order_id").alias("lines"),
         F.sum("quantity_ordered").alias("units"),
         F.count("quantity_ordered").alias("quantities"),
@@ -102,28 +103,54 @@ def order_analysis(fact: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def category_revenue(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
-    """Distinct orders, units, net revenue, savings and line-weighted rating per category.
+def orders_per_category(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
+    """Distinct orders per category.
 
-    Distinct orders need the order id next to the category, so here the lines themselves
-    meet the dimension, by a join that splits hot products. Spark then groups by
-    (category, order) before it counts, which splits hot categories as well.
+    Needs the order id next to the category, so here the lines themselves meet the
+    dimension: two narrow columns, by a join that splits hot products. Distinct pairs of
+    category and order are built first, which splits hot categories as well.
     """
-    lines = fact.select(
-        "product_id", "order_id", "quantity_ordered", "line_discounted_usd", "line_savings_usd"
-    )
-    dim = products.select("product_id", "category", "avg_rating")
+    lines = fact.select("product_id", "order_id")
+    dim = products.select("product_id", "category")
     return (
         join_dimension(lines, dim, "product_id", **join)
+        .select("category", "order_id")
+        .distinct()
         .groupBy("category")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.sum("quantity_ordered").alias("units_sold"),
-            cents(F.sum("line_discounted_usd")).alias("total_revenue_usd"),
-            cents(F.sum("line_savings_usd")).alias("total_savings_usd"),
-            F.round(F.avg("avg_rating"), 2).alias("avg_rating"),
+        .agg(F.count("order_id").alias("orders"))
+    )
+
+
+def with_orders(per_product: DataFrame, orders: DataFrame) -> GroupedData:
+    """Per-product sums and per-category order counts in one grouping by category: the
+    count rides along as one more row per category, so no join is needed (and a missing
+    category is a group like any other)."""
+    return per_product.unionByName(orders, allowMissingColumns=True).groupBy("category")
+
+
+def category_revenue(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
+    """Distinct orders, units, net revenue, savings and line-weighted rating per category,
+    over lines with a known product."""
+    rating = F.col("avg_rating")
+    per_product = (
+        sales_per_product(fact)
+        .join(products.select("product_id", "category", "avg_rating"), "product_id")
+        .select(
+            "category",
+            "units",
+            "net",
+            "saved",
+            (rating * F.col("rows")).alias("rating_sum"),
+            F.when(rating.isNotNull(), F.col("rows")).alias("rated"),
         )
     )
+    return with_orders(per_product, orders_per_category(fact, products, **join)).agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum("units").alias("units_sold"),
+        cents(F.sum("net")).alias("total_revenue_usd"),
+        cents(F.sum("saved")).alias("total_savings_usd"),
+        rounded_mean(F.sum("rating_sum"), F.sum("rated")).alias("avg_rating"),
+    )
 
 
 def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:

@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import SMALL_BYTES, is_small
 
-def running_total(values: DataFrame, key: str, weight: str, buckets: int = 256) -> DataFrame:
+
+def running_total(
+    values: DataFrame,
+    key: str,
+    weight: str,
+    buckets: int = 256,
+    small_limit: int = SMALL_BYTES,
+) -> DataFrame:
     """Add ``upto``: the sum of ``weight`` over all rows whose ``key`` is at most this one.
 
     ``values`` has one row per distinct key. With weight 1, ``upto`` is the rank of the
     key; with a row count, it is the last position the key takes in the sorted rows.
 
-    A window without partitions would sort all keys in one task. Instead ``buckets`` keys
-    (the smallest by hash, so a fair and repeatable choice) cut the key range into pieces
+    One window over all rows would sort all keys in one task, so that is done only when
+    the keys are few (size checked). Otherwise ``buckets`` keys (the smallest by hash, so a fair and repeatable choice) cut the key range into pieces
     of similar size; ranks are taken inside each piece and shifted by the total of the
     pieces before it. The cuts only decide where the work is done, never the result.
     """
+    if is_small(values, small_limit):
+        so_far = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return values.withColumn("upto", F.sum(weight).over(so_far).cast("bigint"))
+
     cuts = (
         values.select(key)
         .orderBy(F.xxhash64(key), key)
@@ -24,9 +36,12 @@ def running_total(values: DataFrame, key: str, weight: str, buckets: int = 256)
         .agg(F.sort_array(F.collect_list(key)).alias("cuts"))
         .scalar()
     )
+    # coalesce only tells the planner that there is a bucket for every key: it would push a
+    # null check of this expression down to the scan otherwise.
+    bucket = F.size(F.filter("_cuts", lambda cut: cut <= F.col(key)))
     placed = (
         values.withColumn("_cuts", cuts)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda cut: cut <= F.col(key))))
+        .withColumn("_bucket", F.coalesce(bucket, F.lit(0)))
         .drop("_cuts")
     )
     # At most buckets + 1 rows from here on, so an ordered window over all of them is fine.

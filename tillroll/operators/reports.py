@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import rules
-from tillroll.operators.joins import join_dimension
-from tillroll.operators.marts import cents, rounded_mean, sales_per_product
+from tillroll.operators.marts import (
+    cents,
+    orders_per_category,
+    rounded_mean,
+    sales_per_product,
+    with_orders,
+)
 
 
 def overview_kpis(fact: DataFrame) -> DataFrame:
@@ -42,27 +47,38 @@ def revenue_by_category_report(fact: DataFrame, products: DataFrame) -> DataFram
 
 
 def category_breakdown(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
-    """Orders, units, gross revenue and line-weighted averages per category. A missing
-    price, discount or rating counts as 0 in its average."""
-    lines = fact.select("product_id", "order_id", "quantity_ordered", "line_total_usd")
-    dim = products.select(
-        "product_id",
-        "category",
-        F.coalesce("price_usd", F.lit(0)).alias("price_usd"),
-        F.coalesce("discount_pct", F.lit(0)).alias("discount_pct"),
-        F.coalesce("avg_rating", F.lit(0.0)).alias("avg_rating"),
+    """Orders, units, gross revenue and line-weighted averages per category, over lines
+    with a known product. A missing price, discount or rating counts as 0 in its average."""
+
+    def weighted(column: str) -> Column:
+        return F.coalesce(column, F.lit(0)) * F.col("rows")
+
+    per_product = (
+        sales_per_product(fact)
+        .join(
+            products.select("product_id", "category", "price_usd", "discount_pct", "avg_rating"),
+            "product_id",
+        )
+        .select(
+            "category",
+            "rows",
+            "units",
+            "gross",
+            weighted("price_usd").alias("price"),
+            weighted("discount_pct").alias("discount"),
+            weighted("avg_rating").alias("rating"),
+        )
     )
-    every = F.count(F.lit(1))
+    lines = F.sum("rows")
     return (
-        join_dimension(lines, dim, "product_id", **join)
-        .groupBy("category")
+        with_orders(per_product, orders_per_category(fact, products, **join))
         .agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.sum("quantity_ordered").alias("units_sold"),
-            cents(F.sum("line_total_usd")).alias("revenue"),
-            rounded_mean(F.sum("price_usd"), every).alias("avg_price"),
-            rounded_mean(F.sum("discount_pct"), every, 1).alias("avg_discount"),
-            F.round(F.avg("avg_rating"), 2).alias("avg_rating"),
+            F.sum("orders").alias("orders"),
+            F.sum("units").alias("units_sold"),
+            cents(F.sum("gross")).alias("revenue"),
+            rounded_mean(F.sum("price"), lines).alias("avg_price"),
+            rounded_mean(F.sum("discount"), lines, 1).alias("avg_discount"),
+            rounded_mean(F.sum("rating"), lines).alias("avg_rating"),
         )
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category"))
     )

@@ -49,3 +49,27 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: What counts as small: Spark's default limit for broadcasting on its own.
+SMALL_BYTES = 10 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate for ``df`` (no job is run); None where it is not on offer."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+    """Whether the estimate is known and within ``limit``. Unknown counts as large."""
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` itself when it is small by estimate. Otherwise it is written once, which
+    replaces a guess through joins and windows by its true size."""
+    return df if is_small(df) else materialise(df, purpose)
