@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import features as feat
 from tillroll.operators.evaluation import fold_of, is_training_row, regression_metrics
+from tillroll.session import materialise
 from tillroll.sinks.files import write_metrics
 from tillroll.sinks.tables import full_refresh
 from tillroll.sources.tables import reused
@@ -63,6 +64,17 @@ def forecast_features(
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """At least one partition per core: growing trees goes over the rows many times."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def feature_table(fact: DataFrame, products: DataFrame, settings: ForecastSettings) -> DataFrame:
+    """The features written once, so that no fit computes them again."""
+    return spread(materialise(forecast_features(fact, products, settings), "forecast-features"))
+
+
 def split_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -148,7 +160,7 @@ def run_forecast(
     model and metrics files."""
     settings = settings or ForecastSettings()
     spark = fact.sparkSession
-    with reused(forecast_features(fact, products, settings)) as rows:
+    with reused(feature_table(fact, products, settings)) as rows:
         model = train(rows, settings)
         scores = fold_scores(rows, settings)
         metrics = {**evaluate(model, rows), "cv_r2": round(sum(scores) / len(scores), 4)}

@@ -29,7 +29,7 @@ from tillroll.schemas import (
     RAW_PRODUCT,
     as_doubles,
 )
-from tillroll.session import materialise, scratch_dir
+from tillroll.session import scratch_dir
 from tillroll.sinks import files, tables
 from tillroll.sources import landed, paged, snapshots
 
@@ -76,7 +76,7 @@ def _flat(dim: DataFrame) -> DataFrame:
 def ingest_paged_products(spark, sf_dir):
     raw = star.products_raw(spark, sf_dir)
     pages = files.write_pages(raw, scratch_dir(spark, "product-pages"), paged.PAGE_SIZE)
-    return _raw_numbers(paged.read_pages(spark, pages, "products", max_tasks=64))
+    return _raw_numbers(paged.read_pages(spark, pages, "products"))
 
 
 def _raw_numbers(raw: DataFrame, *more: str) -> DataFrame:
@@ -113,9 +113,7 @@ def _cart_numbers(carts: DataFrame) -> DataFrame:
 def ingest_paged_carts(spark, sf_dir):
     carts = star.carts_raw(spark, sf_dir).withColumn("ingest_pos", F.col("id"))
     pages = files.write_pages(carts, scratch_dir(spark, "cart-pages"), CART_PAGE)
-    return _cart_numbers(
-        paged.read_pages(spark, pages, "carts", limit=CART_PAGE, max_tasks=64)
-    )
+    return _cart_numbers(paged.read_pages(spark, pages, "carts", limit=CART_PAGE))
 
 
 @_query
@@ -493,9 +491,7 @@ def _fitted(spark: SparkSession, sf_dir: str):
     """Feature table, model and hold-out metrics, fitted once per session and data set."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
-        rows = materialise(
-            forecast.forecast_features(*_star(spark, sf_dir), FORECAST), "forecast-features"
-        )
+        rows = forecast.feature_table(*_star(spark, sf_dir), FORECAST)
         model = forecast.train(rows, FORECAST)
         _FITTED[key] = (rows, model, forecast.evaluate(model, rows))
     return _FITTED[key]

@@ -24,8 +24,8 @@ from tillroll.schemas import RAW_CART, RAW_PRODUCT, with_position
 Fetcher = Callable[[str, int, int], dict[str, Any]]
 
 PAGE_SIZE = 100
-#: Upper limit of scan tasks; more pages than that share tasks.
-MAX_TASKS = 10_000
+#: Scan tasks per core of the cluster; more pages than that share tasks.
+TASKS_PER_CORE = 4
 _SCHEMAS = {"products": RAW_PRODUCT, "carts": RAW_CART}
 
 
@@ -94,7 +94,7 @@ class _PagedReader(DataSourceReader):
         self.fetch, self.schema = fetch, schema
         self.member = options["member"]
         self.limit = int(options.get("limit", PAGE_SIZE))
-        self.max_tasks = int(options.get("maxtasks", options.get("maxTasks", MAX_TASKS)))
+        self.max_tasks = int(options["maxTasks"])
 
     def partitions(self) -> list[_Pages]:
         total = int(self.fetch(self.member, self.limit, 0)["total"])
@@ -125,14 +125,16 @@ def read_pages(
     fetch: Fetcher,
     member: str,
     limit: int = PAGE_SIZE,
-    max_tasks: int = MAX_TASKS,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """All records of the collection ``member`` ("products" or "carts"), with
     ``ingest_pos`` = position in the collection."""
     if member not in _SCHEMAS:
         raise ValueError(f"unknown collection: {member}")
-    # The source's class travels with the plan, so workers need no installed package.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    # The classes travel with the plan, so workers need neither package installed.
+    fetcher_home = fetch.__module__ if hasattr(fetch, "__name__") else type(fetch).__module__
+    for module in {__name__, with_position.__module__, fetcher_home} - {"__main__"}:
+        cloudpickle.register_pickle_by_value(sys.modules[module])
 
     class PagedRest(DataSource):
         @classmethod
@@ -143,13 +145,13 @@ def read_pages(
             return with_position(_SCHEMAS[self.options["member"]])
 
         def reader(self, schema: T.StructType) -> DataSourceReader:
-            return _PagedReader(fetch, schema, dict(self.options))
+            return _PagedReader(fetch, schema, self.options)
 
     spark.dataSource.register(PagedRest)
     return (
         spark.read.format("paged_rest")
         .option("member", member)
         .option("limit", limit)
-        .option("maxTasks", max_tasks)
+        .option("maxTasks", max_tasks or TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
         .load()
     )
