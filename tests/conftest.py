@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,7 +16,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tillroll-tests")
+    warehouse = tempfile.mkdtemp(prefix="tillroll-warehouse-")
+    session = local_session(8, "tillroll-tests", spark__sql__warehouse__dir=warehouse)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

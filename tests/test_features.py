@@ -172,14 +172,8 @@ def test_leak_free_features(spark, sf_dir):
 def test_whole_job_twice(spark, sf_dir):
     fact, dim = star.order_lines(spark, sf_dir), star.dim_products(spark, sf_dir)
     base = scratch_dir(spark, "job")
-    spark.sql("CREATE DATABASE IF NOT EXISTS forecast_test")
-    spark.sql("DROP TABLE IF EXISTS forecast_test.ml_predictions")
+    spark.sql(f"CREATE DATABASE forecast_test LOCATION '{base}/db'")
     table = "forecast_test.ml_predictions"
-    spark.sql(
-        f"CREATE TABLE {table} (product_id long, category string, predicted_units double, "
-        f"actual_units long, run_date date, mae double, r2_score double) "
-        f"USING parquet LOCATION '{base}/table'"
-    )
     run = forecast.run_forecast(fact, dim, table, base, SMALL, date(2025, 1, 1))
     n = run.predictions.count()
     assert n == feat.training_rows(fact, dim).count()

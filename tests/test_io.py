@@ -164,6 +164,17 @@ def test_ingest_then_analytics(spark, sf_dir):
             assert back.exceptAll(wanted).count() == 0 and back.count() == wanted.count(), name
 
 
+def test_refresh_keeps_the_table_definition(spark):
+    base = scratch_dir(spark, "t")
+    spark.sql(f"CREATE TABLE kept (b string, a long) USING parquet LOCATION '{base}'")
+    for n in (5, 3):
+        rows = spark.range(n).select(F.col("id").alias("a"), F.lit("x").alias("b"))
+        assert tables.full_refresh(rows, "kept").count() == n
+    assert spark.table("kept").columns == ["b", "a"]
+    assert spark.read.parquet(base).count() == 3
+    assert spark.table("kept").agg(F.sum("a")).first()[0] == 3
+
+
 def test_fact_schema(spark, sf_dir):
     from tillroll.operators.orders import flatten_order_lines
 
@@ -174,7 +185,7 @@ def test_fact_schema(spark, sf_dir):
 
 def test_tables_views_and_queries(spark, sf_dir):
     base = scratch_dir(spark, "t")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS analytics LOCATION '{base}'")
+    spark.sql(f"CREATE DATABASE analytics LOCATION '{base}'")
     spark.sql("USE analytics")
     try:
         house = Warehouse(spark)

@@ -5,9 +5,14 @@ from pyspark.sql import DataFrame
 
 def full_refresh(df: DataFrame, table: str) -> DataFrame:
     """Replace the contents of ``table``; running it again changes nothing. Returns the
-    table as it now is."""
-    df.write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+    table as it now is. An existing table keeps its definition and its location."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        columns = spark.table(table).columns
+        df.select(*columns).write.insertInto(table, overwrite=True)
+    else:
+        df.write.saveAsTable(table)
+    return spark.table(table)
 
 
 def full_refresh_path(df: DataFrame, path: str) -> DataFrame:
