@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import rules
-from tillroll.operators.joins import join_dimension
+from tillroll.operators.joins import join_dimension, key_counts
 from tillroll.operators.ordering import running_total
 from tillroll.session import materialise, settled
 
@@ -230,7 +230,10 @@ def attach_lookups(df: DataFrame, lookups: Lookups, **join: int) -> DataFrame:
     """
     keyed = _group_keys(df)
     with_category = join_dimension(keyed, lookups.categories, "category_key", **join)
-    with_brand = join_dimension(with_category, lookups.brands, "brand_key", **join)
+    # Every row has its category and brand there, so counts before the joins still hold.
+    with_brand = join_dimension(
+        with_category, lookups.brands, "brand_key", counts=key_counts(keyed, "brand_key"), **join
+    )
     price = F.col("price_usd").cast("double")
     return (
         with_brand.withColumn("cuts", lookups.price_cuts.scalar())

@@ -43,7 +43,8 @@ def product_lookup(
     result can only involve the first ``limit`` products found, and of their predictions
     only the first ``limit``. So the predictions are filtered by at most ``limit`` ids
     (small enough to broadcast) and never shuffled, however many one product has.
-    ``limit=None`` returns every row.
+    ``limit=None`` returns every row, in no order: sorting would bring all copies of one
+    row together.
     """
     hits = search_products(products, text, wildcards).select(
         "product_id",
@@ -73,7 +74,6 @@ def product_lookup(
             join_dimension(found, hits, "product_id")
             .unionByName(missing, allowMissingColumns=True)
             .select(*hits.columns, "predicted_units", "actual_units")
-            .orderBy(*order)
         )
     predicted, actual = F.col("predicted_units"), F.col("actual_units")
     return joined.withColumns(
