@@ -7,16 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contained_items
+from .packing import pack_documents
+
+
+#: The tokenizer file of the packing queries, among those of the public tokenizers.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 1024 tokens in as few sequences as best fit finds."""
+    return pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds 80 % or more of an item's five-word shingles."""
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_decontamination,)}
+    return {f.__name__: f for f in (op1_packing, op10_decontamination)}
