@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contained_items
+from .jaccard_join import jaccard_components
 from .packing import pack_documents
 
 
@@ -29,10 +30,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of 0.9 of three-word shingles."""
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds 80 % or more of an item's five-word shingles."""
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op10_decontamination)}
