@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .line_cleaning import BOILERPLATE
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,5 +41,46 @@ def op10() -> str:
     """
 
 
+def op7() -> str:
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    phrases = " OR ".join(f"contains(lower(l), '{p}')" for p in BOILERPLATE)
+    count = lambda text, chars: f"(length({text}) - length(translate({text}, '{chars}', '')))"
+    ended = r"regexp_matches(l, '[.!?…:;\"'')\]»”][ \t\r]*$')"
+    fails = f"""
+        ({count("l", "|")} >= 3 AND {count("l", "|")} * 100 >= length(l) * 4)
+        OR {count("l", "#*$%&<>")} * 100 > length(l) * 8
+        OR ({count("l", "!")} >= 4 AND {count("l", "!")} * 100 > length(l) * 8)
+        OR (length(l) >= 400 AND NOT {ended})
+        OR (length(l) <= 200 AND ({phrases}))
+    """
+    chars = lambda text: f"length(translate({text}, {space}, ''))"
+    return f"""
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT r, doc_id, text, {_words("text")} AS w,
+                     list_filter(string_split(text, chr(10)), lambda l: {chars("l")} > 0) AS live
+              FROM t),
+        l AS (SELECT *, list_filter(live, lambda l: NOT ({fails})) AS rest FROM w),
+        places AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM w WHERE len(w) >= 5),
+        windows AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+        twice AS (SELECT r, i FROM (
+            SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM windows) WHERE n > 1),
+        spans AS (SELECT r, least(5, coalesce(
+            lead(i) OVER (PARTITION BY r ORDER BY i) - i, 5)) AS n FROM twice),
+        again AS (SELECT r, sum(n)::BIGINT AS n FROM spans GROUP BY r),
+        counts AS (
+            SELECT doc_id, len(w) AS n_words, {chars("text")} AS word_chars,
+                   {count("text", "#*$%&|<>")} AS n_symbols,
+                   len(live) - len(list_distinct(live)) AS n_dup_lines,
+                   coalesce(again.n, 0) AS n_repeat_words, len(live) AS n_lines,
+                   len(live) - len(rest) AS n_failed_lines,
+                   coalesce({chars("array_to_string(rest, '')")}, 0) AS kept_chars
+            FROM l LEFT JOIN again USING (r)),
+        judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+                   FROM counts)
+        SELECT *, NOT base_failed AND NOT (word_chars - kept_chars) * 100 > word_chars * 50 AS kept
+        FROM judged
+    """
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op10_decontamination": op10()}
+    return {"op7_line_cleaning": op7(), "op10_decontamination": op10()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import contained_items
 from .jaccard_join import jaccard_components
+from .line_cleaning import clean_lines
 from .packing import pack_documents
 
 
@@ -35,10 +36,15 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line rules and text counts of every document, and whether it stays."""
+    return clean_lines(_table(spark, sf_dir, "documents")).drop("cleaned")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds 80 % or more of an item's five-word shingles."""
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op7_line_cleaning, op10_decontamination)}
