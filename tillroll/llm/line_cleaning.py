@@ -44,7 +44,7 @@ class Rules:
     symbol_percent: int = 8  # punctuation: more of # * $ % & < >
     shout_percent: int = 8  # punctuation: more of !
     shouts: int = 4  # ... and at least as many
-    unended: int = 400  # punctuation: this long without an end mark
+    unended: int = 400  # punctuation: this long without any end mark
     notice: int = 200  # boilerplate: notices are no longer
     lost_percent: int = 50  # documents that lose more of their word characters go
     min_words: int = 10
@@ -63,7 +63,7 @@ def line_fails(line: Column, rules: Rules = Rules(), phrases: Sequence[str] = BO
     punctuation = (
         (_count(line, "#*$%&<>") * 100 > size * rules.symbol_percent)
         | ((shouts >= rules.shouts) & (shouts * 100 > size * rules.shout_percent))
-        | ((size >= rules.unended) & ~line.rlike(r"[.!?…:;\"')\]»”][ \t\r]*$"))
+        | ((size >= rules.unended) & ~line.rlike("[.!?…]"))
     )
     boilerplate = F.lit(False)
     low = F.lower(line)
