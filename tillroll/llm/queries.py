@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontaminate import contained_items
 from .jaccard_join import jaccard_components
 from .line_cleaning import clean_lines
 from .packing import pack_documents
+from .secret_scan import KINDS, find_secrets, fit_tagger
 
+from .toxicity import Chain, score_toxicity, train_chain
 
 #: The tokenizer file of the packing queries, among those of the public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,15 +39,48 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and tagged secrets of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    found = find_secrets(docs, fit_tagger(docs))
+    shown = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in KINDS),
+        F.sha2(F.array_join(F.transform(base, shown), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", shown), ",").alias("spans"),
+    )
+
+
 def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line rules and text counts of every document, and whether it stays."""
     return clean_lines(_table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+#: The chain of the label table: first whether a text is junk, then whether it is toxic.
+CATEGORIES = ("junk", "toxic")
+
+
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Chain:
+    labels = _table(spark, sf_dir, "labels")
+    return train_chain(docs, labels.withColumn("junk", 1 - F.col("quality")), CATEGORIES)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of every document and whether it is toxic."""
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, toxicity_chain(spark, docs, sf_dir))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds 80 % or more of an item's five-word shingles."""
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op7_line_cleaning, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op4_secrets, op7_line_cleaning, op8_toxicity, op10_decontamination)}

@@ -104,9 +104,10 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         begin = stop
 
 
-def words(column: pa.Array) -> Words:
+def words(column: pa.Array, inside: np.ndarray = ~_SPACE) -> Words:
+    """The runs of bytes of every text for which ``inside`` (256 flags) holds."""
     data, at = text_buffers(column)
-    inside = ~_SPACE[data]
+    inside = inside[data]
     edge = np.zeros(len(data) + 1, np.int8)  # where a text begins, a word ends
     edge[at] = 1
     before = np.zeros(len(data), bool)
