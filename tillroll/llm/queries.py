@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .context_tree import context_tree_scores
 from .decontaminate import contained_items
 from .jaccard_join import jaccard_components
 from .line_cleaning import clean_lines
@@ -77,10 +78,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, toxicity_chain(spark, docs, sf_dir))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document by token counts and by a context tree."""
+    return context_tree_scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds 80 % or more of an item's five-word shingles."""
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op4_secrets, op7_line_cleaning, op8_toxicity, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op4_secrets, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination)}
