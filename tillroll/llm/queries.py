@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chaining import repeated_passages
 from .context_tree import context_tree_scores
 from .decontaminate import contained_items
 from .jaccard_join import jaccard_components
@@ -35,6 +36,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, edits included."""
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of 0.9 of three-word shingles."""
     return jaccard_components(_table(spark, sf_dir, "documents"))
@@ -89,4 +95,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_ngram_join, op4_secrets, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination)}
