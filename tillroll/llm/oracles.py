@@ -41,6 +41,42 @@ def op10() -> str:
     """
 
 
+def op6() -> str:
+    return """
+        WITH t AS (
+            SELECT conv_id, turn, min(struct_pack(role := coalesce(role, 'user'),
+                                                  text := coalesce(text, ''))) AS said
+            FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+            GROUP BY conv_id, turn),
+        answers AS (
+            SELECT conv_id, max(turn) AS last, arg_max(said.text, turn) AS answer
+            FROM t WHERE said.role = 'assistant' GROUP BY conv_id),
+        swaps AS (
+            SELECT a.conv_id, a.last, b.answer AS other
+            FROM answers a JOIN answers b ON b.conv_id = xor(a.conv_id, 1)),
+        sides AS (
+            SELECT conv_id AS pair_id, turn, said.role AS role, said.text AS chosen,
+                   CASE WHEN turn = last THEN other ELSE said.text END AS rejected
+            FROM t JOIN swaps USING (conv_id) WHERE turn <= last),
+        forks AS (
+            SELECT pair_id, min(turn) FILTER (chosen <> rejected) AS fork FROM sides GROUP BY pair_id),
+        placed AS (
+            SELECT *, fork IS NULL OR turn < fork AS prompt FROM sides JOIN forks USING (pair_id)),
+        parts AS (
+            SELECT pair_id, turn, role, 'prompt' AS section, chosen AS text FROM placed WHERE prompt
+            UNION ALL
+            SELECT pair_id, turn, role, 'chosen', chosen FROM placed WHERE NOT prompt
+            UNION ALL
+            SELECT pair_id, turn, role, 'rejected', rejected FROM placed WHERE NOT prompt),
+        lengths AS (
+            SELECT pair_id, count(*) FILTER (prompt) AS prompt_turns FROM placed GROUP BY pair_id)
+        SELECT pair_id, section, turn,
+               '<|turn|>' || role || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+               prompt_turns, section <> 'prompt' AND role = 'assistant' AS train
+        FROM parts JOIN lengths USING (pair_id)
+    """
+
+
 def op7() -> str:
     space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     phrases = " OR ".join(f"contains(lower(l), '{p}')" for p in BOILERPLATE)
@@ -83,4 +119,4 @@ def op7() -> str:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_line_cleaning": op7(), "op10_decontamination": op10()}
+    return {"op6_preferences": op6(), "op7_line_cleaning": op7(), "op10_decontamination": op10()}

@@ -13,8 +13,10 @@ from .decontaminate import contained_items
 from .jaccard_join import jaccard_components
 from .line_cleaning import clean_lines
 from .packing import pack_documents
+from .preferences import format_preferences, swapped_answers
 from .secret_scan import KINDS, find_secrets, fit_tagger
 
+from .token_output import write_matrix
 from .toxicity import Chain, score_toxicity, train_chain
 
 #: The tokenizer file of the packing queries, among those of the public tokenizers.
@@ -64,6 +66,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the written matrix of all documents, with checksums of ids and positions."""
+    rows = write_matrix(_table(spark, sf_dir, "documents"), _tokenizer())
+    return rows.select(
+        "row_id",
+        "n_tokens",
+        F.crc32("ids").alias("ids_crc32"),
+        "cu_seqlens",
+        F.crc32("positions").alias("positions_crc32"),
+        "doc_ids",
+        "pieces",
+    )
+
+
+def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered turns of preference pairs made from all conversations."""
+    return format_preferences(swapped_answers(_table(spark, sf_dir, "conversations")))
+
+
 def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line rules and text counts of every document, and whether it stays."""
     return clean_lines(_table(spark, sf_dir, "documents")).drop("cleaned")
@@ -95,4 +116,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination)}
