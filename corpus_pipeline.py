@@ -1,23 +1,69 @@
 """Documents to packed training sequences: the stages, in order, and the job that runs them.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet
-below the shared folder, and the next stage reads it back.
+below the shared folder, and the next stage reads it back. All but the last return the
+columns they were given. Rows without text or id pass every filter that finds nothing in them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.llm.decontaminate import without_contained
+from tillroll.llm.jaccard_join import jaccard_components
+from tillroll.llm.packing import pack_documents
+from tillroll.llm.queries import tokenizer_path, toxicity_chain
+from tillroll.llm.secret_scan import fit_tagger, redact_secrets
+from tillroll.llm.toxicity import without_toxic
 from tillroll.session import materialise
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain calls toxic are dropped."""
+    return without_toxic(docs, toxicity_chain(spark, docs, sf_dir))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents (three-word shingles, Jaccard 0.9, as in op3) the one
+    with the smallest id stays. Of rows with the same id and text one stays; a row without
+    words, or without an id, is in no group with other texts and stays."""
+    groups = jaccard_components(docs)
+    leave = (
+        groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
+        .select("doc_id")
+        .distinct()
+    )
+    kept = docs.withColumn("__text", F.xxhash64("text")).join(leave, "doc_id", "left_anti")
+    return kept.dropDuplicates(["doc_id", "__text"]).select(docs.columns)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain 80 % or more of a benchmark item are dropped."""
+    """Documents that contain 80 % or more of a benchmark item's shingles are dropped."""
     return without_contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("decontaminate", decontaminate)]
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; the documents stay, with their new length."""
+    clean = redact_secrets(docs, fit_tagger(docs))
+    if "n_chars" in clean.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.length("text").cast(kind))
+    return clean
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of what is left, with their places in sequences of 1024 tokens."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_join", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
 #: Trained models and a tokenizer decide, which SQL cannot express; see tests/llm.
 ORACLE_SQL = None

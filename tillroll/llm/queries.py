@@ -23,7 +23,7 @@ from .toxicity import Chain, score_toxicity, train_chain
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(TOKENIZER))
@@ -35,7 +35,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of at most 1024 tokens in as few sequences as best fit finds."""
-    return pack_documents(_table(spark, sf_dir, "documents"), _tokenizer())
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the written matrix of all documents, with checksums of ids and positions."""
-    rows = write_matrix(_table(spark, sf_dir, "documents"), _tokenizer())
+    rows = write_matrix(_table(spark, sf_dir, "documents"), tokenizer_path())
     return rows.select(
         "row_id",
         "n_tokens",
