@@ -6,16 +6,18 @@ so a document is one segment per fragment.
 * Candidates: two linked documents differ in at most ``d`` n-grams, so of more than ``d``
   fragments some segment is the same in both. Documents are put into size classes such that
   linked ones lie in the same or in neighbouring classes; each writes the signatures of its
-  segments for its own class and the next. A pair is a candidate when a signature is equal.
+  segments for its own class, and for the next if it is large enough to link with one there.
+  A pair is a candidate when a signature is equal.
 * Count: for a candidate the overlap is counted in each fragment separately and summed.
 
 Nothing is lost, as the only filters are bounds: equal segments, sizes, and a parity bitmap
 whose Hamming distance never exceeds the number of n-grams in which two sets differ.
 
 Copies (equal sets) are one class from the start. A group of equal signatures is never
-expanded into all pairs: its members are first compared with one pivot. Only where the
-links found leave a group in several components, members of different components meet, in
-blocks of bounded size, and what the bitmaps cannot exclude is counted.
+expanded into all pairs: its members are first compared with one pivot. Where the links
+found leave a group in several components, members of different components meet, in blocks
+of bounded size. First only the closest pair of two components is counted, until that links
+nothing more; at last every pair that the bitmaps cannot exclude.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
+from .sieve import sieve
 from .words import distinct, mix, shingles, slices, sums, words
 
 _U = np.uint64
@@ -41,12 +44,16 @@ BLOCK = 256
 SPARE = 2
 
 
+#: Each size class reaches so many times further than the one before.
+CLASS_GROWTH = 1.6
+
+
 def size_classes(percent: int, largest: int) -> np.ndarray:
     """Upper bounds of the size classes: linked sets are at most one class apart."""
-    bounds = [1]
-    while bounds[-1] < largest or len(bounds) < 3:
-        bounds.append(max(bounds[-1] + 1, bounds[-1] * 100 // percent))
-    bounds.append(max(bounds[-1] + 1, bounds[-1] * 100 // percent))
+    bounds, growth = [1], max(CLASS_GROWTH, 100 / percent)
+    while bounds[-1] < largest:
+        bounds.append(max(bounds[-1] + 1, int(bounds[-1] * growth)))
+    bounds.append(max(bounds[-1] + 1, int(bounds[-1] * growth)))
     return np.array(bounds, np.int64)
 
 
@@ -59,9 +66,10 @@ def signatures(
     own = np.searchsorted(bounds, np.maximum(sizes, 1))
     value = mix(hashes ^ _U(0xA5A5A5A5A5A5A5A5))
     found_rows, found = [], []
-    for level in (own, own + 1):
+    reaches = sizes * 100 >= (bounds[own] + 1) * percent  # some larger class
+    for level, some in ((own, sizes > 0), (own + 1, reaches)):
         differ = (100 - percent) * 2 * bounds[level] // (100 + percent)
-        pieces = np.where((differ > 0) & (sizes > 0), differ + 1 + SPARE, 0)
+        pieces = np.where((differ > 0) & some, differ + 1 + SPARE, 0)
         live = pieces[rows] > 0
         r, h, v = rows[live], hashes[live], value[live]
         if not len(r):
@@ -151,8 +159,9 @@ def _profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
 
 
 def _stars(classes: DataFrame) -> DataFrame:
-    """Candidate pairs (a < b) that hold every group of equal signatures together. Groups
-    are first reduced inside each batch, so the shuffle sees one row per signature and batch."""
+    """(signature, a, b) for every class ``b`` with a signature that a class ``a`` has, so
+    that the links hold every group of equal signatures together. Groups are first reduced
+    inside each batch; the shuffle sees one row per signature and batch."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,25 +173,21 @@ def _stars(classes: DataFrame) -> DataFrame:
             new = np.ones(len(sig), bool)
             new[1:] = sig[1:] != sig[:-1]
             pivot = key[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else key
-            edge = np.unique(np.stack([pivot, key])[:, pivot != key], axis=1)
-            for s, a, b in ((sig[new], key[new], None), (None, edge[0], edge[1])):
+            inner = pivot != key
+            for rows, a, b in ((new, None, key), (inner, pivot, key)):
+                ends = [pa.array(sig[rows]), None if a is None else pa.array(a[rows])]
+                ends[1] = pa.nulls(len(ends[0]), pa.int64()) if a is None else ends[1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(a), pa.int64()) if x is None else pa.array(x) for x in (s, a, b)],
-                    ["signature", "a", "b"],
+                    [*ends, pa.array(b[rows])], ["signature", "a", "b"]
                 )
 
-    reduced = materialise(
-        classes.select("key", "signatures").mapInArrow(reduce, "signature long, a long, b long"),
-        "signatures",
+    # read twice, as it is cheaper than to write it
+    reduced = classes.select("key", "signatures").mapInArrow(
+        reduce, "signature long, a long, b long"
     )
     least = F.first("b").over(Window.partitionBy("signature").orderBy("b"))
-    across = reduced.filter("signature is not null").select("signature", F.col("a").alias("b"))
-    return (
-        across.select(least.alias("a"), "b")
-        .unionByName(reduced.filter("b is not null").select("a", "b"))
-        .filter("a <> b")
-        .distinct()
-    )
+    across = reduced.filter("a is null").select("signature", least.alias("a"), "b")
+    return across.unionByName(reduced.filter("a is not null")).filter("a <> b")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -216,10 +221,11 @@ def _links(
     counted in every fragment of the global order and summed per pair."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     wanted = first.join(needed, "key").select("key", "row.doc_id", "row.text_hash")
+    wanted = materialise(wanted, "wanted")
     source = docs.select(
         F.col(doc_id).alias("__id"), F.col(text).alias("text"), F.xxhash64(text).alias("__hash")
     )
-    texts = source.join(
+    texts = sieve(source, F.col("__hash"), wanted, "text_hash").join(
         wanted,
         F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")),
     ).select("key", "text")
@@ -266,7 +272,7 @@ def _links(
 _PAIR = ("a", "b", "size_a", "size_b")
 
 
-def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(links: DataFrame) -> DataFrame:
     """``key`` and ``root`` for every class that has a link."""
     return materialise(components(links), "roots").select(F.col("node").alias("key"), "root")
 
@@ -281,31 +287,40 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     ).drop("root_a", "root_b")
 
 
-def _met_across(classes: DataFrame, open_pairs: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one signature group but different components that bounds don't exclude, for
-    all groups that hold one of ``open_pairs``."""
-    lists = classes.select("key", "signatures")
-    of_pairs = open_pairs.select("a", "b")
-    for end in ("a", "b"):
-        of_pairs = of_pairs.join(
-            lists.select(F.col("key").alias(end), F.col("signatures").alias(f"of_{end}")), end
-        )
-    groups = of_pairs.select(
-        F.explode(F.array_intersect("of_a", "of_b")).alias("signature")
-    ).distinct()
-    members = lists.select("key", F.explode("signatures").alias("signature")).join(groups, "signature")
-    counts = members.groupBy("signature").agg(F.count(F.lit(1)).alias("__n"))
-    blocks = F.ceil(F.col("__n") / BLOCK)
-    side = classes.select("key", "size", "bitmap")
+def _groups(stars: DataFrame) -> DataFrame:
+    """(signature, n, key): the members of every group of three or more. Of groups with the
+    same members one stands for all; groups of two are pairs of stars already."""
+    members = (
+        stars.select("signature", F.explode(F.array("a", "b")).alias("key")).distinct()
+    )
+    same = members.groupBy("signature").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("key").alias("x"), F.sum(F.hash("key")).alias("h")
+    )
+    kept = same.filter("n > 2").groupBy("n", "x", "h").agg(F.min("signature").alias("signature"))
+    return members.join(kept.select("signature", "n"), "signature")
+
+
+def _met_across(
+    groups: DataFrame, small: DataFrame, roots: DataFrame, percent: int, nearest: bool
+) -> DataFrame:
+    """Pairs of one group but different components that bounds don't exclude; with
+    ``nearest`` only, for each component, the pair with another whose bitmaps are closest."""
+    rooted = groups.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = (
+        rooted.groupBy("signature")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("low <> high")
+        .select("signature")
+    )
+    blocks = F.ceil(F.col("n") / BLOCK)
     placed = (
-        members.join(counts, "signature")
-        .join(side, "key")
-        .join(roots, "key", "left")
+        rooted.join(several, "signature", "left_semi")
+        .join(small.select("key", "size", "bitmap"), "key")
         .select(
             "signature",
             blocks.alias("blocks"),
             F.pmod(F.xxhash64("key"), blocks).alias("block"),
-            F.struct("key", F.coalesce("root", "key").alias("root"), "size", "bitmap").alias("m"),
+            F.struct("key", "root", "size", "bitmap").alias("m"),
         )
         .groupBy("signature", "blocks", "block")
         .agg(F.collect_list("m").alias("members"))
@@ -347,24 +362,35 @@ def _met_across(classes: DataFrame, open_pairs: DataFrame, roots: DataFrame, per
                         >= percent * np.maximum(size[p, None], size2[None, q])
                     )
                 )
-                x, y = np.nonzero(fits)
+                if nearest:
+                    cost = np.where(fits, apart, 1 << 40)
+                    x, y = np.arange(len(fits)), np.arange(fits.shape[1])
+                    x = np.concatenate([x, cost.argmin(axis=0)])
+                    y = np.concatenate([cost.argmin(axis=1), y])
+                    x, y = x[fits[x, y]], y[fits[x, y]]
+                else:
+                    x, y = np.nonzero(fits)
+                apart = apart[x, y]
                 x, y = x + at[i], y + at2[i]
                 swap = key[x] > key2[y]
-                out.append(
-                    np.stack(
-                        [
-                            np.where(swap, key2[y], key[x]),
-                            np.where(swap, key[x], key2[y]),
-                            np.where(swap, size2[y], size[x]),
-                            np.where(swap, size[x], size2[y]),
-                        ]
-                    )
-                )
+                pick = lambda u, v: np.where(swap, v[y], u[x])  # noqa: B023, E731
+                flip = lambda u, v: np.where(swap, u[x], v[y])  # noqa: B023, E731
+                pair = [pick(key, key2), flip(key, key2), pick(size, size2), flip(size, size2)]
+                for owner in (root[x], root2[y]) if nearest else (np.zeros_like(apart),):
+                    out.append(np.stack([owner, apart, *pair]))
             if out:
-                found = np.unique(np.concatenate(out, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], list(_PAIR))
+                found = np.concatenate(out, axis=1)
+                found = found[:, np.lexsort(found[::-1])]
+                new = np.ones(found.shape[1], bool)
+                by = found[:1] if nearest else found  # one pair a component, or each pair once
+                new[1:] = (by[:, 1:] != by[:, :-1]).any(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found[:, new]], names)
 
-    return meet.mapInArrow(compare, ", ".join(f"{c} long" for c in _PAIR)).distinct()
+    names = ["root", "apart", *_PAIR]
+    met = meet.mapInArrow(compare, ", ".join(f"{c} long" for c in names))
+    if nearest:
+        met = met.groupBy("root").agg(F.min(F.struct("apart", *_PAIR)).alias("x")).select("x.*")
+    return met.select(*_PAIR).distinct()
 
 
 def jaccard_components(
@@ -396,22 +422,30 @@ def jaccard_components(
         F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("doc_id").alias("least_id")
     )
     first = materialise(first, "classes")
-    classes = described.dropDuplicates(["key"])
-    small = materialise(classes.select("key", "size", "bitmap"), "bitmaps")
+    small = described.select("key", "size", "bitmap").dropDuplicates(["key"])
+    small = materialise(small, "bitmaps")
     stars = materialise(_stars(described), "stars")
-    near = materialise(_bounded(stars, small, percent), "pairs")
+    near = materialise(_bounded(stars.select("a", "b").distinct(), small, percent), "pairs")
     best = near.groupBy("b").agg(F.min(F.struct("a", "size_a", "size_b")).alias("x"))
     once = best.select("x.a", "b", "x.size_a", "x.size_b")
     links = materialise(_links(once, docs, first, doc_id, text, n, percent), "links")
-    roots = _rooted(small, links)
-    open_pairs = materialise(_apart(stars, roots), "open")
-    if not open_pairs.isEmpty():
-        more = _met_across(classes.select("key", "size", "signatures", "bitmap"), open_pairs, roots, percent)
-        more = materialise(more, "across")
+    roots = _rooted(links)
+    groups = materialise(_groups(stars), "groups")
+    nearest, more = True, _apart(near, roots)
+    while True:
+        met = _met_across(groups, small, roots, percent, nearest)
+        more = materialise(met if more is None else more.unionByName(met).distinct(), "across")
         if not more.isEmpty():
-            found = _links(more, docs, first, doc_id, text, n, percent)
-            links = materialise(links.unionByName(found), "links")
-            roots = _rooted(small, links)
+            found = materialise(_links(more, docs, first, doc_id, text, n, percent), "links")
+            more = None if found.isEmpty() else found
+        else:
+            more = None
+        if more is not None:
+            links = materialise(links.unionByName(more), "links")
+            roots = _rooted(links)
+        if not nearest:  # every pair that was still open has been counted
+            break
+        nearest, more = more is not None, None
     named = first.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     component = named.join(least, "root").select("key", "component_id")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 _BACK = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
