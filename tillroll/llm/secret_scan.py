@@ -204,8 +204,11 @@ def viterbi(emit: np.ndarray, first: np.ndarray, model: Tagger, length: int = 16
         score[s, :, s] = 0
     back = np.zeros((length, 3, count, 3), np.int8)
     begin = np.broadcast_to(model.first, (3, 3))
+    stay = np.where(np.eye(3, dtype=bool), 0.0, -np.inf)  # what fills the last stretch
+    ends = np.arange(count * length).reshape(count, length) >= n
     for t in range(length):
         move = np.where(fresh[:, t, None, None], begin, model.step)
+        move = np.where(ends[:, t, None, None], stay, move)
         option = score[..., None] + move[None]
         back[t] = option.argmax(axis=2)
         score = option.max(axis=2) + padded[None, :, t]
