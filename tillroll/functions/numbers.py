@@ -8,19 +8,28 @@ from pyspark.sql import functions as F
 from tillroll.schemas import MONEY, RATE
 
 
+def _exact(raw: Column, parsed: Column, kind: str) -> Column:
+    """``parsed``, where that is no number NULL; a number that is too large for its type is
+    an error, as it would otherwise pass for a gap."""
+    number = raw.try_cast("double")
+    lost = parsed.isNull() & number.isNotNull() & ~F.isnan(number)
+    return F.when(lost, F.raise_error(F.concat(F.lit(f"no {kind}: "), raw))).otherwise(parsed)
+
+
 def parse_rate(raw: Column) -> Column:
     """Text to an exact decimal; NULL when it is no number."""
-    return raw.try_cast(RATE)
+    return _exact(raw, raw.try_cast(RATE), RATE.simpleString())
 
 
 def parse_money(raw: Column) -> Column:
     """Text to cents, rounded half up; NULL when it is no number."""
-    return raw.try_cast(MONEY)
+    return _exact(raw, raw.try_cast(MONEY), MONEY.simpleString())
 
 
 def parse_whole(raw: Column) -> Column:
     """Text to BIGINT ("7", "7.0"); NULL when it is no number."""
-    return raw.try_cast(RATE).cast("bigint")
+    decimal = raw.try_cast("decimal(38,10)")
+    return _exact(raw, F.coalesce(raw.try_cast("bigint"), decimal.try_cast("bigint")), "bigint")
 
 
 def parse_double(raw: Column) -> Column:
@@ -52,4 +61,4 @@ def line_saving(total: Column, discounted: Column) -> Column:
 
 
 def stock_value(stock: Column, net: Column) -> Column:
-    return F.round(stock.cast("decimal(18,0)") * net, 2)
+    return F.round(stock.cast("decimal(19,0)") * net, 2)

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 def first_per_key(df: DataFrame, key: str, position: str) -> DataFrame:
     """Keep, for every ``key``, the row with the lowest ``position``.
 
-    An aggregate rather than ``row_number``: copies are dropped map-side before the
-    shuffle, so a key with very many copies never gathers in one task. All columns compare
-    the same position and therefore come from the same row; unused ones are pruned.
-    A missing key counts as one key, as in any GROUP BY; a missing position sorts last.
+    The lowest position of each key is found by a hash aggregate on two numbers, which
+    combines map-side, so a key with very many copies never gathers in one task; a semi-join
+    on key and position then picks the rows. A missing key counts as one key, as in any
+    GROUP BY; a missing position sorts last. Rows equal in key and position count once.
     """
-    others = [c for c in df.columns if c not in (key, position)]
     order = F.coalesce(F.col(position), F.lit(2**63 - 1))
-    return (
-        df.groupBy(key)
-        .agg(*[F.min_by(c, order).alias(c) for c in others], F.min(position).alias(position))
-        .select(*df.columns)
+    lowest = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_lowest"))
+    picked = df.join(
+        lowest, F.col(key).eqNullSafe(F.col("_key")) & (order == F.col("_lowest")), "left_semi"
     )
+    return picked.dropDuplicates([key, position])

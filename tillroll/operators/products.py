@@ -61,13 +61,11 @@ def add_net_price(products: DataFrame) -> DataFrame:
 def clean_products(raw: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """The whole cleaning step; empty input gives an empty frame with the full schema.
 
-    ``ingest_pos`` says which of several rows of one product came first. Without that
-    column the copies of a product are taken as equal and any one of them is kept.
+    ``ingest_pos`` says which of several rows of one product came first; it must be there.
     """
     picked = pick_product_fields(raw)
-    if "ingest_pos" in picked.columns:
-        unique = first_per_key(picked, "product_id", "ingest_pos").drop("ingest_pos")
-    else:
-        unique = picked.dropDuplicates(["product_id"])
+    if "ingest_pos" not in picked.columns:
+        raise ValueError("raw products need ingest_pos, their arrival position")
+    unique = first_per_key(picked, "product_id", "ingest_pos").drop("ingest_pos")
     cleaned = add_net_price(fill_product_gaps(coerce_product_numbers(unique)))
     return cleaned.withColumn("processed_at", F.current_timestamp() if run_ts is None else run_ts)

@@ -6,18 +6,13 @@ pre-aggregation, no slices. Money is decimal until the final projection on both
 
 from __future__ import annotations
 
-_LATE = 10_000_000
-
-_RAW = f"""
+_RAW = """
 raw_all AS (
-    SELECT p.*, 'first' AS kind, p_partkey AS id, p_partkey AS pos FROM part p
-    WHERE p_partkey % 101 <> 0
+    SELECT p.*, 'first' AS kind, p_partkey * 3 AS id, p_partkey * 3 AS pos FROM part p
     UNION ALL
-    SELECT p.*, 'copy', p_partkey, p_partkey + {_LATE} FROM part p
-    WHERE p_partkey % 101 <> 0 AND p_partkey % 10 = 0
+    SELECT p.*, 'copy', p_partkey * 3, p_partkey * 3 + 1 FROM part p WHERE p_partkey % 10 = 0
     UNION ALL
-    SELECT p.*, 'unsold', p_partkey + {_LATE}, p_partkey + {2 * _LATE} FROM part p
-    WHERE p_partkey % 97 = 0
+    SELECT p.*, 'unsold', p_partkey * 3 + 1, p_partkey * 3 + 2 FROM part p WHERE p_partkey % 97 = 0
 ),
 raw AS (
     SELECT id, pos, p_type AS category,
@@ -49,7 +44,8 @@ dim AS (
 
 _LINES = """
 lines AS (
-    SELECT l_orderkey AS order_id, l_partkey AS product_id,
+    SELECT l_orderkey AS order_id, (l_partkey + l_linenumber) % 4 AS cart,
+        l_partkey * 3 + CASE WHEN l_partkey % 101 = 0 THEN 2 ELSE 0 END AS product_id,
         CAST(l_quantity AS BIGINT) AS quantity,
         CAST(l_extendedprice AS DECIMAL(12,2)) AS gross,
         CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(6,2)) AS discount,
@@ -85,7 +81,8 @@ graded AS (
 
 _CARTS = f"""{_LINES},
 headers AS (
-    SELECT o_orderkey AS order_id, o_custkey AS user_id,
+    SELECT o_orderkey * 4 + coalesce(cart, 0) AS order_id, o_orderkey AS source,
+        coalesce(cart, 0) AS cart, o_custkey AS user_id,
         coalesce(sum(gross), 0) AS total, coalesce(sum(net), 0) AS discounted_total,
         count(l.order_id) AS n, CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units
     FROM orders LEFT JOIN lines l ON l.order_id = o_orderkey
@@ -103,7 +100,8 @@ def _mean(total: str, n: str, digits: int = 2) -> str:
 
 _DIM_COLUMNS = """product_id, product_name, category, CAST(price_usd AS DOUBLE) AS price_usd,
     CAST(discount_pct AS DOUBLE) AS discount_pct, avg_rating, stock_quantity, brand,
-    CAST(actual_price_usd AS DOUBLE) AS actual_price_usd"""
+    CAST(actual_price_usd AS DOUBLE) AS actual_price_usd,
+    CAST('2025-01-01 06:00:00' AS TIMESTAMP) AS processed_at"""
 
 _RAW_COLUMNS = """id, title, category, brand, CAST(price AS DOUBLE) AS price,
     CAST(discount AS DOUBLE) AS "discountPercentage", rating, CAST(stock AS DOUBLE) AS stock"""
@@ -114,13 +112,16 @@ _CART_COLUMNS = """SELECT order_id, user_id, CAST(total AS DOUBLE) AS total,
 
 _FLAT_LINES = _with(
     _CARTS,
-    """SELECT order_id, user_id, CAST(total AS DOUBLE) AS order_total_usd,
+    """SELECT h.order_id, user_id, CAST(total AS DOUBLE) AS order_total_usd,
         CAST(discounted_total AS DOUBLE) AS order_discounted_usd,
         n AS order_total_products, units AS order_total_quantity, product_id,
         'product ' || product_id AS product_name, quantity AS quantity_ordered,
+        CAST(CAST((2 * CAST(gross * 100 AS BIGINT) + quantity) // (2 * quantity) AS DECIMAL(18,2))
+            / 100 AS DOUBLE) AS unit_price_usd,
+        CAST('2025-01-01 06:00:00' AS TIMESTAMP) AS processed_at,
         CAST(gross AS DOUBLE) AS line_total_usd, CAST(discount AS DOUBLE) AS discount_pct,
         CAST(net AS DOUBLE) AS line_discounted_usd, CAST(gross - net AS DOUBLE) AS line_savings_usd
-    FROM lines JOIN headers USING (order_id)""",
+    FROM lines l JOIN headers h ON h.source = l.order_id AND h.cart = l.cart""",
 )
 
 _SPOILT = f"""{_RAW},
@@ -272,11 +273,12 @@ def all_oracles() -> dict[str, str]:
         "latest_snapshot": _with(
             _RAW,
             f"""SELECT id AS product_id, title AS product_name, category,
-                CAST(price AS DOUBLE) AS price_usd, CAST(discount AS DOUBLE) AS discount_pct,
+                CAST(price + 5 AS DOUBLE) AS price_usd, CAST(discount AS DOUBLE) AS discount_pct,
                 rating AS avg_rating, stock AS stock_quantity,
                 coalesce(brand, 'Unknown') AS brand,
-                CAST({_net('price', 'discount')} AS DOUBLE) AS actual_price_usd
-            FROM raw WHERE pos BETWEEN {_LATE} AND {2 * _LATE}""",
+                CAST({_net('(price + 5)', 'discount')} AS DOUBLE) AS actual_price_usd,
+                CAST('2025-01-01 06:00:00' AS TIMESTAMP) AS processed_at
+            FROM raw QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos) = 1""",
         ),
         "write_marts": _with(
             f"{_DIM}, {_LINES}",
@@ -296,7 +298,9 @@ def all_oracles() -> dict[str, str]:
             _RAW,
             """SELECT 'products' AS relation, count(*) AS raw_rows,
                 count(DISTINCT id) AS clean_rows FROM raw
-            UNION ALL SELECT 'orders', (SELECT count(*) FROM orders),
+            UNION ALL SELECT 'orders', (SELECT count(*) FROM (
+                    SELECT DISTINCT o_orderkey, (l_partkey + l_linenumber) % 4
+                    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)),
                 (SELECT count(*) FROM lineitem)""",
         ),
         # cleaning

@@ -57,7 +57,7 @@ def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.order_lines(spark, sf_dir)
+    return star.order_lines(spark, sf_dir).drop("cart")
 
 
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -65,8 +65,8 @@ def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _flat(dim: DataFrame) -> DataFrame:
-    """Dimension rows as users see them, without the run stamp."""
-    return as_doubles(dim.drop("processed_at"))
+    """Dimension rows as users see them."""
+    return as_doubles(dim)
 
 
 # -- sources and sinks --------------------------------------------------------------------
@@ -143,18 +143,20 @@ def roundtrip_csv(spark, sf_dir):
     fact = orders.flatten_order_lines(star.carts_raw(spark, sf_dir), star.run_ts())
     path = files.write_csv(fact, scratch_dir(spark, "csv"))
     back = snapshots.read_csv(spark, path, FACT_ORDERS)
-    return as_doubles(back.drop("unit_price_usd", "processed_at"))
+    return as_doubles(back)
 
 
 @_query
 def latest_snapshot(spark, sf_dir):
-    """Two runs are written, the second with the repeated products only; the newest wins."""
+    """Two whole snapshots are written, the second after a rise of all prices; the newest
+    wins, also against names that only look like one."""
     base, raw = scratch_dir(spark, "snapshots"), star.products_raw(spark, sf_dir)
-    files.write_snapshot(products.clean_products(raw), base, "products_clean", RUN)
-    again = raw.filter(F.col("ingest_pos").between(star.LATE, 2 * star.LATE))
-    files.write_snapshot(
-        products.clean_products(again), base, "products_clean", RUN + timedelta(days=1)
-    )
+    first = products.clean_products(raw, star.run_ts())
+    files.write_snapshot(first, base, "products_clean", RUN)
+    dearer = raw.withColumn("price", (F.col("price").cast("decimal(12,2)") + 5).cast("string"))
+    again = products.clean_products(dearer, star.run_ts())
+    files.write_snapshot(again, base, "products_clean", RUN + timedelta(days=1))
+    files.write_snapshot(first.limit(1), base, "products_clean_old", RUN + timedelta(days=2))
     return _flat(snapshots.read_latest(spark, base, "products_clean", DIM_PRODUCTS))
 
 
@@ -254,7 +256,7 @@ def clean_products(spark, sf_dir):
 @_query
 def flatten_order_lines(spark, sf_dir):
     lines = orders.flatten_order_lines(star.carts_raw(spark, sf_dir), star.run_ts())
-    return as_doubles(lines.drop("unit_price_usd", "processed_at"))
+    return as_doubles(lines)
 
 
 # -- marts and views ----------------------------------------------------------------------

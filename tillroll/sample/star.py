@@ -7,7 +7,7 @@ are put in: order lines without product, unsold products, repeated products, gap
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.features import training_rows
@@ -18,9 +18,8 @@ RUN_TS = "2025-01-01 06:00:00"
 RUN_DATE = "2025-01-01"
 STAND_IN_MAE = 3.25
 STAND_IN_R2 = 0.8125
-LATE = 10_000_000
-#: Lines of one order that may sit in one nested cart.
-LINES_PER_CART = 100_000
+#: An order's lines are dealt over this many carts by their own numbers.
+CARTS_PER_ORDER = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,16 +30,21 @@ def run_ts():
     return F.to_timestamp(F.lit(RUN_TS))
 
 
+def product_id(key: Column) -> Column:
+    """The product id of a part. Ids and positions are multiples of three plus an offset, so
+    those of invented rows never meet those of parts, however many parts there are."""
+    return key * 3
+
+
 def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw product documents with ``ingest_pos``. Keys divisible by 101 are left out (their
-    order lines become orphans), by 10 repeated later at a higher price, by 97 added again
-    as an unsold product."""
+    """Raw product documents with ``ingest_pos``, every part among them. Parts with a key
+    divisible by 10 are repeated later at a higher price; for keys divisible by 97 an unsold
+    product is added."""
     key = F.col("p_partkey")
-    known = key % 101 != 0
     kinds = F.array_compact(
         F.array(
-            F.when(known, F.lit("first")),
-            F.when(known & (key % 10 == 0), F.lit("copy")),
+            F.lit("first"),
+            F.when(key % 10 == 0, F.lit("copy")),
             F.when(key % 97 == 0, F.lit("unsold")),
         )
     )
@@ -50,7 +54,7 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part")
         .withColumn("kind", F.explode(kinds))
         .select(
-            F.when(kind == "unsold", key + LATE).otherwise(key).alias("id"),
+            F.when(kind == "unsold", product_id(key) + 1).otherwise(product_id(key)).alias("id"),
             F.when(kind == "unsold", F.concat(F.lit("unsold "), F.col("p_name")))
             .otherwise(F.col("p_name"))
             .alias("title"),
@@ -60,9 +64,9 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 53 != 0, (((key * 37) % 41 + 10) / 10).cast("string")).alias("rating"),
             (F.col("p_size") * 2 - 2).cast("string").alias("stock"),
             F.when(key % 37 != 0, F.col("p_brand")).alias("brand"),
-            F.when(kind == "first", key)
-            .when(kind == "copy", key + LATE)
-            .otherwise(key + 2 * LATE)
+            F.when(kind == "first", key * 3)
+            .when(kind == "copy", key * 3 + 1)
+            .otherwise(key * 3 + 2)
             .alias("ingest_pos"),
         )
     )
@@ -73,87 +77,70 @@ def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact columns that do not depend on the order header."""
+    """Fact columns that do not depend on the order header. Lines of parts with a key
+    divisible by 101 name a product that does not exist."""
     total = F.col("l_extendedprice").cast("decimal(12,2)")
     rate = F.col("l_discount").cast("decimal(4,2)")
     net = F.round(total * (F.lit(1) - rate), 2).cast(MONEY)
+    key = F.col("l_partkey")
+    lost = F.when(key % 101 == 0, product_id(key) + 2)
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
+        F.coalesce(lost, product_id(key)).alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity_ordered"),
         total.cast(MONEY).alias("line_total_usd"),
         (rate * 100).cast(RATE).alias("discount_pct"),
         net.alias("line_discounted_usd"),
         (total - net).cast(MONEY).alias("line_savings_usd"),
+        ((key + F.col("l_linenumber")) % CARTS_PER_ORDER).alias("cart"),
     )
 
 
-def carts_raw(
-    spark: SparkSession, sf_dir: str, lines_per_cart: int = LINES_PER_CART
-) -> DataFrame:
-    """Nested carts, numbers as text. Orders without lines have an empty array. An order
-    with more than ``lines_per_cart`` lines comes as several carts with the same header,
-    so that no row and no task has to hold all lines of one order."""
+def unit_price(total: Column, quantity: Column) -> Column:
+    """Cents per unit, rounded half up, in whole numbers."""
+    cents = (total * 100).cast("bigint")
+    return (F.expr("CAST(0.01 AS DECIMAL(3,2))") * ((cents * 2 + quantity) / (quantity * 2)).cast(
+        "bigint"
+    )).cast(MONEY)
+
+
+def carts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested carts, numbers as text: the lines of an order, dealt over CARTS_PER_ORDER carts
+    by their part and line numbers, each with a header of its own. The cart id is
+    ``CARTS_PER_ORDER * order + cart``. An order without lines is one empty cart. One scan
+    and one shuffle of the lines, by (order, cart)."""
     lines = order_lines(spark, sf_dir)
-    unit_price = F.round(F.col("line_total_usd").cast("double") / F.col("quantity_ordered"), 2)
-    header = [
+    price = unit_price(F.col("line_total_usd"), F.col("quantity_ordered"))
+    carts = lines.groupBy("order_id", "cart").agg(
         F.sum("line_total_usd").cast("string").alias("total"),
         F.sum("line_discounted_usd").cast("string").alias("discountedTotal"),
         F.count(F.lit(1)).alias("totalProducts"),
         F.sum("quantity_ordered").alias("totalQuantity"),
-    ]
-    members = F.collect_list(
-        F.struct(
-            F.col("product_id").alias("id"),
-            F.concat(F.lit("product "), F.col("product_id")).alias("title"),
-            unit_price.cast("string").alias("price"),
-            F.col("quantity_ordered").cast("string").alias("quantity"),
-            F.col("line_total_usd").cast("string").alias("total"),
-            F.col("discount_pct").cast("string").alias("discountPercentage"),
-            F.col("line_discounted_usd").cast("string").alias("discountedTotal"),
-        )
-    ).alias("products")
+        F.collect_list(
+            F.struct(
+                F.col("product_id").alias("id"),
+                F.concat(F.lit("product "), F.col("product_id")).alias("title"),
+                price.cast("string").alias("price"),
+                F.col("quantity_ordered").cast("string").alias("quantity"),
+                F.col("line_total_usd").cast("string").alias("total"),
+                F.col("discount_pct").cast("string").alias("discountPercentage"),
+                F.col("line_discounted_usd").cast("string").alias("discountedTotal"),
+            )
+        ).alias("products"),
+    )
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("userId")
     )
-    # At most lines / lines_per_cart orders are that long: a proven bound for broadcasting.
-    crowded = lines.groupBy("order_id").agg(*header).filter(
-        F.col("totalProducts") > lines_per_cart
-    )
-    keys = F.broadcast(crowded.select("order_id"))
-    shape = ["id", "userId", "total", "discountedTotal", "totalProducts", "totalQuantity"]
-
-    # Ordinary orders: one shuffle of the lines by order, which the join then builds on.
-    plain = (
-        orders.join(keys, "order_id", "left_anti")
-        .join(
-            lines.join(keys, "order_id", "left_anti").groupBy("order_id").agg(*header, members),
-            "order_id",
-            "left",
-        )
-        .withColumnRenamed("order_id", "id")
-    )
-    part = F.pmod(
-        F.xxhash64(*lines.columns, F.spark_partition_id()),
-        F.ceil(F.col("totalProducts") / lines_per_cart),
-    )
-    split = (
-        lines.join(F.broadcast(crowded.join(orders, "order_id")), "order_id")
-        .withColumn("part", part)
-        .withColumnRenamed("order_id", "id")
-        .groupBy(*shape, "part")
-        .agg(members)
-    )
-    no_lines = F.array().cast(plain.schema["products"].dataType)
-    return plain.select(
-        "id",
+    no_lines = F.array().cast(carts.schema["products"].dataType)
+    return orders.join(carts, "order_id", "left").select(
+        (F.col("order_id") * CARTS_PER_ORDER + F.coalesce("cart", F.lit(0))).alias("id"),
         "userId",
         F.coalesce("total", F.lit("0")).alias("total"),
         F.coalesce("discountedTotal", F.lit("0")).alias("discountedTotal"),
         F.coalesce("totalProducts", F.lit(0)).alias("totalProducts"),
         F.coalesce("totalQuantity", F.lit(0)).alias("totalQuantity"),
         F.coalesce("products", no_lines).alias("products"),
-    ).unionByName(split.select(*shape, "products"))
+    )
 
 
 def predictions(spark: SparkSession, sf_dir: str, **join: int) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Prices and rates as they arrive; sums and products of money are exact decimals.
-RATE = T.DecimalType(18, 6)
+RATE = T.DecimalType(28, 10)
 #: Money rounded to cents.
-MONEY = T.DecimalType(18, 2)
+MONEY = T.DecimalType(19, 2)
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:

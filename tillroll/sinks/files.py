@@ -4,7 +4,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.operators.ordering import running_total
 from tillroll.schemas import as_doubles
@@ -33,10 +32,9 @@ def land_json(raw: DataFrame, base: str, prefix: str, run_ts: datetime) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with header. Decimals are written as plain doubles."""
+    """CSV with header. Decimals keep all their digits."""
     (
-        as_doubles(df)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("timestampFormat", TIMESTAMP_FORMAT)
@@ -84,16 +82,3 @@ def write_metrics(metrics: DataFrame, path: str) -> str:
     metrics.coalesce(1).write.mode("overwrite").json(path)
     return path
 
-
-def csv_schema(schema: T.StructType) -> T.StructType:
-    """What ``write_csv`` writes for ``schema``: decimals have become doubles."""
-    return T.StructType(
-        [
-            T.StructField(
-                f.name,
-                T.DoubleType() if isinstance(f.dataType, T.DecimalType) else f.dataType,
-                True,
-            )
-            for f in schema.fields
-        ]
-    )

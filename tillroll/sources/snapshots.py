@@ -3,8 +3,9 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: time format in stored tables.
@@ -30,19 +31,17 @@ def read_csv(
 
 
 def latest_path(spark: SparkSession, base: str, prefix: str) -> str:
-    """The newest snapshot: the largest name, as names end in a sortable stamp. Only file
-    names are looked at, contents are not read. No snapshot at all raises."""
-    name = F.regexp_extract("path", rf"/({prefix}_[^/]*)", 1)
-    newest = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(f"{base}/{prefix}_*")
-        .agg(F.max(name).alias("newest"))
-        .first()
-    )
-    if newest is None or not newest.newest:
+    """The newest snapshot: the largest name of the form prefix, date, time. The names in
+    the folder are listed once; no file is opened. No snapshot at all raises."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(base)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+    stamped = re.compile(re.escape(prefix) + r"_\d{8}_\d{6}(\..*)?")
+    newest = max(filter(stamped.fullmatch, names), default=None)
+    if newest is None:
         raise FileNotFoundError(f"no snapshot {prefix}_* in {base}")
-    return f"{base}/{newest.newest}"
+    return f"{base}/{newest}"
 
 
 def read_latest(
