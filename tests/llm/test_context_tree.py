@@ -72,7 +72,7 @@ class Tree:
         return total
 
 
-@pytest.mark.parametrize("parts", [{}, {"part_contexts": 40, "part_tokens": 100}])
+@pytest.mark.parametrize("parts", [{}, {"part_contexts": 40, "hot_tokens": 20}])
 def test_scores_against_the_definition(spark, parts):
     docs = [(i, " ".join(prose(i, 30, 60)).title()) for i in range(40)]
     docs += [(d and d + 700, (t or "")[:400] if t is not None else None) for d, t in EDGES]

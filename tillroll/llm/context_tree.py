@@ -6,8 +6,9 @@ context's weighted probability is the even mixture of its own block probability
 product of its children's. The counts, the weights from the deepest contexts upwards and
 the predictions from the root downwards are group-bys and joins over one table per depth.
 
-Scoring reads whole texts where they lie. What the tasks need is broadcast in parts of
-bounded size; if there are several, the texts pass through one after the other.
+Scoring reads whole texts where they lie. The tree is broadcast in parts of bounded size; if
+there are several, the texts pass through one after the other. Token counts are broadcast
+for the most frequent tokens, up to a fixed number; the others are met by a join.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from .words import slices, text_buffers, words
 DEPTH = 3
 #: Ends every text and stands before its first byte; no UTF-8 text has it.
 END = 0xFF
-#: Contexts of full depth in one part (1 KB each), and tokens in one part (16 bytes each).
+#: Contexts of full depth in one part of the tree (1 KB each): more are scored part by part.
 PART_CONTEXTS = 100_000
-PART_TOKENS = 2_000_000
+#: Tokens whose counts are broadcast (16 bytes each): the most frequent. Others are joined.
+HOT_TOKENS = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -196,7 +198,7 @@ def context_tree(grams: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Part:
     """What one pass over the texts needs: log10 probabilities of all bytes in the contexts
-    whose last two bytes lie in [low, high), and of the tokens of one shard."""
+    whose last two bytes lie in [low, high), and in the first part those of hot tokens."""
 
     low: int
     high: int
@@ -210,36 +212,40 @@ class Part:
 
 def _byte_logs(p: np.ndarray) -> np.ndarray:
     """(contexts, 256) log10 probabilities of bytes from those of decisions."""
-    logs = np.zeros((len(p), 512), np.float32)
-    with np.errstate(divide="ignore"):
-        one, zero = np.log10(p), np.log10(1 - p)
-    for node in range(1, 256):
-        logs[:, 2 * node] = logs[:, node] + zero[:, node]
-        logs[:, 2 * node + 1] = logs[:, node] + one[:, node]
-    return logs[:, 256:]
+    out = np.empty((len(p), 256), np.float32)
+    for begin in range(0, len(p), 4096):
+        some = p[begin : begin + 4096].astype(float)
+        logs = np.zeros((len(some), 512))
+        for node in range(1, 256):
+            logs[:, 2 * node] = logs[:, node] + np.log10(1 - some[:, node])
+            logs[:, 2 * node + 1] = logs[:, node] + np.log10(some[:, node])
+        out[begin : begin + 4096] = logs[:, 256:]
+    return out
 
 
 def _tables(tree: DataFrame, low: int, high: int) -> tuple[np.ndarray, ...]:
     pair = F.col("context").bitwiseAND(0xFFFF)
-    rows = tree.filter((F.col("depth") < 2) | ((pair >= low) & (pair < high))).toArrow()
+    rows = tree.filter((F.col("depth") < 2) | ((pair >= low) & (pair < high))).select(
+        F.col("depth").cast("tinyint"), F.col("context").cast("int"), F.col("node").cast("short"), "p"
+    )
+    rows = rows.toArrow()
     depth, context, node, p = (rows.column(c).to_numpy() for c in ("depth", "context", "node", "p"))
-    root = np.full((1, 256), 0.5)
+    del rows
+    root = np.full((1, 256), 0.5, np.float32)
     root[0, node[depth == 0]] = p[depth == 0]
     # by depth: the contexts seen, their decisions' probabilities, their rows in the table
-    names, parents, rows_of = {0: np.zeros(1, np.int64)}, {0: root}, {}
-    all_rows, used = [root], 1
+    names, above, rows_of = {0: np.zeros(1, np.int64)}, root, {}
+    tables, used = [_byte_logs(root)], 1
     for d in range(1, DEPTH + 1):
         seen = depth == d
-        name, place = np.unique(context[seen], return_inverse=True)
+        name, place = np.unique(context[seen].astype(np.int64), return_inverse=True)
         up = name & ((1 << (8 * (d - 1))) - 1)
-        own = parents[d - 1][np.searchsorted(names[d - 1], up)] if len(name) else root[:0]
-        own = own.copy()  # what is not seen here is as without the last byte
-        own[place, node[seen]] = p[seen]
-        names[d], parents[d] = name, own
+        own = above[np.searchsorted(names[d - 1], up)] if len(name) else root[:0]
+        own[place, node[seen]] = p[seen]  # what is not seen here is as without the last byte
+        names[d], above = name, own
         rows_of[d] = used + np.arange(len(name))
         used += len(name)
-        all_rows.append(own)
-    table = _byte_logs(np.concatenate(all_rows))
+        tables.append(_byte_logs(own))
     every = np.arange(1 << 16)
     of_pair = np.zeros(1 << 16, np.int32)
     for d in (1, 2):
@@ -253,7 +259,7 @@ def _tables(tree: DataFrame, low: int, high: int) -> tuple[np.ndarray, ...]:
     block[pairs] = np.arange(len(pairs))
     of_three = np.repeat(of_pair[pairs], 256)
     of_three[block[names[3] & 0xFFFF].astype(np.int64) * 256 + (names[3] >> 16)] = rows_of[3]
-    return table, of_pair, block, of_three
+    return np.concatenate(tables), of_pair, block, of_three
 
 
 def _pair_ranges(tree: DataFrame, limit: int) -> list[tuple[int, int]]:
@@ -276,7 +282,7 @@ def context_tree_scores(
     doc_id: str = "doc_id",
     text: str = "text",
     part_contexts: int = PART_CONTEXTS,
-    part_tokens: int = PART_TOKENS,
+    hot_tokens: int = HOT_TOKENS,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out`` (crc32 of the id as text is
     divisible by 10: not learned from), ``n_tokens`` (words and one end), ``n_known`` (those
@@ -311,30 +317,30 @@ def context_tree_scores(
     below = float(np.log10(total + 0.1 * (distinct + 1)))
     tree = context_tree(counts.filter(F.col("kind") == _GRAM))
     ranges = _pair_ranges(tree, part_contexts)
-    shards = max(1, -(-distinct // part_tokens))
+    least = _hot_count(tokens, hot_tokens)
     scored = chosen.select(
         "*",
         *(F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known", "n_bytes")),
         *(F.lit(0.0).alias(c) for c in ("base_score", "score")),
+        F.lit(None).cast("array<long>").alias("rare"),
+        F.lit(None).cast("array<int>").alias("times"),
     )
     schema = scored.schema
-    for k in range(max(len(ranges), shards)):
-        low, high = ranges[k] if k < len(ranges) else (0, 0)
-        shard = tokens.filter(F.pmod("key", F.lit(shards)) == k).select("key", "n").toArrow()
-        keys = shard.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        part = spark.sparkContext.broadcast(
-            Part(
-                low,
-                high,
-                *_tables(tree, low, high),
-                keys[order],
-                np.log10(shard.column("n").to_numpy()[order] + 0.1),
-            )
-        )
-        scored = scored.mapInArrow(_pass(part, k == 0, end_log, unknown, ends > 0, below), schema)
+    for k, (low, high) in enumerate(ranges):
+        keys, logs = np.zeros(0, np.uint64), np.zeros(0)
+        if k == 0:
+            hot = tokens.filter(F.col("n") >= least).select("key", "n").toArrow()
+            keys = hot.column("key").to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            keys, logs = keys[order], np.log10(hot.column("n").to_numpy()[order] + 0.1)
+        part = spark.sparkContext.broadcast(Part(low, high, *_tables(tree, low, high), keys, logs))
+        rest = (k == 0, least > 1, end_log, unknown, ends > 0, below)
+        scored = scored.mapInArrow(_pass(part, *rest), schema)
+    scored = scored.drop("text")
+    if least > 1:
+        scored = _with_rare(scored, tokens.filter(F.col("n") < least), float(unknown))
     return scored.select(
-        F.lit(None).cast(kind).alias("doc_id") if kind == "void" else "doc_id",
+        "doc_id",
         "held_out",
         "n_tokens",
         "n_known",
@@ -345,7 +351,42 @@ def context_tree_scores(
     )
 
 
-def _pass(part, opens: bool, end_log: float, unknown: float, end_known: bool, below: float):
+def _hot_count(tokens: DataFrame, limit: int) -> int:
+    """The least power of two such that at most ``limit`` tokens are as frequent."""
+    size = F.floor(F.log2("n")).cast("int")
+    sizes = {r["size"]: r["count"] for r in tokens.groupBy(size.alias("size")).count().collect()}
+    held = 0
+    for s in range(max(sizes, default=0), -1, -1):
+        held += sizes.get(s, 0)
+        if held > limit:
+            return 1 << (s + 1)
+    return 1
+
+
+def _with_rare(scored: DataFrame, counts: DataFrame, unknown: float) -> DataFrame:
+    """Adds what tokens that were not broadcast gain over unknown ones. No such token is
+    frequent, so no key of the join is."""
+    rows = scored.withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows, "scored")  # from here on the row numbers stay as they are
+    met = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
+        "row", F.col("r.rare").alias("key"), F.col("r.times").alias("times")
+    )
+    gained = (
+        met.join(counts.select("key", "n"), "key")
+        .groupBy("row")
+        .agg(
+            F.sum("times").alias("more_known"),
+            F.sum(F.col("times") * (F.log10(F.col("n") + 0.1) - unknown)).alias("more_score"),
+        )
+    )
+    return rows.drop("rare", "times").join(gained, "row", "left").select(
+        *(c for c in rows.columns if c not in ("rare", "times", "n_known", "base_score")),
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        (F.col("base_score") + F.coalesce("more_score", F.lit(0.0))).alias("base_score"),
+    )
+
+
+def _pass(part, opens: bool, lists: bool, end_log: float, unknown: float, end_known: bool, below: float):
     """Adds one part's logs to the scores of every text; the first pass adds what needs none."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,30 +409,47 @@ def _pass(part, opens: bool, end_log: float, unknown: float, end_known: bool, be
                 logs[1:][here] = m.table[row, codes & np.uint32(255)]
                 np.cumsum(logs, out=logs)
                 score = logs[first[1:]] - logs[first[:-1]]
+                if not opens:
+                    held = [column(c) for c in batch.schema.names]
+                    at = batch.schema.get_field_index("score")
+                    held[at] = pa.array(held[at].to_numpy() + score)
+                    yield pa.RecordBatch.from_arrays(held, schema=batch.schema)
+                    continue
                 w = words(column("text"))
-                hashes = w.hashes()
-                value, place = np.unique(hashes, return_inverse=True)
-                at = np.minimum(np.searchsorted(m.tokens, value), max(len(m.tokens) - 1, 0))
-                known = m.tokens[at] == value if len(m.tokens) else np.zeros(len(value), bool)
-                gain = np.where(known, m.token_log[at] - unknown, 0.0) if len(m.tokens) else np.zeros(len(value))
+                value, place = np.unique(w.hashes(), return_inverse=True)
+                at = np.searchsorted(m.tokens, value)
+                known = np.zeros(len(value), bool)
+                inside = at < len(m.tokens)
+                known[inside] = m.tokens[at[inside]] == value[inside]
+                gain = np.zeros(len(value))
+                gain[known] = m.token_log[at[known]] - unknown
                 row = w.row()
                 base = np.bincount(row, gain[place], minlength=w.rows)
+                base += w.counts() * unknown + end_log - (w.counts() + 1) * below
                 n_known = np.bincount(row, known[place], minlength=w.rows).astype(np.int64)
-                if opens:
-                    base += w.counts() * unknown + end_log - (w.counts() + 1) * below
-                    n_known += int(end_known)
-                n_tokens, n_bytes = (w.counts() + 1, np.diff(first)) if opens else (0, 0)
-                add_to = lambda c, x: pa.array(column(c).to_numpy() + x)  # noqa: B023, E731
+                n_known += int(end_known)
+                rare, times = column("rare"), column("times")
+                if lists:
+                    other = ~known[place]
+                    pairs, n = np.unique(row[other] * len(value) + place[other], return_counts=True)
+                    size = max(len(value), 1)
+                    cut = pa.array(
+                        np.searchsorted(pairs // size, np.arange(w.rows + 1)).astype(np.int32)
+                    )
+                    rare = pa.ListArray.from_arrays(cut, pa.array(value[pairs % size].view(np.int64)))
+                    times = pa.ListArray.from_arrays(cut, pa.array(n.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         column("doc_id"),
                         column("held_out"),
                         column("text"),
-                        add_to("n_tokens", n_tokens),
-                        add_to("n_known", n_known),
-                        add_to("n_bytes", n_bytes),
-                        add_to("base_score", base),
-                        add_to("score", score),
+                        pa.array(w.counts() + 1),
+                        pa.array(n_known),
+                        pa.array(np.diff(first)),
+                        pa.array(base),
+                        pa.array(score),
+                        rare,
+                        times,
                     ],
                     batch.schema.names,
                 )
