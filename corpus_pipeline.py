@@ -16,7 +16,7 @@ from tillroll.llm.packing import pack_documents
 from tillroll.llm.queries import tokenizer_path, toxicity_chain
 from tillroll.llm.secret_scan import fit_tagger, redact_secrets
 from tillroll.llm.toxicity import without_toxic
-from tillroll.session import materialise
+from tillroll.session import materialise, scratch_scope
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,5 +72,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark, keep=lambda purpose: purpose.startswith("pipeline-")):
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .rows import map_rows
 from .words import distinct, shingles, slices, words
 
 #: Shingles of items held by a task at once (8 bytes each); more are searched block by block.
@@ -215,14 +216,15 @@ def without_contained(
     out = docs
     for block in _blocks(items, item_id, text, n, block_shingles):
 
-        def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+        def opened(block=block):
             search = _searcher(block, n, percent, bins)
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    keep = np.ones(part.num_rows, bool)
-                    keep[[row for row, *_ in search(part.column(1))]] = False
-                    yield part.filter(pa.array(keep)).select(["row"])
 
-        held = out.select(F.struct(*out.columns).alias("row"), F.col(text).alias("text"))
-        out = held.mapInArrow(clean, held.select("row").schema).select("row.*")
+            def clean(part: pa.RecordBatch, at: int) -> pa.RecordBatch:
+                keep = np.ones(part.num_rows, bool)
+                keep[[row for row, *_ in search(part.column(at))]] = False
+                return part.filter(pa.array(keep))
+
+            return clean
+
+        out = map_rows(out, text, opened)
     return out

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import map_rows
 from .words import Words, slices, words
 
 KINDS = ("assign", "access", "hex", "crf")
@@ -442,25 +443,18 @@ def redact_secrets(
     """``docs`` with every span of :func:`find_secrets` in ``text`` replaced by ``mark``; all
     columns and rows stay, and a null text stays null."""
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found, _ = _scan(part.column(1), model)
-                texts = part.column(1).to_pylist()
-                for row, spans in found.items():
-                    pieces, at = [], 0
-                    for start, _, end in spans:
-                        if start >= at:
-                            pieces += [texts[row][at:start], mark]
-                        at = max(at, end)
-                    texts[row] = "".join([*pieces, texts[row][at:]])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(texts, pa.string())], ["row", "text"]
-                )
-
-    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    schema = held.schema
-    done = held.mapInArrow(clean, schema)
-    return done.select(
-        *(F.col("text" if c == text else f"row.`{c}`").alias(c) for c in docs.columns)
-    )
+    def clean(part: pa.RecordBatch, at: int) -> pa.RecordBatch:
+        found, _ = _scan(part.column(at), model)
+        if not found:
+            return part
+        texts = part.column(at).to_pylist()
+        for row, spans in found.items():
+            pieces, done = [], 0
+            for start, _, end in spans:
+                if start >= done:
+                    pieces += [texts[row][done:start], mark]
+                done = max(done, end)
+            texts[row] = "".join([*pieces, texts[row][done:]])
+        return part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+
+    return map_rows(docs, text, lambda: clean)

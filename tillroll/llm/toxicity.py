@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import map_rows
 from .words import Words, mix, slices, words
 
 #: Bytes of the word beginnings that are features beside the words.
@@ -277,11 +278,7 @@ def without_toxic(
     """The rows of ``docs`` that :func:`score_toxicity` does not call toxic, all columns."""
     last = chain.categories.index(verdict)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                clean = predict(part.column(1), chain)[:, last] <= threshold
-                yield part.filter(pa.array(clean)).select(["row"])
+    def keep(part: pa.RecordBatch, at: int) -> pa.RecordBatch:
+        return part.filter(pa.array(predict(part.column(at), chain)[:, last] <= threshold))
 
-    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    return held.mapInArrow(keep, held.select("row").schema).select("row.*")
+    return map_rows(docs, text, lambda: keep)
