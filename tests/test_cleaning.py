@@ -15,22 +15,22 @@ from tillroll.operators.orders import flatten_order_lines
 from tillroll.operators.products import clean_products
 from tillroll.schemas import RAW_CART, RAW_PRODUCT, with_position
 
-PHONE = dict(
-    id=1,
-    title="Test Phone",
-    category="smartphones",
-    price="100.0",
-    discountPercentage="10.0",
-    rating="4.5",
-    stock="50",
-    brand="TestBrand",
+LAMP = dict(
+    id=71,
+    title="Desk lamp, brass",
+    category="lighting",
+    price="64.50",
+    discountPercentage="20",
+    rating="3.9",
+    stock="7",
+    brand="Halden",
 )
 
 
 def raw(spark, *rows):
     names = RAW_PRODUCT.fieldNames()
     data = [
-        tuple({**PHONE, **row}[n] for n in names) + (row.get("ingest_pos", i),)
+        tuple({**LAMP, **row}[n] for n in names) + (row.get("ingest_pos", i),)
         for i, row in enumerate(rows)
     ]
     return spark.createDataFrame(data, with_position(RAW_PRODUCT))
@@ -52,7 +52,7 @@ def test_columns(spark):
 
 
 def test_net_price_of_a_product(spark):
-    assert clean_products(raw(spark, {})).first().actual_price_usd == Decimal("90.00")
+    assert clean_products(raw(spark, {})).first().actual_price_usd == Decimal("51.60")
 
 
 @pytest.mark.parametrize(
@@ -79,8 +79,18 @@ def test_first_copy_is_kept(spark):
     assert clean_products(late_first).first().product_name == "early"
 
 
-def test_copies_without_position(spark):
-    assert clean_products(raw(spark, {}, {}).drop("ingest_pos")).count() == 1
+def test_copies_without_position_are_refused(spark):
+    with pytest.raises(ValueError):
+        clean_products(raw(spark, {}, {}).drop("ingest_pos"))
+
+
+def test_large_numbers_are_kept_and_never_taken_for_gaps(spark):
+    rich = clean_products(raw(spark, {"stock": "1000000000000", "price": "1234567890123.5"})).first()
+    assert rich.stock_quantity == 10**12 and rich.price_usd == Decimal("1234567890123.5")
+    assert clean_products(raw(spark, {"stock": "9223372036854775807"})).first().stock_quantity == 2**63 - 1
+    for field in ("stock", "price"):
+        with pytest.raises(Exception, match="no (bigint|decimal)"):
+            clean_products(raw(spark, {field: "1" + "0" * 30})).collect()
 
 
 def test_first_copy_keeps_its_gaps(spark):

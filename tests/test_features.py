@@ -23,21 +23,23 @@ SMALL = forecast.ForecastSettings(trees=3, depth=3, folds=2)
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    pick = random.Random(5)
+    """Three categories of unequal size, one of one row; brands across categories; a gap in
+    each column that may have one; equal prices at the quartile edges."""
+    kinds = ["garden"] * 13 + ["toys"] * 9 + ["music"] + [None] * 2
     data = [
         (
-            i,
-            "Electronics" if i < 10 else "Clothing",
-            "BrandA",
-            pick.uniform(10, 500),
-            pick.uniform(0, 40),
-            pick.uniform(3, 5),
-            pick.randrange(200),
-            pick.randrange(1, 100),
-            pick.uniform(20, 300),
-            pick.uniform(0, 20),
+            1000 + i,
+            kind,
+            ["Halden", "Ostra", None, "Vim"][i % 4],
+            [4.0, 4.0, 19.5, 120.25, 19.5][i % 5] + (i // 10),
+            float(i % 3 * 15),
+            None if i % 7 == 0 else 1.0 + i % 5,
+            [0, 3, 9, 10, 700][i % 5],
+            1 + (i * i) % 17,
+            12.5 * (i + 1),
+            float(i % 4),
         )
-        for i in range(20)
+        for i, kind in enumerate(kinds)
     ]
     return spark.createDataFrame(data, SCHEMA)
 
@@ -61,7 +63,7 @@ def frame(spark, *rows):
 
 def test_shape(rows):
     out = feat.engineer_features(rows)
-    assert out.count() == 20 and len(feat.FEATURES) == 18
+    assert out.count() == 25 and len(feat.FEATURES) == 18
     assert out.columns == ["product_id", "category", "units_sold", *feat.FEATURES]
 
 
@@ -139,11 +141,11 @@ def test_sliced_features_equal_plain_ones(spark, sf_dir):
 
 def test_split_is_stable_under_repartitioning(spark):
     df = spark.range(2000).withColumn("x", F.col("id") % 97)
-    side = is_training_row(42, "id", "x")
+    side = is_training_row(42, F.col("id"), F.col("x"))
     first = {r.id for r in df.filter(side).collect()}
     again = {r.id for r in df.repartition(13, "x").filter(side).collect()}
     assert first == again and 1500 < len(first) < 1700
-    folds = df.groupBy(fold_of(42, 5, "id").alias("f")).count().collect()
+    folds = df.groupBy(fold_of(42, 5, F.col("id")).alias("f")).count().collect()
     assert sorted(r.f for r in folds) == [0, 1, 2, 3, 4]
 
 
@@ -153,7 +155,7 @@ def test_train_and_predict(rows):
     )
     model = forecast.train(table, SMALL)
     metrics = forecast.evaluate(model, table)
-    assert forecast.predict(model, table).count() == 20
+    assert forecast.predict(model, table).count() == 25
     assert set(metrics) == {"mae", "r2"} and metrics["r2"] <= 1.0
 
 

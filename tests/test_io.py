@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -127,7 +129,7 @@ def test_csv_keeps_text(spark, name):
 
 def test_latest_snapshot(spark, tmp_path):
     base = scratch_dir(spark, "t")
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileNotFoundError):
         snapshots.latest_path(spark, base, "products_clean")
     df = spark.range(2).select(F.lit("x").alias("product_name"))
     for day in (3, 1, 2):
@@ -135,6 +137,11 @@ def test_latest_snapshot(spark, tmp_path):
     files.write_snapshot(df, base, "orders_clean", RUN + timedelta(days=9))
     newest = snapshots.latest_path(spark, base, "products_clean")
     assert newest.endswith("products_clean_20250104_060000.csv")
+    files.write_snapshot(df, f"{base}/products_clean_archive", "products_clean", RUN)
+    files.write_snapshot(df, base, "products_clean_old", RUN + timedelta(days=99))
+    assert snapshots.latest_path(spark, base, "products_clean") == newest
+    inner = snapshots.latest_path(spark, f"{base}/products_clean_archive", "products_clean")
+    assert inner.endswith("products_clean_archive/products_clean_20250101_060000.csv")
     (tmp_path / "orders_clean_20240101_000000.csv").write_text("order_id\n1\n")
     (tmp_path / "orders_clean_20240201_000000.csv").write_text("order_id\n2\n")
     single = snapshots.latest_path(spark, str(tmp_path), "orders_clean")
@@ -216,3 +223,44 @@ def test_tables_views_and_queries(spark, sf_dir):
         assert not kept.storageLevel.useMemory
     finally:
         spark.sql("USE default")
+
+
+def test_money_keeps_its_cents_in_csv(spark):
+    path = scratch_dir(spark, "cents")
+    money = spark.sql("SELECT 1234567890123456.78BD AS paid, CAST(12345678.90 AS DECIMAL(19,2)) AS due")
+    files.write_csv(money, path)
+    assert [tuple(map(str, r)) for r in spark.read.option("header", True).csv(path).collect()] == [
+        ("1234567890123456.78", "12345678.90")
+    ]
+
+
+def test_lost_page_is_an_error(spark):
+    def lossy(member, limit, skip):
+        records = [{"id": i, "title": "x"} for i in range(skip, min(skip + limit, 250))]
+        return {member: records[: 40 if skip == 100 else None], "total": 250}
+
+    with pytest.raises(Exception, match="has 40 of 100 records"):
+        paged.read_pages(spark, lossy, "products").collect()
+
+
+def test_refresh_refuses_other_columns(spark):
+    tables.full_refresh(spark.range(3), "refresh_columns")
+    with pytest.raises(ValueError):
+        tables.full_refresh(spark.range(3).withColumn("more", F.lit(1)), "refresh_columns")
+    spark.sql("DROP TABLE refresh_columns")
+
+
+def test_scratch_goes_with_its_scope(spark, monkeypatch):
+    from tillroll import session
+
+    with session.scratch_scope(spark, keep=lambda purpose: purpose == "kept"):
+        gone, kept = (session.materialise(spark.range(3), p) for p in ("gone", "kept"))
+    paths = [df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0] for df in (gone, kept)]
+    assert [Path(p).exists() for p in paths] == [False, True]
+
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "applicationId": "a"})
+
+    with pytest.raises(ValueError):
+        session.scratch_dir(Cluster(), "x")

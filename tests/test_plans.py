@@ -7,8 +7,8 @@ import io
 
 import pytest
 
-from __spark_entry__ import queries
-from tillroll.operators import inventory, marts
+from tillroll.operators import inventory, marts, reports
+from tillroll.registry.queries import all_queries as queries
 from tillroll.sample import star
 from tillroll.session import materialise
 
@@ -41,13 +41,36 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 def test_small_dimension_is_broadcast(spark, sf_dir):
     fact = materialise(star.order_lines(spark, sf_dir), "fact")
     dim = materialise(star.dim_products(spark, sf_dir), "dim")
-    text = plan(marts.orders_per_category(fact, dim))
+    text = plan(marts.category_revenue(fact, dim))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert "ReadSchema: struct<order_id:bigint,product_id:bigint>" in text
 
 
 def test_large_dimension_is_sliced(spark, sf_dir):
     fact = materialise(star.order_lines(spark, sf_dir), "fact")
     dim = materialise(star.dim_products(spark, sf_dir), "dim")
-    text = plan(marts.orders_per_category(fact, dim, broadcast_limit=-1))
+    text = plan(marts.category_revenue(fact, dim, broadcast_limit=-1))
     assert "_slice" in text
+
+
+def test_slices_follow_the_limit_of_the_session(spark, sf_dir):
+    fact = materialise(star.order_lines(spark, sf_dir), "fact")
+    dim = materialise(star.dim_products(spark, sf_dir), "dim")
+    want = sorted(map(tuple, marts.category_revenue(fact, dim).collect()), key=str)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        sliced = marts.category_revenue(fact, dim, rows_per_slice=3)
+        assert "_slice" in plan(sliced)
+        assert sorted(map(tuple, sliced.collect()), key=str) == want
+    finally:
+        spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("mart", [marts.category_revenue, reports.category_breakdown])
+def test_category_marts_scan_the_lines_once(spark, sf_dir, mart):
+    fact = materialise(star.order_lines(spark, sf_dir), "fact-lines")
+    dim = materialise(star.dim_products(spark, sf_dir), "dim")
+    text = plan(mart(fact, dim, broadcast_limit=1 << 30))
+    scans = [line for line in text.splitlines() if line.startswith("Location") and "fact-lines" in line]
+    assert len(scans) == 1

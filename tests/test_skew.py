@@ -136,7 +136,7 @@ def test_running_total_equals_a_global_window(spark, buckets):
         F.concat(F.lit("k"), F.xxhash64("id")).alias("k"), (F.col("id") % 7 + 1).alias("n")
     )
     got = {
-        r.k: r.upto for r in running_total(values, "k", "n", buckets, small_limit=-1).collect()
+        r.k: r.upto for r in running_total(values, "k", "n", buckets).collect()
     }
     total, expected = 0, {}
     for r in sorted(values.collect(), key=lambda r: r.k):
@@ -148,18 +148,34 @@ def test_running_total_equals_a_global_window(spark, buckets):
 
 def test_running_total_without_rows(spark):
     none = spark.createDataFrame([], "k string, n long")
-    assert running_total(none, "k", "n", small_limit=-1).count() == 0
-
-
-def test_long_orders_come_as_several_carts(spark, sf_dir):
-    whole = star.carts_raw(spark, sf_dir)
-    split = star.carts_raw(spark, sf_dir, lines_per_cart=2)
-    assert split.count() > whole.count()
-    assert split.schema.simpleString() == RAW_CART.simpleString()
-    assert bag(flatten_order_lines(split, star.run_ts())) == bag(
-        flatten_order_lines(whole, star.run_ts())
+    assert running_total(none, "k", "n").count() == 0
+
+
+def test_an_order_with_many_lines_keeps_them_all(spark, tmp_path):
+    """One rule at any size, and large ids that stay apart."""
+    keys = [97, 97_000_097, 194_000_097, 101]
+    part = [(k, f"part {k}", "TYPE", 10.0, 3, "Brand#1") for k in keys]
+    lines = [(7, keys[i % 4], i, 2.0, 20.0, 0.1) for i in range(3000)]
+    spark.createDataFrame(
+        part, "p_partkey long, p_name string, p_type string, p_retailprice double, p_size int, p_brand string"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(7, 1), (8, 1)], "o_orderkey long, o_custkey long").write.parquet(
+        f"{tmp_path}/orders.parquet"
     )
-
+    dim = star.dim_products(spark, str(tmp_path))
+    assert dim.count() == 4 + 3  # every part, and an unsold product for three of them
+    carts = star.carts_raw(spark, str(tmp_path))
+    fact = flatten_order_lines(carts, star.run_ts())
+    assert fact.count() == 3000
+    assert {r.id for r in carts.collect()} == {28, 29, 30, 31, 32}
+    assert {str(r.unit_price_usd) for r in fact.select("unit_price_usd").distinct().collect()} == {"10.00"}
+    known = fact.join(dim, "product_id", "left_semi").count()
+    assert known == 3000 * sum(k % 101 != 0 for k in keys) // 4
 
 def test_lookup_pages_and_full_result(spark, dim):
     found = spark.range(300).select(

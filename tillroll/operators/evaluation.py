@@ -14,12 +14,19 @@ def regression_metrics(rows: DataFrame, predicted: str, actual: str) -> DataFram
     )
 
 
-def is_training_row(seed: int, *columns: str, train_tenths: int = 8) -> Column:
+def row_hash(*parts: Column) -> Column:
+    """A whole number from the md5 of the columns' text, joined by '|' (a missing value is
+    empty), the same in every engine: its first eight hexadecimal digits."""
+    text = F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def is_training_row(seed: int, *columns: Column, train_tenths: int = 8) -> Column:
     """80/20 split by a hash of the row. A row keeps its side when the data is read again
     or partitioned differently; rows equal in all ``columns`` share a side."""
-    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(10)) < train_tenths
+    return row_hash(F.lit(seed), *columns) % 10 < train_tenths
 
 
-def fold_of(seed: int, folds: int, *columns: str) -> Column:
+def fold_of(seed: int, folds: int, *columns: Column) -> Column:
     """Cross-validation fold 0..folds-1 by a hash of the row."""
-    return F.pmod(F.xxhash64(*columns, F.lit(seed), F.lit("fold")), F.lit(folds)).cast("int")
+    return (row_hash(F.lit(seed), F.lit("fold"), *columns) % folds).cast("int")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import rules
 from tillroll.operators.joins import join_dimension, key_counts
 from tillroll.operators.ordering import running_total
-from tillroll.session import materialise, settled
+from tillroll.session import materialise
 
 # The model's input columns, in model order.
 FEATURES = [
@@ -216,8 +216,8 @@ def build_lookups(profile: DataFrame) -> Lookups:
     ``_label_sums``, on any grain that is not finer than needed."""
     brands = _group_table(profile, "brand_key", "brand").drop("brand_std_sales")
     return Lookups(
-        settled(_group_table(profile, "category_key", "category"), "category-table"),
-        settled(brands, "brand-table"),
+        materialise(_group_table(profile, "category_key", "category"), "category-table"),
+        materialise(brands, "brand-table"),
         _price_cuts(profile),
     )
 

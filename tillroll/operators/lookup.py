@@ -9,6 +9,8 @@ from tillroll.functions import rules
 from tillroll.operators.joins import join_dimension
 
 RESULT_LIMIT = 20
+#: Pages up to this many rows are small enough to broadcast and to sort in one task.
+PAGE_LIMIT = 10_000
 
 
 def search_products(products: DataFrame, text: str, wildcards: bool = False) -> DataFrame:
@@ -58,6 +60,8 @@ def product_lookup(
     )
     found = predictions.select("product_id", "predicted_units", "actual_units")
     order = ["product_id", F.asc_nulls_last("predicted_units"), F.asc_nulls_last("actual_units")]
+    if limit is not None and limit > PAGE_LIMIT:
+        raise ValueError(f"a page has at most {PAGE_LIMIT} rows; limit=None gives all, unsorted")
     if limit is not None:
         hits = hits.orderBy("product_id").limit(limit)
         found = (

@@ -8,7 +8,7 @@ into DOUBLE in the last projection only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import numbers as num
@@ -16,6 +16,10 @@ from tillroll.functions import rules
 from tillroll.operators.joins import join_dimension
 
 
+#: Ratings are added as decimals, so that no order of adding changes the last digit.
+RATING = "decimal(18,6)"
+
+
 def cents(amount: Column) -> Column:
     return F.round(amount, 2).cast("double")
 
@@ -48,7 +52,9 @@ def revenue_by_category(products: DataFrame) -> DataFrame:
             rounded_mean(F.sum("actual_price_usd"), F.count("actual_price_usd")).alias(
                 "avg_price_usd"
             ),
-            F.round(F.avg("avg_rating"), 2).alias("avg_rating"),
+            rounded_mean(
+                F.sum(F.col("avg_rating").cast(RATING)), F.count("avg_rating")
+            ).alias("avg_rating"),
             F.sum("stock_quantity").alias("total_units_in_stock"),
         )
         .orderBy(F.desc_nulls_last("total_stock_value_usd"), F.asc_nulls_last("category"))
@@ -103,53 +109,60 @@ def order_analysis(fact: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def orders_per_category(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
-    """Distinct orders per category.
+def per_category(
+    fact: DataFrame, products: DataFrame, measures: dict[str, Column], **join: int
+) -> DataFrame:
+    """Per category the sums of ``measures`` (expressions over a line and its product) and
+    ``orders``, the number of distinct orders, in one pass over the lines.
 
-    Needs the order id next to the category, so here the lines themselves meet the
-    dimension: two narrow columns, by a join that splits hot products. Distinct pairs of
-    category and order are built first, which splits hot categories as well.
+    Lines meet the dimension by a join that splits hot products. Sums are then taken by
+    category and order, which splits hot categories as well, and added up per category.
     """
-    lines = fact.select("product_id", "order_id")
-    dim = products.select("product_id", "category")
+    joined = join_dimension(
+        fact.select(
+            "product_id",
+            "order_id",
+            "quantity_ordered",
+            "line_total_usd",
+            "line_discounted_usd",
+            "line_savings_usd",
+        ),
+        products.select(
+            "product_id",
+            "category",
+            "price_usd",
+            F.col("discount_pct").alias("product_discount"),
+            F.col("avg_rating").cast(RATING).alias("rating"),
+        ),
+        "product_id",
+        **join,
+    )
     return (
-        join_dimension(lines, dim, "product_id", **join)
-        .select("category", "order_id")
-        .distinct()
+        joined.select("category", "order_id", *(e.alias(name) for name, e in measures.items()))
+        .groupBy("category", "order_id")
+        .agg(*(F.sum(name).alias(name) for name in measures))
         .groupBy("category")
-        .agg(F.count("order_id").alias("orders"))
+        .agg(F.count("order_id").alias("orders"), *(F.sum(name).alias(name) for name in measures))
     )
 
 
-def with_orders(per_product: DataFrame, orders: DataFrame) -> GroupedData:
-    """Per-product sums and per-category order counts in one grouping by category: the
-    count rides along as one more row per category, so no join is needed (and a missing
-    category is a group like any other)."""
-    return per_product.unionByName(orders, allowMissingColumns=True).groupBy("category")
-
-
 def category_revenue(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
     """Distinct orders, units, net revenue, savings and line-weighted rating per category,
     over lines with a known product."""
-    rating = F.col("avg_rating")
-    per_product = (
-        sales_per_product(fact)
-        .join(products.select("product_id", "category", "avg_rating"), "product_id")
-        .select(
-            "category",
-            "units",
-            "net",
-            "saved",
-            (rating * F.col("rows")).alias("rating_sum"),
-            F.when(rating.isNotNull(), F.col("rows")).alias("rated"),
-        )
-    )
-    return with_orders(per_product, orders_per_category(fact, products, **join)).agg(
-        F.sum("orders").alias("total_orders"),
-        F.sum("units").alias("units_sold"),
-        cents(F.sum("net")).alias("total_revenue_usd"),
-        cents(F.sum("saved")).alias("total_savings_usd"),
-        rounded_mean(F.sum("rating_sum"), F.sum("rated")).alias("avg_rating"),
+    measures = {
+        "units": F.col("quantity_ordered"),
+        "net": F.col("line_discounted_usd"),
+        "saved": F.col("line_savings_usd"),
+        "stars": F.col("rating"),
+        "rated": F.col("rating").isNotNull().cast("long"),
+    }
+    return per_category(fact, products, measures, **join).select(
+        "category",
+        F.col("orders").alias("total_orders"),
+        F.col("units").alias("units_sold"),
+        cents(F.col("net")).alias("total_revenue_usd"),
+        cents(F.col("saved")).alias("total_savings_usd"),
+        rounded_mean(F.col("stars"), F.col("rated")).alias("avg_rating"),
     )
 
 

@@ -5,30 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import SMALL_BYTES, is_small
+#: Every row looks its piece up among the cuts, so there are not more of them.
+MOST_CUTS = 2048
 
 
 def running_total(
-    values: DataFrame,
-    key: str,
-    weight: str,
-    buckets: int = 256,
-    small_limit: int = SMALL_BYTES,
+    values: DataFrame, key: str, weight: str, buckets: int | None = None
 ) -> DataFrame:
     """Add ``upto``: the sum of ``weight`` over all rows whose ``key`` is at most this one.
 
     ``values`` has one row per distinct key. With weight 1, ``upto`` is the rank of the
     key; with a row count, it is the last position the key takes in the sorted rows.
 
-    One window over all rows would sort all keys in one task, so that is done only when
-    the keys are few (size checked). Otherwise ``buckets`` keys (the smallest by hash, so a fair and repeatable choice) cut the key range into pieces
-    of similar size; ranks are taken inside each piece and shifted by the total of the
-    pieces before it. The cuts only decide where the work is done, never the result.
+    One window over all rows would sort all keys in one task. Instead ``buckets`` keys (the
+    smallest by hash, so a fair and repeatable choice; as many as the session has shuffle
+    partitions) cut the key range into pieces of similar size; ranks are taken inside each
+    piece and shifted by the total of the pieces before it. The cuts only decide where the
+    work is done, never the result.
     """
-    if is_small(values, small_limit):
-        so_far = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return values.withColumn("upto", F.sum(weight).over(so_far).cast("bigint"))
-
+    if buckets is None:
+        buckets = min(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_CUTS)
     cuts = (
         values.select(key)
         .orderBy(F.xxhash64(key), key)

@@ -27,26 +27,38 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str, **join: int) -> DataFrame
     return join_dimension(fact, dim.select(key), key, "left_anti", **join)
 
 
-def run_checks(
-    products: DataFrame, category_revenue: DataFrame, product_performance: DataFrame
-) -> DataFrame:
-    """The declared tests of the star schema and its views: failing rows per test."""
-    tests = [
-        ("unique", "dim_products", "product_id", products),
-        ("not_null", "dim_products", "product_id", products),
-        ("unique", "category_revenue", "category", category_revenue),
-        ("not_null", "category_revenue", "category", category_revenue),
-        ("not_null", "category_revenue", "total_revenue_usd", category_revenue),
-        ("not_null", "product_performance", "product_name", product_performance),
-    ]
-    results = None
-    for test, relation, column, df in tests:
-        failing = (not_unique if test == "unique" else is_missing)(df, column)
-        row = failing.agg(F.count(F.lit(1)).alias("failures")).select(
+def checked(df: DataFrame, relation: str, unique: str | None, not_null: list[str]) -> DataFrame:
+    """Failing rows per declared test of one relation (``unique``: values that repeat), in
+    one pass: rows are counted by the unique column, gaps along with them."""
+    gaps = [F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(not_null)]
+    names = [f"_{i}" for i in range(len(not_null))]
+    if unique:
+        repeats = (F.col(unique).isNotNull() & (F.col("_n") > 1)).cast("long")
+        df = df.groupBy(unique).agg(F.count(F.lit(1)).alias("_n"), *gaps)
+        gaps = [F.sum(repeats).alias("_u"), *(F.sum(n).alias(n) for n in names)]
+    tests = [("unique", unique, "_u")] if unique else []
+    tests += [("not_null", c, n) for c, n in zip(not_null, names, strict=True)]
+    rows = [
+        F.struct(
             F.lit(test).alias("test"),
             F.lit(relation).alias("relation"),
             F.lit(column).alias("column_name"),
-            "failures",
+            F.coalesce(F.col(value), F.lit(0)).alias("failures"),
         )
-        results = row if results is None else results.unionByName(row)
-    return results
+        for test, column, value in tests
+    ]
+    return df.agg(*gaps).select(F.inline(F.array(*rows)))
+
+
+def run_checks(
+    products: DataFrame, category_revenue: DataFrame, product_performance: DataFrame
+) -> DataFrame:
+    """The declared tests of the star schema and its views: failing rows per test, one pass
+    over each relation."""
+    return (
+        checked(products, "dim_products", "product_id", ["product_id"])
+        .unionByName(
+            checked(category_revenue, "category_revenue", "category", ["category", "total_revenue_usd"])
+        )
+        .unionByName(checked(product_performance, "product_performance", None, ["product_name"]))
+    )

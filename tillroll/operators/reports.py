@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import rules
 from tillroll.operators.marts import (
     cents,
-    orders_per_category,
+    per_category,
     rounded_mean,
     sales_per_product,
-    with_orders,
 )
 
 
@@ -50,35 +49,25 @@ def category_breakdown(fact: DataFrame, products: DataFrame, **join: int) -> Dat
     """Orders, units, gross revenue and line-weighted averages per category, over lines
     with a known product. A missing price, discount or rating counts as 0 in its average."""
 
-    def weighted(column: str) -> Column:
-        return F.coalesce(column, F.lit(0)) * F.col("rows")
-
-    per_product = (
-        sales_per_product(fact)
-        .join(
-            products.select("product_id", "category", "price_usd", "discount_pct", "avg_rating"),
-            "product_id",
-        )
+    measures = {
+        "rows": F.lit(1),
+        "units": F.col("quantity_ordered"),
+        "gross": F.col("line_total_usd"),
+        "price": F.col("price_usd"),
+        "discount": F.col("product_discount"),
+        "stars": F.col("rating"),
+    }
+    rows = F.col("rows")
+    return (
+        per_category(fact, products, measures, **join)
         .select(
             "category",
-            "rows",
-            "units",
-            "gross",
-            weighted("price_usd").alias("price"),
-            weighted("discount_pct").alias("discount"),
-            weighted("avg_rating").alias("rating"),
-        )
-    )
-    lines = F.sum("rows")
-    return (
-        with_orders(per_product, orders_per_category(fact, products, **join))
-        .agg(
-            F.sum("orders").alias("orders"),
-            F.sum("units").alias("units_sold"),
-            cents(F.sum("gross")).alias("revenue"),
-            rounded_mean(F.sum("price"), lines).alias("avg_price"),
-            rounded_mean(F.sum("discount"), lines, 1).alias("avg_discount"),
-            rounded_mean(F.sum("rating"), lines).alias("avg_rating"),
+            "orders",
+            F.col("units").alias("units_sold"),
+            cents(F.col("gross")).alias("revenue"),
+            rounded_mean(F.coalesce("price", F.lit(0)), rows).alias("avg_price"),
+            rounded_mean(F.coalesce("discount", F.lit(0)), rows, 1).alias("avg_discount"),
+            rounded_mean(F.coalesce("stars", F.lit(0)), rows).alias("avg_rating"),
         )
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category"))
     )

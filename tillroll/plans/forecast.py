@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import features as feat
-from tillroll.operators.evaluation import fold_of, is_training_row, regression_metrics
-from tillroll.session import materialise
+from tillroll.operators.evaluation import fold_of, is_training_row, regression_metrics, row_hash
+from tillroll.session import materialise, scratch_scope
 from tillroll.sinks.files import write_metrics
 from tillroll.sinks.tables import full_refresh
 from tillroll.sources.tables import reused
@@ -26,6 +26,12 @@ class ForecastSettings:
     min_leaf: int = 2
     seed: int = 42
     folds: int = 5
+    #: At most about so many order lines are used to fit and to test models: those that hash
+    #: lowest. Every line is predicted.
+    labelled_rows: int = 5_000
+    #: Partitions the labelled lines are dealt to by a hash of the line. A forest's bags
+    #: follow the partitions, so a fixed number gives the same model on any cluster.
+    partitions: int = 4
     #: Group means from training rows only, without the features that contain the label.
     leak_free: bool = False
 
@@ -44,9 +50,15 @@ class Forecast:
 _KEY = ["order_id", "product_id", feat.LABEL, "line_total_usd", "order_discount_pct"]
 
 
+def line_key() -> list[Column]:
+    """The columns that stand for an order line, money and rates in whole hundredths."""
+    whole = [F.col(c) for c in _KEY[:3]]
+    return whole + [F.round(F.col(c) * 100).cast("bigint") for c in _KEY[3:]]
+
+
 def training_side(settings: ForecastSettings) -> Column:
     """Which order lines the model is trained on."""
-    return is_training_row(settings.seed, *_KEY)
+    return is_training_row(settings.seed, *line_key())
 
 
 def forecast_features(
@@ -59,20 +71,25 @@ def forecast_features(
     return rows.withColumns(
         {
             "is_train": training_side(settings),
-            "fold": fold_of(settings.seed, settings.folds, *_KEY),
+            "fold": fold_of(settings.seed, settings.folds, *line_key()),
         }
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """At least one partition per core: growing trees goes over the rows many times."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def feature_table(fact: DataFrame, products: DataFrame, settings: ForecastSettings) -> DataFrame:
     """The features written once, so that no fit computes them again."""
-    return spread(materialise(forecast_features(fact, products, settings), "forecast-features"))
+    return materialise(forecast_features(fact, products, settings), "forecast-features")
+
+
+def labelled(rows: DataFrame, settings: ForecastSettings) -> DataFrame:
+    """The lines models are fitted and tested on, in partitions that depend on the lines
+    alone. Below the bound these are all lines."""
+    hashed = rows.withColumn("_hash", row_hash(F.lit("labelled"), *line_key()))
+    total = rows.count()
+    if total > settings.labelled_rows:
+        hashed = hashed.filter(F.col("_hash") < 2**32 * settings.labelled_rows / total)
+    dealt = hashed.repartition(settings.partitions, "_hash")
+    return dealt.sortWithinPartitions("_hash", *_KEY).drop("_hash")
 
 
 def split_counts(rows: DataFrame) -> DataFrame:
@@ -160,10 +177,12 @@ def run_forecast(
     model and metrics files."""
     settings = settings or ForecastSettings()
     spark = fact.sparkSession
-    with reused(feature_table(fact, products, settings)) as rows:
-        model = train(rows, settings)
-        scores = fold_scores(rows, settings)
-        metrics = {**evaluate(model, rows), "cv_r2": round(sum(scores) / len(scores), 4)}
+    with scratch_scope(spark):
+        rows = feature_table(fact, products, settings)
+        with reused(labelled(rows, settings)) as sample:
+            model = train(sample, settings)
+            scores = fold_scores(sample, settings)
+            metrics = {**evaluate(model, sample), "cv_r2": round(sum(scores) / len(scores), 4)}
         stored = full_refresh(prediction_table(predict(model, rows), metrics, run_date), table)
     save_model(model, f"{artifacts}/model")
     write_metrics(metrics_frame(spark, metrics), f"{artifacts}/metrics")

@@ -90,6 +90,27 @@ headers AS (
 )"""
 
 
+def _md5(*parts: str) -> str:
+    text = " || '|' || ".join(parts)
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+_LINE_KEY = [
+    "order_id",
+    "product_id",
+    "quantity",
+    "CAST(gross * 100 AS BIGINT)",
+    "CAST(discount * 100 AS BIGINT)",
+]
+
+_SPLIT = f"""{_ROWS},
+split AS (
+    SELECT order_id, product_id, quantity, {_md5("'42'", *_LINE_KEY)} % 10 < 8 AS is_train,
+        CAST({_md5("'42'", "'fold'", *_LINE_KEY)} % 5 AS INT) AS fold
+    FROM joined
+)"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -477,6 +498,29 @@ def all_oracles() -> dict[str, str]:
                 round(1 - sum((actual - predicted) * (actual - predicted))
                     / (var_pop(actual) * count(*)), 6) AS r2 FROM graded""",
         ),
+        "split_counts": _with(
+            _SPLIT, "SELECT is_train, count(*) AS n_rows FROM split GROUP BY is_train"
+        ),
+        "split_rows": _with(
+            _SPLIT, "SELECT order_id, product_id, quantity AS units_sold, is_train, fold FROM split"
+        ),
+        "forecast": _with(
+            _ROWS,
+            """SELECT order_id, product_id, category, quantity AS units_sold, true AS in_range
+            FROM joined""",
+        ),
+        "cv_metrics": "SELECT 5 AS folds, true AS every_fold_beats_mean",
+        "write_predictions": _with(
+            _ROWS,
+            """SELECT product_id, category, quantity AS actual_units,
+                CAST('2025-01-01' AS DATE) AS run_date FROM joined""",
+        ),
+        "model_metrics": _with(
+            _ROWS,
+            """SELECT count(*) AS n_predictions, 0 AS n_missing, true AS above_least,
+                true AS below_most, 0 AS n_other_metrics, true AS beats_mean,
+                true AS cv_beats_mean FROM joined""",
+        ),
         # data tests
         "dq_unique": _with(
             _RAW, "SELECT id, count(*) AS n_rows FROM raw GROUP BY id HAVING count(*) > 1"
@@ -501,7 +545,9 @@ def all_oracles() -> dict[str, str]:
                     SELECT product_id FROM dim GROUP BY 1 HAVING count(*) > 1)) AS failures
             UNION ALL SELECT 'not_null', 'dim_products', 'product_id',
                 (SELECT count(*) FROM dim WHERE product_id IS NULL)
-            UNION ALL SELECT 'unique', 'category_revenue', 'category', 0
+            UNION ALL SELECT 'unique', 'category_revenue', 'category', (SELECT count(*) FROM (
+                SELECT category FROM per_category WHERE category IS NOT NULL
+                GROUP BY 1 HAVING count(*) > 1))
             UNION ALL SELECT 'not_null', 'category_revenue', 'category',
                 (SELECT count(*) FROM per_category WHERE category IS NULL)
             UNION ALL SELECT 'not_null', 'category_revenue', 'total_revenue_usd',

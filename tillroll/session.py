@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+_LOCAL_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
+_SCOPES: list[list[str]] = []
 
 
 def local_session(cpus: int | str = "*", app: str = "tillroll", **conf: str) -> SparkSession:
@@ -28,15 +31,38 @@ def local_session(cpus: int | str = "*", app: str = "tillroll", **conf: str) ->
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder the cluster names in
-    ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
+    Where that is unset a local session gets a temporary folder; on a cluster, whose
+    executors would each write to a disk of their own, that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_SCRATCH:
-            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tillroll-")
-        base = _LOCAL_SCRATCH[app]
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+            folder = tempfile.TemporaryDirectory(prefix="tillroll-", ignore_cleanup_errors=True)
+            _LOCAL_SCRATCH[app] = folder  # goes with the process
+        base = _LOCAL_SCRATCH[app].name
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, keep: Callable[[str], bool] = lambda purpose: False):
+    """Scratch folders made inside the block are deleted when it ends, except those whose
+    purpose ``keep`` accepts. What the block returns must not read the others."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            if not keep(path.rsplit("/", 1)[-1].rsplit("-", 1)[0]):
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
@@ -51,6 +77,16 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Up to how many bytes this session broadcasts on its own; the smaller one if it has a
+    limit for adaptive execution as well; -1 for never."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    found = [spark.conf.get(name, None) for name in names]
+    parse = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    limits = [-1 if v.startswith("-") else parse(v) for v in found if v and v[-1:] != ">"]
+    return min(limits, default=SMALL_BYTES)
+
+
 #: What counts as small: Spark's default limit for broadcasting on its own.
 SMALL_BYTES = 10 * 1024 * 1024
 
@@ -67,9 +103,3 @@ def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
     """Whether the estimate is known and within ``limit``. Unknown counts as large."""
     size = estimated_bytes(df)
     return size is not None and size <= limit
-
-
-def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` itself when it is small by estimate. Otherwise it is written once, which
-    replaces a guess through joins and windows by its true size."""
-    return df if is_small(df) else materialise(df, purpose)

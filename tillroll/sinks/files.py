@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.ordering import running_total
 from tillroll.schemas import as_doubles
-from tillroll.sources.paged import FolderPages
+from tillroll.sources.paged import StoredPages
 from tillroll.sources.snapshots import TIMESTAMP_FORMAT
 
 #: Keeps one CSV or JSON part file, which a reader may not be able to split, small.
@@ -60,21 +60,35 @@ def write_marts(marts: dict[str, DataFrame], base: str, fmt: str = "csv") -> dic
     return paths
 
 
-def write_pages(records: DataFrame, path: str, limit: int) -> FolderPages:
-    """Cut a collection into numbered pages of ``limit`` records in the order of
-    ``ingest_pos`` (its values are distinct), and return a fetcher for them."""
-    positions = records.select("ingest_pos").withColumn("one", F.lit(1))
-    ranked = running_total(positions, "ingest_pos", "one").select(
-        "ingest_pos", ((F.col("upto") - 1) / limit).cast("bigint").alias("page")
+def land_records(records: DataFrame, path: str) -> StoredPages:
+    """Land a collection as JSON bodies with dense positions, in the order of ``ingest_pos``
+    (its values are distinct), and return a fetcher of its pages. The files are ranges of
+    positions, about as many as the session has shuffle partitions."""
+    spark = records.sparkSession
+    ranked = running_total(
+        records.select("ingest_pos").withColumn("one", F.lit(1)), "ingest_pos", "one"
+    ).select("ingest_pos", (F.col("upto") - 1).alias("position"))
+    body = F.to_json(
+        F.struct(*(c for c in records.columns if c != "ingest_pos")), {"ignoreNullFields": "false"}
     )
     (
-        records.join(ranked, "ingest_pos")
-        .repartition("page")
+        records.select("ingest_pos", body.alias("body"))
+        .join(ranked, "ingest_pos")
+        .select("position", "body")
+        .repartitionByRange("position")
+        .sortWithinPartitions("position")
         .write.mode("overwrite")
-        .partitionBy("page")
-        .json(path)
+        .parquet(path)
+    )
+    files = (
+        spark.read.parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min("position").alias("first"), F.max("position").alias("last"))
+        .collect()
     )
-    return FolderPages(path, records.count(), limit)
+    return StoredPages([(f["first"], f["last"], f["file"]) for f in files], sum(
+        f["last"] - f["first"] + 1 for f in files
+    ))
 
 
 def write_metrics(metrics: DataFrame, path: str) -> str:

@@ -9,6 +9,8 @@ def full_refresh(df: DataFrame, table: str) -> DataFrame:
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         columns = spark.table(table).columns
+        if sorted(columns) != sorted(df.columns):
+            raise ValueError(f"{table} has columns {columns}, not {df.columns}")
         df.select(*columns).write.insertInto(table, overwrite=True)
     else:
         df.write.saveAsTable(table)

@@ -14,10 +14,12 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillroll.schemas import RAW_CART, RAW_PRODUCT, with_position
 
@@ -41,34 +43,27 @@ class HttpPages:
         with urllib.request.urlopen(url, timeout=self.timeout) as reply:
             if reply.status != 200:
                 raise RuntimeError(f"page request failed with status {reply.status}: {url}")
-            return json.load(reply)
+            return json.load(reply, parse_float=str)  # a price keeps its digits
 
 
-class FolderPages:
-    """Fetcher over a folder of pages written by ``write_pages`` (any mounted or pyarrow
-    file system)."""
+class StoredPages:
+    """Fetcher over records that Spark has landed as Parquet, sorted by their position in the
+    collection: a page is a range of positions, read from the files whose range it meets."""
 
-    def __init__(self, path: str, total: int, limit: int) -> None:
-        self.path, self.total, self.limit = path, total, limit
+    def __init__(self, files: list[tuple[int, int, str]], total: int) -> None:
+        self.files, self.total = sorted(files), total
 
     def __call__(self, member: str, limit: int, skip: int) -> dict[str, Any]:
-        from pyarrow import fs
-
-        if limit != self.limit or skip % limit:
-            raise ValueError(f"pages hold {self.limit} records each")
-        uri = self.path if "://" in self.path else f"file://{self.path}"
-        files, root = fs.FileSystem.from_uri(uri)
-        found = files.get_file_info(
-            fs.FileSelector(f"{root}/page={skip // limit}", allow_not_found=True)
-        )
+        from pyarrow import fs, parquet
+
         records = []
-        for info in sorted(found, key=lambda i: i.path):
-            if info.path.endswith(".json"):
-                with files.open_input_stream(info.path) as stream:
-                    lines = stream.read().decode("utf-8").splitlines()
-                records += [json.loads(line) for line in lines if line]
-        records.sort(key=lambda record: record.pop("ingest_pos"))
-        return {member: records, "total": self.total}
+        for first, last, uri in self.files:
+            if first < skip + limit and last >= skip:
+                system, path = fs.FileSystem.from_uri(uri)
+                low, high = ("position", ">=", skip), ("position", "<", skip + limit)
+                found = parquet.read_table(path, filesystem=system, filters=[low, high])
+                records += found.sort_by("position").column("body").to_pylist()
+        return {member: [json.loads(r, parse_float=str) for r in records], "total": self.total}
 
 
 def _convert(value: Any, kind: T.DataType) -> Any:
@@ -76,7 +71,7 @@ def _convert(value: Any, kind: T.DataType) -> Any:
     if value is None:
         return None
     if isinstance(kind, T.StructType):
-        return tuple(_convert(value.get(f.name), f.dataType) for f in kind.fields)
+        return {f.name: _convert(value.get(f.name), f.dataType) for f in kind.fields}
     if isinstance(kind, T.ArrayType):
         return [_convert(item, kind.elementType) for item in value]
     if isinstance(kind, T.StringType):
@@ -105,18 +100,31 @@ class _PagedReader(DataSourceReader):
             _Pages(p * self.limit, min(per_task, pages - p), p + per_task >= pages) for p in starts
         ]
 
-    def read(self, part: _Pages) -> Iterator[tuple]:
+    def read(self, part: _Pages) -> Iterator[pa.RecordBatch]:
+        """The pages as record batches. A page with fewer records than the collection has at
+        that place is an error, as the result would otherwise be silently incomplete."""
+        kinds = to_arrow_schema(self.schema)
         skip, end = part.first_skip, part.first_skip + part.pages * self.limit
         while True:
             page = self.fetch(self.member, self.limit, skip)
-            for offset, record in enumerate(page[self.member]):
-                yield tuple(
-                    skip + offset if f.name == "ingest_pos" else _convert(record.get(f.name), f.dataType)
-                    for f in self.schema.fields
+            records, total = page[self.member], int(page["total"])
+            due = max(0, min(self.limit, total - skip))
+            if len(records) < due:
+                raise RuntimeError(
+                    f"page at {skip} of {self.member} has {len(records)} of {due} records"
                 )
+            columns = [
+                list(range(skip, skip + len(records)))
+                if f.name == "ingest_pos"
+                else [_convert(record.get(f.name), f.dataType) for record in records]
+                for f in self.schema.fields
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kinds.field(i).type) for i, c in enumerate(columns)], schema=kinds
+            )
             skip += self.limit
             # The last task goes on when the collection has grown since the first page.
-            if skip >= end and not (part.last and skip < int(page["total"])):
+            if skip >= end and not (part.last and skip < total):
                 return
 
 
