@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import rules
@@ -222,17 +222,47 @@ def build_lookups(profile: DataFrame) -> Lookups:
     )
 
 
-def attach_lookups(df: DataFrame, lookups: Lookups, **join: int) -> DataFrame:
+def save_lookups(lookups: Lookups, path: str) -> None:
+    """One Parquet folder per lookup table."""
+    for name, table in lookups._asdict().items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_lookups(spark: SparkSession, path: str) -> Lookups:
+    return Lookups(*(spark.read.parquet(f"{path}/{name}") for name in Lookups._fields))
+
+
+def apply_features(
+    rows: DataFrame, lookups: Lookups, keep: list[str] | None = None, **join: int
+) -> DataFrame:
+    """Features of any frame of order lines by lookups fitted before. A category or brand that
+    they lack has code -1 and average 0; no row is lost."""
+    attached = attach_lookups(rows, lookups, how="left", **join)
+    gaps = {c: F.coalesce(c, F.lit(-1)).cast("bigint") for c in ("category_enc", "brand_enc")}
+    means = ("category_avg_sales", "category_std_sales", "brand_avg_sales")
+    filled = attached.withColumns({**gaps, **{c: F.coalesce(c, F.lit(0.0)) for c in means}})
+    return _finish(
+        filled.withColumns({**price_features(), **flag_features(), **stock_features()}),
+        keep if keep is not None else ["product_id", "category"],
+    )
+
+
+def attach_lookups(df: DataFrame, lookups: Lookups, how: str = "inner", **join: int) -> DataFrame:
     """Codes, group means and price tier for rows with category, brand and price_usd.
 
     Tier = number of distinct quartile edges above the lowest price that lie below this
     one: bins are closed on the right and edges that coincide collapse.
     """
     keyed = _group_keys(df)
-    with_category = join_dimension(keyed, lookups.categories, "category_key", **join)
+    with_category = join_dimension(keyed, lookups.categories, "category_key", how, **join)
     # Every row has its category and brand there, so counts before the joins still hold.
     with_brand = join_dimension(
-        with_category, lookups.brands, "brand_key", counts=key_counts(keyed, "brand_key"), **join
+        with_category,
+        lookups.brands,
+        "brand_key",
+        how,
+        counts=key_counts(keyed, "brand_key"),
+        **join,
     )
     price = F.col("price_usd").cast("double")
     return (
@@ -268,22 +298,25 @@ def _finish(rows: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def engineer_features(
-    rows: DataFrame, label_rows: Column | None = None, keep: list[str] | None = None, **join: int
-) -> DataFrame:
-    """Features for any frame of training rows: ``keep`` columns, the label, 18 features.
-
-    ``label_rows`` limits whose labels enter the group means (e.g. the training side of a
-    split). The rows are aggregated once to (category, brand, price) before anything else.
-    """
-    keep = keep if keep is not None else ["product_id", "category"]
+def fit_lookups(rows: DataFrame, label_rows: Column | None = None) -> Lookups:
+    """The lookups of a frame of training rows, which are aggregated once to (category, brand,
+    price). ``label_rows`` limits whose labels enter the group means (e.g. the training side
+    of a split)."""
     profile = materialise(
         _group_keys(rows)
         .groupBy("category_key", "brand_key", "price_usd")
         .agg(*_label_sums(label_rows)),
         "feature-profile",
     )
-    attached = attach_lookups(rows, build_lookups(profile), **join)
+    return build_lookups(profile)
+
+
+def engineer_features(
+    rows: DataFrame, label_rows: Column | None = None, keep: list[str] | None = None, **join: int
+) -> DataFrame:
+    """Features for any frame of training rows: ``keep`` columns, the label, 18 features."""
+    keep = keep if keep is not None else ["product_id", "category"]
+    attached = attach_lookups(rows, fit_lookups(rows, label_rows), **join)
     return _finish(
         attached.withColumns({**price_features(), **flag_features(), **stock_features()}), keep
     )

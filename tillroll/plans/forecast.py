@@ -174,7 +174,7 @@ def run_forecast(
     run_date: date | None = None,
 ) -> Forecast:
     """Features -> split -> forest -> metrics and cross-validation -> predictions table,
-    model and metrics files."""
+    model, feature lookups (``features.load_lookups``) and metrics files."""
     settings = settings or ForecastSettings()
     spark = fact.sparkSession
     with scratch_scope(spark):
@@ -184,6 +184,9 @@ def run_forecast(
             scores = fold_scores(sample, settings)
             metrics = {**evaluate(model, sample), "cv_r2": round(sum(scores) / len(scores), 4)}
         stored = full_refresh(prediction_table(predict(model, rows), metrics, run_date), table)
+        label_rows = training_side(settings) if settings.leak_free else None
+        lookups = feat.fit_lookups(feat.training_rows(fact, products), label_rows)
+        feat.save_lookups(lookups, f"{artifacts}/lookups")
     save_model(model, f"{artifacts}/model")
     write_metrics(metrics_frame(spark, metrics), f"{artifacts}/metrics")
     return Forecast(model, metrics, stored)

@@ -282,6 +282,47 @@ _ALL_FEATURES = _features(
 _DIM_ROWS = _with(_DIM, f"SELECT {_DIM_COLUMNS} FROM dim")
 
 
+def _order_analysis() -> str:
+    return _with(
+        f"{_DIM}, {_LINES}",
+        f"""SELECT category, count(*) AS total_order_lines,
+            CAST(sum(net) AS DOUBLE) AS total_revenue_usd,
+            {_mean('sum(quantity)', 'count(*)')} AS avg_qty_per_order,
+            CAST(sum(gross - net) AS DOUBLE) AS total_customer_savings_usd
+        FROM lines LEFT JOIN dim USING (product_id) GROUP BY category""",
+    )
+
+
+def _ingest_counts() -> str:
+    return _with(
+        _RAW,
+        """SELECT 'products' AS relation, count(*) AS raw_rows,
+            count(DISTINCT id) AS clean_rows FROM raw
+        UNION ALL SELECT 'orders', (SELECT count(*) FROM (
+                SELECT DISTINCT o_orderkey, (l_partkey + l_linenumber) % 4
+                FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)),
+            (SELECT count(*) FROM lineitem)""",
+    )
+
+
+def _catalogue() -> str:
+    return _with(
+        _DIM,
+        f"""SELECT category, count(*) AS total_products,
+            CAST(sum(actual_price_usd) AS DOUBLE) AS total_stock_value_usd,
+            {_mean('sum(actual_price_usd)', 'count(*)')} AS avg_price_usd,
+            round(avg(avg_rating), 2) AS avg_rating,
+            CAST(sum(stock_quantity) AS BIGINT) AS total_units_in_stock
+        FROM dim GROUP BY category""",
+    )
+
+
+def _ranked(report: str, rows: str, order: str) -> str:
+    return f"""SELECT '{report}' AS report, category,
+        CAST(row_number() OVER (ORDER BY {order} NULLS LAST, category NULLS LAST) AS INT) AS rank
+        FROM ({rows})"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         # sources and sinks
@@ -315,15 +356,7 @@ def all_oracles() -> dict[str, str]:
             """SELECT category, count(*) AS n_rows, sum(predicted) AS predicted_units
             FROM pred GROUP BY category""",
         ),
-        "ingest_row_counts": _with(
-            _RAW,
-            """SELECT 'products' AS relation, count(*) AS raw_rows,
-                count(DISTINCT id) AS clean_rows FROM raw
-            UNION ALL SELECT 'orders', (SELECT count(*) FROM (
-                    SELECT DISTINCT o_orderkey, (l_partkey + l_linenumber) % 4
-                    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)),
-                (SELECT count(*) FROM lineitem)""",
-        ),
+        "ingest_row_counts": _ingest_counts(),
         # cleaning
         "coerce_numeric": _with(
             _SPOILT,
@@ -352,15 +385,7 @@ def all_oracles() -> dict[str, str]:
         "clean_products": _DIM_ROWS,
         "flatten_order_lines": _FLAT_LINES,
         # marts and views
-        "revenue_by_category": _with(
-            _DIM,
-            f"""SELECT category, count(*) AS total_products,
-                CAST(sum(actual_price_usd) AS DOUBLE) AS total_stock_value_usd,
-                {_mean('sum(actual_price_usd)', 'count(*)')} AS avg_price_usd,
-                round(avg(avg_rating), 2) AS avg_rating,
-                CAST(sum(stock_quantity) AS BIGINT) AS total_units_in_stock
-            FROM dim GROUP BY category""",
-        ),
+        "revenue_by_category": _catalogue(),
         "dead_inventory": _with(
             _DIM,
             """SELECT product_name, category, stock_quantity, avg_rating,
@@ -375,14 +400,7 @@ def all_oracles() -> dict[str, str]:
                 count(*) AS products_discounted
             FROM dim GROUP BY category""",
         ),
-        "order_analysis": _with(
-            f"{_DIM}, {_LINES}",
-            f"""SELECT category, count(*) AS total_order_lines,
-                CAST(sum(net) AS DOUBLE) AS total_revenue_usd,
-                {_mean('sum(quantity)', 'count(*)')} AS avg_qty_per_order,
-                CAST(sum(gross - net) AS DOUBLE) AS total_customer_savings_usd
-            FROM lines LEFT JOIN dim USING (product_id) GROUP BY category""",
-        ),
+        "order_analysis": _order_analysis(),
         "category_revenue": _with(
             _ROWS,
             """SELECT category, count(DISTINCT order_id) AS total_orders,
@@ -521,6 +539,42 @@ def all_oracles() -> dict[str, str]:
                 true AS below_most, 0 AS n_other_metrics, true AS beats_mean,
                 true AS cv_beats_mean FROM joined""",
         ),
+        "features_by_saved_lookups": _ALL_FEATURES,
+        # entry points
+        "sql_over_views": _with(
+            _ROWS,
+            """SELECT category, count(DISTINCT order_id) AS total_orders,
+                (SELECT count(*) FROM (SELECT DISTINCT product_name, d.category, brand, avg_rating,
+                    stock_quantity, actual_price_usd FROM dim d
+                    WHERE d.category = joined.category
+                        AND product_id IN (SELECT product_id FROM lines))) AS n_products,
+                count(*) AS n_predictions
+            FROM joined GROUP BY category""",
+        ),
+        "search_wildcards": _with(
+            _DIM,
+            "SELECT product_id, product_name FROM dim WHERE lower(product_name) LIKE '%b_l%x%'",
+        ),
+        "search_by_id": _with(
+            _DIM,
+            """SELECT product_id, product_name FROM dim
+            WHERE contains(product_name, '291') OR product_id = 291""",
+        ),
+        "at_risk_products": _with(
+            _DIM,
+            """SELECT count(*) AS at_risk FROM dim
+            WHERE stock_quantity > 50 AND avg_rating < 3.5""",
+        ),
+        "mart_file_values": _order_analysis(),
+        "ingest_job": _ingest_counts(),
+        "display_order": " UNION ALL ".join(
+            [
+                _ranked("revenue", _with(_BREAKDOWN, _BREAKDOWN_SELECT), "revenue DESC"),
+                _ranked("units", _with(_BREAKDOWN, _BREAKDOWN_SELECT), "units_sold"),
+                _ranked("catalogue", _catalogue(), "total_stock_value_usd DESC"),
+                _ranked("orders", _order_analysis(), "total_revenue_usd DESC"),
+            ]
+        ),
         # data tests
         "dq_unique": _with(
             _RAW, "SELECT id, count(*) AS n_rows FROM raw GROUP BY id HAVING count(*) > 1"

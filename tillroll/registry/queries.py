@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators import (
@@ -21,7 +21,7 @@ from tillroll.operators import (
     reports,
 )
 from tillroll.operators.dedup import first_per_key
-from tillroll.plans import analytics, forecast, ingest
+from tillroll.plans import analytics, forecast, ingest, views
 from tillroll.sample import star
 from tillroll.schemas import (
     DIM_PRODUCTS,
@@ -33,6 +33,7 @@ from tillroll.schemas import (
 from tillroll.session import scratch_dir
 from tillroll.sinks import files, tables
 from tillroll.sources import landed, paged, snapshots
+from tillroll.sources.tables import run_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -565,6 +566,99 @@ def model_metrics(spark, sf_dir):
     )
 
 
+@_query
+def features_by_saved_lookups(spark, sf_dir):
+    """Lookups fitted, saved and loaded, then applied to the rows as if they were new."""
+    rows, path = features.training_rows(*_star(spark, sf_dir)), scratch_dir(spark, "lookups")
+    features.save_lookups(features.fit_lookups(rows), path)
+    loaded = features.load_lookups(spark, path)
+    return _rounded(features.apply_features(rows, loaded, keep=["order_id", "product_id"]))
+
+
+# -- entry points by text and by job ------------------------------------------------------
+
+
+@_query
+def sql_over_views(spark, sf_dir):
+    """The stored views, read by SQL text with a value marker."""
+    fact, dim = _star(spark, sf_dir)
+    views.create_views(fact, dim, star.predictions(spark, sf_dir))
+    return run_query(
+        spark,
+        """SELECT c.category, c.total_orders, p.n_products, q.n_predictions
+        FROM category_revenue c
+        JOIN (SELECT category, count(*) AS n_products FROM product_performance
+              WHERE units_sold >= :least GROUP BY category) p ON p.category = c.category
+        JOIN (SELECT category, count(*) AS n_predictions FROM prediction_quality
+              GROUP BY category) q ON q.category = c.category""",
+        {"least": 1},
+    )
+
+
+@_query
+def search_wildcards(spark, sf_dir):
+    hits = lookup.search_products(_dim(spark, sf_dir), "b_l%x", wildcards=True)
+    return hits.select("product_id", "product_name")
+
+
+@_query
+def search_by_id(spark, sf_dir):
+    """An id finds its product, and names that contain the digits."""
+    return lookup.search_products(_dim(spark, sf_dir), "291").select("product_id", "product_name")
+
+
+@_query
+def at_risk_products(spark, sf_dir):
+    return marts.dead_inventory(_dim(spark, sf_dir)).agg(F.count(F.lit(1)).alias("at_risk"))
+
+
+@_query
+def mart_file_values(spark, sf_dir):
+    """The order mart as it stands in its CSV file."""
+    built = analytics.build_marts(*_star(spark, sf_dir))
+    paths = files.write_marts(built, scratch_dir(spark, "marts"), "csv")
+    return snapshots.read_csv(spark, paths["order_analysis"], built["order_analysis"].schema)
+
+
+@_query
+def ingest_job(spark, sf_dir):
+    """Both ingest jobs end to end; the counts are those observed while they wrote."""
+    base = scratch_dir(spark, "ingest")
+    done = {
+        "products": ingest.ingest_products(star.products_raw(spark, sf_dir), base, RUN),
+        "orders": ingest.ingest_orders(star.carts_raw(spark, sf_dir), base, RUN),
+    }
+    rows = [
+        spark.read.text(report.raw_path).agg(
+            F.lit(name).alias("relation"),
+            F.count(F.lit(1)).alias("raw_rows"),
+            F.lit(report.clean_rows).cast("bigint").alias("clean_rows"),
+        )
+        for name, report in done.items()
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@_query
+def display_order(spark, sf_dir):
+    """Ranks of the categories as four reports show them."""
+    fact, dim = _star(spark, sf_dir)
+    breakdown = reports.category_breakdown(fact, dim)
+    shown = {
+        "revenue": breakdown,
+        "units": reports.units_by_category(breakdown),
+        "catalogue": marts.revenue_by_category(dim),
+        "orders": marts.order_analysis(fact, dim),
+    }
+    # a row per category: the sorted result is small, and its order is what is asked for
+    in_order = Window.orderBy(F.monotonically_increasing_id())
+    ranked = [
+        df.select(F.lit(name).alias("report"), "category", F.row_number().over(in_order).alias("rank"))
+        for name, df in shown.items()
+    ]
+    return ranked[0].union(ranked[1]).union(ranked[2]).union(ranked[3])
+
+
 # -- data tests ---------------------------------------------------------------------------
 
 
