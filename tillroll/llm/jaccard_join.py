@@ -306,23 +306,25 @@ def _met_across(
     """Pairs of one group but different components that bounds don't exclude; with
     ``nearest`` only, for each component, the pair with another whose bitmaps are closest."""
     rooted = groups.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    blocks = F.ceil(F.col("n") / BLOCK)
     several = (
-        rooted.groupBy("signature")
+        rooted.groupBy("signature", "n")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
         .filter("low <> high")
-        .select("signature")
+        .select("signature", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"))
     )
-    blocks = F.ceil(F.col("n") / BLOCK)
+    # joined and gathered by signature and block, so that a large group is many tasks' work
     placed = (
-        rooted.join(several, "signature", "left_semi")
+        rooted.withColumn("block", F.pmod(F.xxhash64("key"), blocks))
         .join(small.select("key", "size", "bitmap"), "key")
+        .join(several, ["signature", "block"], "left_semi")
         .select(
             "signature",
             blocks.alias("blocks"),
-            F.pmod(F.xxhash64("key"), blocks).alias("block"),
+            "block",
             F.struct("key", "root", "size", "bitmap").alias("m"),
         )
-        .groupBy("signature", "blocks", "block")
+        .groupBy("signature", "block", "blocks")
         .agg(F.collect_list("m").alias("members"))
     )
     placed = materialise(placed, "blocks")
