@@ -200,6 +200,34 @@ def test_repeated_passages_are_found_and_clean_texts_left(spark):
     assert chaining.repeated_passages(table(spark, [])).count() == 0
 
 
+def test_passages_whose_parts_other_documents_hold(spark):
+    docs = []
+    for f in range(12):  # two documents share 60 words, two others have one half each
+        base, n = prose(7000 + f, 60, 10**6), 10 * f
+        for i, part in enumerate((base, base, base[:30], base[30:])):
+            rest = prose(8000 + n + i, 120, 10**6)
+            docs.append((n + i, " ".join(rest[:50] + part + rest[50:])))
+    pieces = [prose(9000 + i, 26 + i % 9, 10**6) for i in range(24)]
+    for i in range(60):  # three pieces in any order: most repeats are parts of several others
+        r = random.Random(i)
+        docs.append((500 + i, " ".join(prose(9500 + i, 40, 10**6) + sum(r.sample(pieces, 3), []))))
+    docs += [(800, " ".join(["la"] * 70 + prose(1, 60, 10**6))), (801, " ".join(prose(2, 60, 10**6) + ["la"] * 55))]
+    want = {}
+    for d, t in docs:
+        w = words(t)
+        for p in range(len(w) - 49):
+            want.setdefault(tuple(w[p : p + 50]), set()).add((d, p))
+    want = [x for g in want.values() if len({d for d, _ in g}) > 1 for x in g]
+    assert {d for d, _ in want} >= {10 * f + i for f in range(12) for i in range(2)}
+    got = {}
+    for r in chaining.repeated_passages(table(spark, docs)).collect():
+        got.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"]))
+        assert r["partner_id"] != r["doc_id"] and r["matched"] >= 40
+    missed = [(d, p) for d, p in want if not any(a <= p and p + 50 <= b for a, b in got.get(d, []))]
+    assert not missed
+    assert not set(got) & {10 * f + i for f in range(12) for i in (2, 3)}
+
+
 # -- decontamination -----------------------------------------------------------------------
 
 
