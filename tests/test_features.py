@@ -193,3 +193,19 @@ def test_whole_job_twice(spark, sf_dir):
     saved = spark.read.json(f"{base}/metrics").first().asDict()
     assert saved == run.metrics
     assert PipelineModel.load(f"{base}/model").stages[1].getNumTrees == 3
+
+
+def test_metrics_cover_all_lines_held_out(spark, sf_dir):
+    fact, dim = star.order_lines(spark, sf_dir), star.dim_products(spark, sf_dir)
+    settings = forecast.ForecastSettings(trees=3, depth=3, folds=2, labelled_rows=400)
+    base = scratch_dir(spark, "job")
+    run = forecast.run_forecast(fact, dim, "sampled_predictions", base, settings, date(2025, 1, 1))
+    rows = forecast.forecast_features(fact, dim, settings)
+    assert rows.count() > 2 * settings.labelled_rows
+    held = run.model.transform(rows.filter("not is_train")).select("prediction", feat.LABEL).collect()
+    mean = sum(y for _, y in held) / len(held)
+    r2 = 1 - sum((y - p) ** 2 for p, y in held) / sum((y - mean) ** 2 for _, y in held)
+    assert run.metrics["mae"] == pytest.approx(sum(abs(p - y) for p, y in held) / len(held), abs=1e-4)
+    assert run.metrics["r2"] == pytest.approx(r2, abs=1e-4)
+    (stored,) = run.predictions.select("mae", "r2_score").distinct().collect()
+    assert tuple(stored) == (run.metrics["mae"], run.metrics["r2"])

@@ -26,8 +26,8 @@ class ForecastSettings:
     min_leaf: int = 2
     seed: int = 42
     folds: int = 5
-    #: At most about so many order lines are used to fit and to test models: those that hash
-    #: lowest. Every line is predicted.
+    #: At most about so many order lines are used to fit models and for the folds: those that
+    #: hash lowest. Every line is predicted, and metrics cover all lines held out.
     labelled_rows: int = 5_000
     #: Partitions the labelled lines are dealt to by a hash of the line. A forest's bags
     #: follow the partitions, so a fixed number gives the same model on any cluster.
@@ -82,7 +82,7 @@ def feature_table(fact: DataFrame, products: DataFrame, settings: ForecastSettin
 
 
 def labelled(rows: DataFrame, settings: ForecastSettings) -> DataFrame:
-    """The lines models are fitted and tested on, in partitions that depend on the lines
+    """The lines models are fitted and cross-validated on, in partitions that depend on the lines
     alone. Below the bound these are all lines."""
     hashed = rows.withColumn("_hash", row_hash(F.lit("labelled"), *line_key()))
     total = rows.count()
@@ -130,7 +130,12 @@ def fold_scores(rows: DataFrame, settings: ForecastSettings) -> list[float]:
 
 
 def evaluate(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
-    held_out = model.transform(rows.filter(~F.col("is_train")))
+    """Metrics over the held-out lines of ``rows``."""
+    return held_out_metrics(model.transform(rows))
+
+
+def held_out_metrics(scored: DataFrame) -> dict[str, float]:
+    held_out = scored.filter(~F.col("is_train"))
     row = regression_metrics(held_out, "prediction", feat.LABEL).first()
     return {"mae": round(row.mae, 4), "r2": round(row.r2, 4)}
 
@@ -182,8 +187,9 @@ def run_forecast(
         with reused(labelled(rows, settings)) as sample:
             model = train(sample, settings)
             scores = fold_scores(sample, settings)
-            metrics = {**evaluate(model, sample), "cv_r2": round(sum(scores) / len(scores), 4)}
-        stored = full_refresh(prediction_table(predict(model, rows), metrics, run_date), table)
+        scored = materialise(predict(model, rows).drop("features"), "forecast-scored")
+        metrics = {**held_out_metrics(scored), "cv_r2": round(sum(scores) / len(scores), 4)}
+        stored = full_refresh(prediction_table(scored, metrics, run_date), table)
         label_rows = training_side(settings) if settings.leak_free else None
         lookups = feat.fit_lookups(feat.training_rows(fact, products), label_rows)
         feat.save_lookups(lookups, f"{artifacts}/lookups")
