@@ -8,9 +8,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from helpers import EDGES, lowered, prose, table
 
+from tillroll.llm import context_tree
 from tillroll.llm.context_tree import DEPTH, context_tree_scores
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -117,3 +119,16 @@ def test_texts_like_the_corpus_score_better(spark):
     odd = [r["bits_per_byte"] for r in rows if r["doc_id"] == 10_000 and r["held_out"]]
     usual = [r["bits_per_byte"] for r in rows if r["held_out"] and r["doc_id"] != 10_000]
     assert usual and max(usual) < 4 and (not odd or min(odd) > max(usual))
+
+
+def test_rare_bits_of_frequent_contexts(spark):
+    # one context, so all depths have the same counts; the bytes differ in the sixth bit
+    e, rare, context = 0x65, 0x61, 0x616263
+    rows = [((context << 8) | e, 300_000_000), ((context << 8) | rare, 8)]
+    tree = context_tree.context_tree(spark.createDataFrame(rows, "key long, n long"))
+    logs, _, block, of_three = context_tree._tables(tree, 0, 1 << 16)
+    assert np.isfinite(logs).all()
+    own = logs[of_three[block[context & 0xFFFF] * 256 + (context >> 16)]].astype(float)
+    # two more decisions follow, seen eight times each
+    assert own[rare] == pytest.approx(math.log10(8.5 / 300_000_009) + 2 * math.log10(8.5 / 9), abs=1e-4)
+    assert (10**own).sum() == pytest.approx(1, abs=1e-5)

@@ -131,8 +131,8 @@ def _log_sum(a: Column, b: Column) -> Column:
 
 
 def context_tree(grams: DataFrame) -> DataFrame:
-    """(depth, context, node, p): the probability that the decision ``node`` (1, then the bits
-    so far) is 1 when ``context`` is the deepest one of the text that has been seen there.
+    """(depth, context, node, p, q): the probabilities that the decision ``node`` (1, then the
+    bits so far) is 1 and 0 when ``context`` is the deepest one of the text seen there.
     ``grams`` has key (three context bytes and the byte, nearest context last) and n."""
     bits = F.explode(
         F.array(
@@ -168,28 +168,32 @@ def context_tree(grams: DataFrame) -> DataFrame:
             .withColumn("own", _block("n0", "n1"))
             .withColumn("weighted", _log_sum(F.col("own"), F.col("below")) - 0.6931471805599453)
             .withColumn("share", 1 / (1 + F.exp(F.col("below") - F.col("own"))))
+            .withColumn("lower", 1 / (1 + F.exp(F.col("own") - F.col("below"))))
         )
         levels.insert(0, materialise(level, "contexts"))
-    one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
+    one, zero = ((F.col(c) + 0.5) / (F.col("n0") + F.col("n1") + 1) for c in ("n1", "n0"))
     done, above = None, None
     for depth, level in enumerate(levels):
         if above is None:
-            level = level.withColumns({"sum": F.lit(0.0), "rest": F.lit(1.0)})
+            level = level.withColumns({"sum": F.lit(0.0), "sum0": F.lit(0.0), "rest": F.lit(1.0)})
         else:
             parent = F.col("context").bitwiseAND((1 << (8 * (depth - 1))) - 1)
-            up = above.select(F.col("context").alias("up"), F.col("node").alias("up_node"), "sum", "rest")
+            up = above.select(F.col("context").alias("up"), F.col("node").alias("up_node"), "sum", "sum0", "rest")
             level = level.join(up, (parent == F.col("up")) & (F.col("node") == F.col("up_node")))
         last = depth == DEPTH
         share = F.lit(1.0) if last else F.col("share")
+        lower = F.lit(0.0) if last else F.col("lower")
         level = level.select(
             "context",
             "node",
             (F.col("sum") + F.col("rest") * share * one).alias("sum"),
-            (F.col("rest") * (1 - share)).alias("rest"),
+            # the same for a bit that is 0: 1 - sum would lose what is close to 1
+            (F.col("sum0") + F.col("rest") * share * zero).alias("sum0"),
+            (F.col("rest") * lower).alias("rest"),
         )
         # a decision not seen any deeper is even there
-        p = F.col("sum") + F.col("rest") * 0.5
-        rows = level.select(F.lit(depth).alias("depth"), "context", "node", p.alias("p"))
+        p, q = (F.col(c) + F.col("rest") * 0.5 for c in ("sum", "sum0"))
+        rows = level.select(F.lit(depth).alias("depth"), "context", "node", p.alias("p"), q.alias("q"))
         done = rows if done is None else done.unionByName(rows)
         above = level
     return materialise(done, "tree")
@@ -210,15 +214,16 @@ class Part:
     token_log: np.ndarray
 
 
-def _byte_logs(p: np.ndarray) -> np.ndarray:
-    """(contexts, 256) log10 probabilities of bytes from those of decisions."""
-    out = np.empty((len(p), 256), np.float32)
-    for begin in range(0, len(p), 4096):
-        some = p[begin : begin + 4096].astype(float)
+def _byte_logs(bits: np.ndarray) -> np.ndarray:
+    """(contexts, 256) log10 probabilities of bytes from those of decisions' zeros and ones,
+    (contexts, 256, 2) in double: finished logs alone are rounded."""
+    out = np.empty((len(bits), 256), np.float32)
+    for begin in range(0, len(bits), 4096):
+        some = np.log10(bits[begin : begin + 4096])
         logs = np.zeros((len(some), 512))
         for node in range(1, 256):
-            logs[:, 2 * node] = logs[:, node] + np.log10(1 - some[:, node])
-            logs[:, 2 * node + 1] = logs[:, node] + np.log10(some[:, node])
+            logs[:, 2 * node] = logs[:, node] + some[:, node, 0]
+            logs[:, 2 * node + 1] = logs[:, node] + some[:, node, 1]
         out[begin : begin + 4096] = logs[:, 256:]
     return out
 
@@ -226,12 +231,13 @@ def _byte_logs(p: np.ndarray) -> np.ndarray:
 def _tables(tree: DataFrame, low: int, high: int) -> tuple[np.ndarray, ...]:
     pair = F.col("context").bitwiseAND(0xFFFF)
     rows = tree.filter((F.col("depth") < 2) | ((pair >= low) & (pair < high))).select(
-        F.col("depth").cast("tinyint"), F.col("context").cast("int"), F.col("node").cast("short"), "p"
+        F.col("depth").cast("tinyint"), F.col("context").cast("int"), F.col("node").cast("short"), "p", "q"
     )
     rows = rows.toArrow()
-    depth, context, node, p = (rows.column(c).to_numpy() for c in ("depth", "context", "node", "p"))
+    depth, context, node, p, q = (rows.column(c).to_numpy() for c in ("depth", "context", "node", "p", "q"))
     del rows
-    root = np.full((1, 256), 0.5, np.float32)
+    p = np.stack([q, p], axis=1)
+    root = np.full((1, 256, 2), 0.5)
     root[0, node[depth == 0]] = p[depth == 0]
     # by depth: the contexts seen, their decisions' probabilities, their rows in the table
     names, above, rows_of = {0: np.zeros(1, np.int64)}, root, {}
@@ -405,10 +411,10 @@ def _pass(part, opens: bool, lists: bool, end_log: float, unknown: float, end_kn
                 deep = block >= 0
                 third = (codes[deep] >> np.uint32(24)).astype(np.int64)
                 row[deep] = m.of_three[block[deep].astype(np.int64) * 256 + third]
-                logs = np.zeros(len(code) + 1)
-                logs[1:][here] = m.table[row, codes & np.uint32(255)]
-                np.cumsum(logs, out=logs)
-                score = logs[first[1:]] - logs[first[:-1]]
+                logs = np.zeros(len(code))
+                logs[here] = m.table[row, codes & np.uint32(255)]
+                # each text by itself; none is empty, as every text has its end
+                score = np.add.reduceat(logs, first[:-1]) if len(logs) else logs
                 if not opens:
                     held = [column(c) for c in batch.schema.names]
                     at = batch.schema.get_field_index("score")
