@@ -25,10 +25,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents (three-word shingles, Jaccard 0.9, as in op3) the one
+    """Of each group of linked documents (five-word shingles, Jaccard 0.8) the one
     with the smallest id stays. Of rows with the same id and text one stays; a row without
     words, or without an id, is in no group with other texts and stays."""
-    groups = jaccard_components(docs)
+    groups = jaccard_components(docs, n=5, percent=80)
     leave = (
         groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
         .select("doc_id")

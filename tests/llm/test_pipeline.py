@@ -110,3 +110,11 @@ def test_no_documents_at_all(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_copies_with_an_edit_in_fifty_words(spark):
+    base = prose(1, 100, 10**6)
+    other = [*base[:30], "x", *base[31:60], "y", *base[61:]]
+    assert 100 * len(shingles(" ".join(base), 3) & shingles(" ".join(other), 3)) < 90 * 104
+    frame = table(spark, [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(prose(2, 100)))])
+    assert [d for d, _ in pairs_of(corpus_pipeline.near_duplicates(spark, frame, ""))] == [1, 3]
