@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .line_cleaning import BOILERPLATE
+from .url_filter import PATTERNS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -118,5 +119,50 @@ def op7() -> str:
     """
 
 
+def op13() -> str:
+    """Every rule is tried on every URL."""
+    sites = [("net", "/", "block"), ("example.net", "/en/", "allow")]
+    sites += [("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    site_rows = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in sites)
+    pattern_rows = ", ".join(f"('{r.action}', '{r.text}', '{r.regex()}')" for r in PATTERNS)
+    low = lambda text: f"translate({text}, '{_UPPER}', '{_LOWER}')"
+    return f"""
+        WITH u AS (
+            SELECT row_number() OVER () AS r, page_id,
+                   CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3)
+                        ELSE '' END AS rest
+            FROM pages),
+        h AS (SELECT r, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+        p AS (
+            SELECT r, page_id, {low("raw")} AS host, {low("rest")} AS low,
+                   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+            FROM h),
+        sites(rule_host, rule_path, action) AS (VALUES {site_rows}),
+        fit AS (
+            SELECT r, max(struct_pack(n := length(rule_host || rule_path),
+                                      allow := action = 'allow',
+                                      text := rule_host || rule_path)) AS best
+            FROM p JOIN sites ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                             AND starts_with(path, rule_path)
+            GROUP BY r),
+        patterns(action, text, regex) AS (VALUES {pattern_rows}),
+        alike AS (
+            SELECT r, max(struct_pack(n := length(text), allow := action = 'allow',
+                                      text := text)) AS best
+            FROM p JOIN patterns ON regexp_matches(low, regex)
+            GROUP BY r)
+        SELECT page_id, host, path, fit.best.text AS rule,
+               CASE WHEN fit.best IS NULL THEN alike.best.text END AS pattern,
+               CASE WHEN coalesce(fit.best.allow, alike.best.allow, true)
+                    THEN 'allow' ELSE 'block' END AS verdict
+        FROM p LEFT JOIN fit USING (r) LEFT JOIN alike USING (r)
+    """
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op6_preferences": op6(), "op7_line_cleaning": op7(), "op10_decontamination": op10()}
+    return {
+        "op6_preferences": op6(),
+        "op7_line_cleaning": op7(),
+        "op10_decontamination": op10(),
+        "op13_url_filters": op13(),
+    }

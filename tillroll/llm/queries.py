@@ -18,6 +18,7 @@ from .secret_scan import KINDS, find_secrets, fit_tagger
 
 from .token_output import write_matrix
 from .toxicity import Chain, score_toxicity, train_chain
+from .url_filter import PATTERNS, Rule, filter_urls
 
 #: The tokenizer file of the packing queries, among those of the public tokenizers.
 TOKENIZER = "byte_bpe_50k.json"
@@ -115,5 +116,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+#: The site rules of the URL query.
+SITE_RULES = (
+    Rule("block", "net/", site=True),
+    Rule("allow", "example.net/en/", site=True),
+    Rule("block", "example.com/de/", site=True),
+    Rule("allow", "org/fr/", site=True),
+)
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's URL."""
+    return filter_urls(_table(spark, sf_dir, "pages"), SITE_RULES + PATTERNS)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination, op13_url_filters)}
