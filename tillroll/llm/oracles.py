@@ -119,6 +119,50 @@ def op7() -> str:
     """
 
 
+def _crc32(text: str) -> str:
+    """crc32 of the UTF-8 bytes of a text, bit by bit."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i::INTEGER + 1, 2))::UBIGINT"
+    bits = "[0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]"
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END"
+    return f"""xor(4294967295::UBIGINT, list_reduce(
+        list_concat([4294967295::UBIGINT],
+                    list_transform(range(0, octet_length(encode({text}))), lambda i: {byte})),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], {bits}), lambda x, y: {step})))"""
+
+
+def op12() -> str:
+    found = f"regexp_extract_all({_lowered('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    noise = "('0x' || substr(sha256('2024:' || doc_id), 1, 8))::UBIGINT"
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {found} AS w FROM documents),
+        f AS (SELECT r, unnest(w) AS w FROM d),
+        b AS (SELECT unnest({found}) AS w FROM benchmark),
+        hashed AS (SELECT w, {_crc32("w")} % 10000 AS bucket
+                   FROM (SELECT w FROM f UNION SELECT w FROM b)),
+        source AS (SELECT bucket, count(*) AS n FROM f JOIN hashed USING (w) GROUP BY bucket),
+        target AS (SELECT bucket, count(*) AS n FROM b JOIN hashed USING (w) GROUP BY bucket),
+        sums AS (SELECT coalesce((SELECT sum(n) FROM source), 0)::DOUBLE AS s,
+                        coalesce((SELECT sum(n) FROM target), 0)::DOUBLE AS t),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(target.n, 0) + 1)::DOUBLE * (s + 10000)
+                   / ((source.n + 1)::DOUBLE * (t + 10000))))::BIGINT AS gain
+            FROM source LEFT JOIN target USING (bucket), sums),
+        weights AS (SELECT r, sum(gain)::BIGINT AS weight
+                    FROM f JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY r),
+        scored AS (
+            SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln(({noise} + 0.5::DOUBLE)
+                                                / 4294967296)))::BIGINT AS score
+            FROM d LEFT JOIN weights USING (r)),
+        pool AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id, n_features, r) AS rank,
+                        count(*) OVER () AS n
+                 FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL)
+        SELECT doc_id, scored.n_features, scored.weight, scored.score,
+               CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+        FROM scored LEFT JOIN (SELECT r, rank, n FROM pool) USING (r)
+    """
+
+
 def op13() -> str:
     """Every rule is tried on every URL."""
     sites = [("net", "/", "block"), ("example.net", "/en/", "allow")]
@@ -164,5 +208,6 @@ def llm_oracles() -> dict[str, str]:
         "op6_preferences": op6(),
         "op7_line_cleaning": op7(),
         "op10_decontamination": op10(),
+        "op12_importance": op12(),
         "op13_url_filters": op13(),
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chaining import repeated_passages
 from .context_tree import context_tree_scores
 from .decontaminate import contained_items
+from .importance import importance_sample
 from .jaccard_join import jaccard_components
 from .line_cleaning import clean_lines
 from .packing import pack_documents
@@ -116,6 +117,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents towards the benchmark, and a tenth drawn by them."""
+    return importance_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 #: The site rules of the URL query.
 SITE_RULES = (
     Rule("block", "net/", site=True),
@@ -131,4 +137,4 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination, op13_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination, op12_importance, op13_url_filters)}
