@@ -130,6 +130,54 @@ def _crc32(text: str) -> str:
         lambda c, b: list_reduce(list_concat([xor(c, b)], {bits}), lambda x, y: {step})))"""
 
 
+def op11() -> str:
+    return f"""
+        WITH t AS (
+            SELECT conv_id, octet_length(encode(coalesce(text, ''))) AS bytes, turn,
+                   coalesce(role, '') AS role,
+                   sha256(length(coalesce(role, '')) || ':' || coalesce(role, '')
+                          || coalesce(text, '')) AS said
+            FROM conversations WHERE conv_id IS NOT NULL),
+        p AS (SELECT *, row_number() OVER (PARTITION BY conv_id
+                                           ORDER BY turn NULLS FIRST, role, said) AS pos FROM t),
+        c AS (SELECT conv_id, conv_id - ((conv_id % 5) + 5) % 5 AS base,
+                     {_crc32("conv_id::VARCHAR")} % 9 AS h
+              FROM (SELECT DISTINCT conv_id FROM t)),
+        parts AS (
+            SELECT c.conv_id, 0 AS side, pos, said, bytes FROM c JOIN p ON p.conv_id = base
+            WHERE pos <= h
+            UNION ALL
+            SELECT conv_id, 1, pos, said, bytes FROM c JOIN p USING (conv_id) WHERE pos > h),
+        whole AS (SELECT conv_id, list(said ORDER BY side, pos) AS said,
+                         list(bytes ORDER BY side, pos) AS bytes FROM parts GROUP BY conv_id),
+        convs AS (SELECT conv_id, coalesce(said, []) AS said, coalesce(bytes, []) AS bytes
+                  FROM c LEFT JOIN whole USING (conv_id)),
+        steps AS (SELECT conv_id, d, array_to_string(said[1:d], ',') AS path, d = len(said) AS ended,
+                         CASE WHEN d > 0 THEN array_to_string(said[1:d - 1], ',') END AS above,
+                         CASE WHEN d > 0 THEN bytes[d] ELSE 0 END AS bytes
+                  FROM (SELECT *, unnest(range(0, len(said) + 1)) AS d FROM convs)),
+        nodes AS (SELECT path, d, min(conv_id) AS conv_id, min(above) AS above, min(bytes) AS bytes,
+                         count(*) AS n_convs,
+                         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                                         FILTER (ended), '')) AS ends
+                  FROM steps GROUP BY path, d),
+        kids AS (SELECT above AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0
+                 GROUP BY above, d),
+        valued AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+                          (n_convs - 1) * bytes AS saved,
+                          CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf
+                   FROM nodes LEFT JOIN kids USING (path, d)),
+        lines AS (SELECT v.saved, v.leaf, s.path, s.d
+                  FROM valued v JOIN steps s ON s.conv_id = v.conv_id AND s.d <= v.d),
+        sums AS (SELECT path, d, sum(saved)::BIGINT AS saved, sum(leaf)::BIGINT AS leaves
+                 FROM lines GROUP BY path, d)
+        SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+               sums.leaves AS n_leaves, sums.saved AS saved_tokens, v.ends AS ends_sha256
+        FROM valued v JOIN sums USING (path, d)
+             LEFT JOIN nodes up ON up.path = v.above AND up.d = v.d - 1
+    """
+
+
 def op12() -> str:
     found = f"regexp_extract_all({_lowered('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     noise = "('0x' || substr(sha256('2024:' || doc_id), 1, 8))::UBIGINT"
@@ -208,6 +256,7 @@ def llm_oracles() -> dict[str, str]:
         "op6_preferences": op6(),
         "op7_line_cleaning": op7(),
         "op10_decontamination": op10(),
+        "op11_prefix_trie": op11(),
         "op12_importance": op12(),
         "op13_url_filters": op13(),
     }

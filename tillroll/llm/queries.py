@@ -15,8 +15,8 @@ from .jaccard_join import jaccard_components
 from .line_cleaning import clean_lines
 from .packing import pack_documents
 from .preferences import format_preferences, swapped_answers
+from .prefix_trie import prefix_trie
 from .secret_scan import KINDS, find_secrets, fit_tagger
-
 from .token_output import write_matrix
 from .toxicity import Chain, score_toxicity, train_chain
 from .url_filter import PATTERNS, Rule, filter_urls
@@ -117,6 +117,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie over all rebuilt conversations."""
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weights of all documents towards the benchmark, and a tenth drawn by them."""
     return importance_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -137,4 +142,4 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination, op12_importance, op13_url_filters)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_ngram_join, op4_secrets, op5_token_output, op6_preferences, op7_line_cleaning, op8_toxicity, op9_lm_score, op10_decontamination, op11_prefix_trie, op12_importance, op13_url_filters)}
