@@ -76,15 +76,17 @@ def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_products(products_raw(spark, sf_dir), run_ts())
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Fact columns that do not depend on the order header. Lines of parts with a key
-    divisible by 101 name a product that does not exist."""
+    divisible by 101 name a product that does not exist. ``where`` is a condition on the
+    given table."""
     total = F.col("l_extendedprice").cast("decimal(12,2)")
     rate = F.col("l_discount").cast("decimal(4,2)")
     net = F.round(total * (F.lit(1) - rate), 2).cast(MONEY)
     key = F.col("l_partkey")
     lost = F.when(key % 101 == 0, product_id(key) + 2)
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem")
+    return (lines if where is None else lines.filter(where)).select(
         F.col("l_orderkey").alias("order_id"),
         F.coalesce(lost, product_id(key)).alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity_ordered"),
