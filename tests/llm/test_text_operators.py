@@ -188,6 +188,36 @@ def test_out_of_fold_probabilities_are_not_those_of_the_fit():
     assert 0.3 < chain.held_out[0][0] < 0.7
 
 
+def test_repeated_rows_of_an_id_train_as_one(spark):
+    docs, labels = labelled(spark)
+    once = tox.train_chain(table(spark, docs), labels, ["rude", "threat"])
+    many = table(spark, docs).unionByName(table(spark, docs[:1] * 3000))
+    again = tox.train_chain(many, labels, ["rude", "threat"])
+    for a, b in zip(once.links, again.links, strict=True):
+        assert a.hashes.tolist() == b.hashes.tolist() and np.allclose(a.present, b.present)
+
+
+def test_prediction_is_the_plain_sum_of_weights(spark):
+    docs, labels = labelled(spark)
+    chain = tox.train_chain(table(spark, docs), labels, ["rude", "threat"])
+    texts = [t for _, t in docs[:20]] + ["", None, "Idiotically idiot's idiot ß é"]
+    got = tox.predict(pa.array(texts, pa.string()), chain)
+    one = lambda word: tox._features(pa.array([word]))[2].tolist()
+    for row, text in enumerate(texts):
+        found = re.findall(r"[A-Za-z'\x80-\U0010ffff]+", text or "")
+        told = []
+        for link in chain.links:
+            z = link.bias + sum(w * p for w, p in zip(link.earlier, told))
+            times = Counter(h for word in found for h in one(word))
+            for h, k in times.items():
+                at = np.flatnonzero(link.hashes == h)
+                if len(at):
+                    share = min(k / len(found) * tox.FULL, 2.0)
+                    z += float(link.present[at[0]] + link.dense[at[0]] * share)
+            told.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        assert np.allclose(got[row], told)
+
+
 def test_toxicity_of_odd_rows(spark):
     docs, labels = labelled(spark)
     chain = tox.train_chain(table(spark, docs), labels, ["rude", "threat"])

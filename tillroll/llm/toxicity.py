@@ -12,11 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .rows import map_rows
 from .words import Words, mix, slices, words
 
 #: Bytes of the word beginnings that are features beside the words.
-HEAD = 6
+HEADS = (4, 5, 6)
 #: A feature counts by presence, and by its share of a text's words in units of 2 %.
 FULL = 50
 _LETTERS = np.zeros(256, bool)
@@ -63,11 +64,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, decay: float, rounds: int) -> np.nda
     return w
 
 
-def _telling(there: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How much the presence in every column depends on the label (chi-squared)."""
-    n, positive = len(y), float(y.sum())
-    total = there.sum(axis=0, dtype=np.float64)
-    both = there[y > 0].sum(axis=0, dtype=np.float64)
+def _telling(total: np.ndarray, both: np.ndarray, n: int, positive: float) -> np.ndarray:
+    """How much features that ``total`` of ``n`` texts have, ``both`` of them positive ones,
+    depend on the label (chi-squared)."""
     expect = total * positive / max(n, 1)
     spread = np.maximum(expect * (1 - total / max(n, 1)) * (1 - positive / max(n, 1)), 1e-9)
     return (both - expect) ** 2 / spread
@@ -85,34 +84,48 @@ def fit_chain(
     categories: Sequence[str],
     *,
     features: int = 192,
-    vocabulary: int = 8192,
     least_texts: int = 5,
     decay: float = 1.0,
     rounds: int = 25,
 ) -> Chain:
     """A chain over ``texts`` (for each the distinct feature hashes, and how large a share of
     its words has each), ``labels`` (texts, categories; NaN where not known) and ``folds``
-    (from 0). Features are chosen inside each fit, from the texts it may see."""
+    (from 0). Features are chosen inside each fit, from the texts it may see: of those in
+    ``least_texts`` the ``features`` that depend most on the label."""
     n = len(texts)
-    known, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    known, place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    share = np.zeros(0, np.float32)
     if n:
-        known, count = np.unique(np.concatenate([h for h, _ in texts]), return_counts=True)
-    often = np.flatnonzero(count >= least_texts)
-    often = np.sort(often[np.argsort(-count[often], kind="stable")[:vocabulary]])
-    known = known[often]
-    x = np.zeros((n, len(known)), np.float16)
-    for row, (hashes, density) in enumerate(texts):
-        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        hit = known[place] == hashes if len(known) else np.zeros(len(hashes), bool)
-        x[row, place[hit]] = np.maximum(density[hit], 1e-4)
+        known, place = np.unique(np.concatenate([h for h, _ in texts]), return_inverse=True)
+        share = np.maximum(np.concatenate([s for _, s in texts]), 1e-4)
+    text = np.repeat(np.arange(n), [len(h) for h, _ in texts])
+
+    def dense(rows: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Densities of the ``chosen`` features in the texts ``rows``."""
+        row, column = np.full(n, -1), np.full(len(known), -1)
+        row[rows], column[chosen] = np.arange(len(rows)), np.arange(len(chosen))
+        some = (row[text] >= 0) & (column[place] >= 0)
+        out = np.zeros((len(rows), len(chosen)))
+        out[row[text[some]], column[place[some]]] = share[some]
+        return out
+
     earlier = np.zeros((n, 0))
     links, held_out = [], []
 
     def model(rows: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        part = x[rows]
-        score = np.maximum(_telling(part > 0, y), _telling(part > 0.5 / FULL, y))
-        chosen = np.sort(np.argsort(-score, kind="stable")[:features])
-        inputs = [_values(part[:, chosen]), earlier[rows], np.ones((len(rows), 1))]
+        label = np.full(n, np.nan)
+        label[rows] = y
+        mine = ~np.isnan(label[text])
+        score = np.zeros(len(known))
+        for level in (0.0, 0.5 / FULL):
+            at, with_it = place[mine & (share > level)], text[mine & (share > level)]
+            total = np.bincount(at, minlength=len(known))
+            both = np.bincount(at, label[with_it], minlength=len(known))
+            told = _telling(total, both, len(rows), float(y.sum()))
+            score = np.maximum(score, np.where(total >= least_texts, told, 0))
+        chosen = np.argsort(-score, kind="stable")[:features]
+        chosen = np.sort(chosen[score[chosen] > 0])
+        inputs = [_values(dense(rows, chosen)), earlier[rows], np.ones((len(rows), 1))]
         return chosen, _logistic(np.hstack(inputs), y, decay, rounds)
 
     for k in range(len(categories)):
@@ -127,7 +140,7 @@ def fit_chain(
                 train, test = rows[folds[rows] != fold], np.flatnonzero(folds == fold)
                 if len(train) and y[train].min() < y[train].max():
                     chosen, w = model(train, y[train])
-                    inputs = np.hstack([_values(x[np.ix_(test, chosen)]), earlier[test]])
+                    inputs = np.hstack([_values(dense(test, chosen)), earlier[test]])
                     out[test] = _sigmoid(inputs @ w[:-1] + w[-1])
             chosen, w = model(rows, y[rows])
             m = len(chosen)
@@ -146,13 +159,16 @@ def fit_chain(
 
 
 def _features(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
-    """Words, and (text, hash) of every word and of the beginning of every longer word."""
+    """Words, and (text, hash) of every word and of the beginnings of every longer word."""
     w = words(column, _LETTERS)
-    row = w.row()
-    longer = np.flatnonzero(w.end - w.start > HEAD)
-    heads = Words(w.data, w.at, w.start[longer], w.start[longer] + HEAD, w.first)
-    beginnings = mix(heads.hashes() + np.uint64(1))
-    return w, np.concatenate([row, row[longer]]), np.concatenate([w.hashes(), beginnings])
+    row, rows, hashes = w.row(), [], [w.hashes()]
+    rows.append(row)
+    for size in HEADS:
+        longer = np.flatnonzero(w.end - w.start > size)
+        heads = Words(w.data, w.at, w.start[longer], w.start[longer] + size, w.first)
+        rows.append(row[longer])
+        hashes.append(mix(heads.hashes() + np.uint64(size)))
+    return w, np.concatenate(rows), np.concatenate(hashes)
 
 
 def predict(column: pa.Array, chain: Chain) -> np.ndarray:
@@ -183,14 +199,18 @@ def train_chain(
     text: str = "text",
     sample_rows: int = 4096,
     folds: int = 5,
+    vocabulary: int = 8192,
+    least_texts: int = 5,
     **how,
 ) -> Chain:
     """A chain over the label columns ``categories`` (0/1, in the order of the chain).
 
-    At most ``sample_rows`` labelled ids, those that hash lowest, are used: the distinct
-    hashes of their words and word beginnings, with counts, are what reaches the driver. Several labels of an id count as their maximum;
-    a null label is unknown; labels without an id or a document are left out. A category
-    without both labels gets a constant probability.
+    At most ``sample_rows`` labelled ids, those that hash lowest, are used, each with one text
+    (of rows that repeat an id the one whose text hashes lowest). The features of their texts
+    are counted by label in Spark; the ``vocabulary`` that depend most on some label are
+    candidates, and what texts have of those is what reaches the driver. Several labels of an
+    id count as their maximum; a null label is unknown; labels without an id or a document
+    are left out. A category without both labels gets a constant probability.
     """
     one = labels.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(
         *(F.max(F.col(c).cast("double")).alias(f"__y{k}") for k, c in enumerate(categories))
@@ -198,31 +218,78 @@ def train_chain(
     order = F.xxhash64("__id")
     lowest = one.withColumn("__order", order).orderBy("__order", "__id").limit(sample_rows)
     y = F.array(*(F.col(f"__y{k}") for k in range(len(categories))))
-    chosen = docs.join(F.broadcast(lowest), F.col(doc_id) == F.col("__id"))
-    chosen = chosen.select("__order", y.alias("y"), F.col(text).alias("text"))
+    chosen = docs.join(F.broadcast(lowest), F.col(doc_id) == F.col("__id")).select(
+        "__order", y.alias("y"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
+    )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                w, row, hashes = _features(part.column(2))
+                w, row, hashes = _features(part.column(3))
                 order = np.lexsort((hashes, row))
                 row, hashes = row[order], hashes[order]
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
                 at = np.flatnonzero(new)
                 share = np.diff(np.append(at, len(row))) / np.maximum(w.counts(), 1)[row[at]]
-                cut = np.searchsorted(row[at], np.arange(part.num_rows + 1))
-                cuts = list(zip(cut[:-1], cut[1:], strict=True))
+                cut = pa.array(np.searchsorted(row[at], np.arange(part.num_rows + 1)), pa.int32())
                 lists = [
-                    pa.array([v[a:b].tobytes() for a, b in cuts], pa.binary())
-                    for v in (hashes[at], share.astype(np.float32))
+                    pa.ListArray.from_arrays(cut, pa.array(v))
+                    for v in (hashes[at].view(np.int64), share.astype(np.float32))
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *lists], ["seed", "y", "hashes", "shares"]
+                    [part.column(0), part.column(2), part.column(1), *lists],
+                    ["seed", "text_hash", "y", "hashes", "shares"],
                 )
 
-    rows = chosen.mapInArrow(hashed, "seed long, y array<double>, hashes binary, shares binary").collect()
-    rows.sort(key=lambda r: (r["seed"], r["hashes"]))
+    schema = "seed long, text_hash long, y array<double>, hashes array<long>, shares array<float>"
+    texts = materialise(chosen.mapInArrow(hashed, schema), "labelled")
+    lowest_text = texts.groupBy("seed").agg(F.min("text_hash").alias("text_hash"))
+    texts = texts.join(lowest_text, ["seed", "text_hash"]).dropDuplicates(["seed"])
+    texts = materialise(texts, "labelled")
+
+    # chi-squared by the counts of every feature: texts, texts with a known label, positive ones
+    labelled = [F.col("y")[k] for k in range(len(categories))]
+    counts = texts.select(F.explode("hashes").alias("hash"), "y").groupBy("hash").agg(
+        F.count(F.lit(1)).alias("texts"),
+        *(F.count(v).alias(f"n{k}") for k, v in enumerate(labelled)),
+        *(F.sum(v).alias(f"p{k}") for k, v in enumerate(labelled)),
+    )
+    whole = texts.agg(*(f(v).alias(f"{f.__name__}{k}") for k, v in enumerate(labelled) for f in (F.count, F.sum)))
+    whole = whole.first()
+    told = [F.lit(0.0)]
+    for k in range(len(categories)):
+        n, positive = whole[f"count{k}"], whole[f"sum{k}"] or 0.0
+        expect = F.col(f"n{k}") * (positive / max(n, 1))
+        spread = expect * (1 - F.col(f"n{k}") / max(n, 1)) * (1 - positive / max(n, 1))
+        told.append((F.coalesce(f"p{k}", F.lit(0.0)) - expect) ** 2 / F.greatest(spread, F.lit(1e-9)))
+    best = (
+        counts.filter(F.col("texts") >= least_texts)
+        .select("hash", F.greatest(*told, F.lit(0.0)).alias("told"))
+        .orderBy(F.desc("told"), "hash")
+        .limit(vocabulary)
+    )
+    candidates = np.sort(np.array([r["hash"] for r in best.collect()], np.int64))
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, shares = [], []
+            for h, v in zip(batch.column(2), batch.column(3), strict=True):
+                h, v = h.values.to_numpy(), v.values.to_numpy()
+                held = np.isin(h, candidates)
+                hashes.append(h[held].tobytes())
+                shares.append(v[held].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(hashes, pa.binary()), pa.array(shares, pa.binary())],
+                ["seed", "y", "hashes", "shares"],
+            )
+
+    rows = (
+        texts.select("seed", "y", "hashes", "shares")
+        .mapInArrow(narrowed, "seed long, y array<double>, hashes binary, shares binary")
+        .collect()
+    )
+    rows.sort(key=lambda r: r["seed"])
     return fit_chain(
         [(np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["shares"], np.float32)) for r in rows],
         np.array(
@@ -230,6 +297,7 @@ def train_chain(
         ).reshape(len(rows), len(categories)),
         np.array([r["seed"] // 8191 % folds for r in rows], np.int64),
         categories,
+        least_texts=least_texts,
         **how,
     )
 
