@@ -37,6 +37,21 @@ def families():
     return docs
 
 
+def common_passages():
+    """Documents that share passages of every length, some of them to four fifths or so."""
+    docs, notices = [], [prose(900 + k, 25 + 15 * k, 500) for k in range(4)]
+    for i in range(160):
+        r = random.Random(i)
+        own = prose(10_000 + i, r.choice([6, 12, 30, 80]))
+        for notice in r.sample(notices, r.randrange(1, 4)):
+            at = r.randrange(len(own))
+            own[at:at] = notice
+        docs.append((20_000 + i, " ".join(own)))
+    for i in range(60):  # a notice with little else: similar, and often not enough
+        docs.append((30_000 + i, " ".join(edited(notices[3] + notices[1], i, 1 + i % 12))))
+    return docs
+
+
 def brute_components(docs, n, percent):
     sets = [shingles(t, n) for _, t in docs]
     root = list(range(len(docs)))
@@ -60,15 +75,41 @@ def brute_components(docs, n, percent):
     )
 
 
-@pytest.mark.parametrize("n,percent,block", [(3, 90, 256), (5, 80, 8)])
-def test_jaccard_against_all_pairs(spark, monkeypatch, n, percent, block):
+@pytest.mark.parametrize(
+    "n,percent,block,frequent", [(3, 90, 256, 24), (5, 80, 8, 4), (3, 90, 16, 3), (5, 80, 256, 24)]
+)
+def test_jaccard_against_all_pairs(spark, monkeypatch, n, percent, block, frequent):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
-    docs = families() + [(d and d + 5000, t) for d, t in EDGES]
+    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard_join, "PARTNERS", 5)
+    docs = families() + common_passages() + [(d and d + 5000, t) for d, t in EDGES]
     out = jaccard_join.jaccard_components(table(spark, docs), n=n, percent=percent).collect()
     got = sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in out)
     assert got == brute_components(docs, n, percent)
 
 
+def test_frequent_passages_build_no_groups(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
+    docs = table(spark, [(i, " ".join(prose(1, 60) + prose(i, 120))) for i in range(120)])
+    for known in (True, False):
+        if not known:
+            monkeypatch.setattr(jaccard_join, "FREQUENT", 10**9)
+        held = jaccard_join._profiles(docs, "doc_id", "text", 5, 80).select("signatures")
+        counts = held.selectExpr("explode(signatures) AS s").groupBy("s").count()
+        most = counts.selectExpr("max(count)").first()[0]
+        assert (most < 40) == known
+
+
+def test_repeated_rows_of_two_linked_texts(spark):
+    a, b = prose(3, 200), edited(prose(3, 200), 1, 3)
+    docs = [(1, " ".join(a)), (2, " ".join(b))] * 40
+    out = jaccard_join.jaccard_components(table(spark, docs)).collect()
+    assert len(out) == 80 and {r["component_id"] for r in out} == {1}
+    pairs = spark.createDataFrame([(1, 2, 3, 3)], "a long, b long, size_a long, size_b long")
+    first = spark.createDataFrame([(1, (1, 0)), (2, (2, 0))], "key long, row struct<doc_id:long,text_hash:long>")
+    assert jaccard_join._links(pairs, table(spark, docs), first, "doc_id", "text", 3, 90).count() == 0
+
+
 def test_no_documents_to_join(spark):
     assert jaccard_join.jaccard_components(table(spark, [])).count() == 0
     only_empty = jaccard_join.jaccard_components(table(spark, [(3, None), (4, " ")])).collect()
@@ -85,8 +126,13 @@ def test_linked_sets_share_a_signature():
             if 100 * len(np.intersect1d(x, y)) < 90 * len(np.union1d(x, y)) or np.array_equal(x, y):
                 continue
             rows = np.repeat([0, 1], [len(x), len(y)])
-            row, sig = jaccard_join.signatures(rows, np.concatenate([x, y]), np.array([len(x), len(y)]), 90)
-            assert set(sig[row == 0]) & set(sig[row == 1])
+            sizes = np.array([len(x), len(y)])
+            every = np.unique(jaccard_join.signatures(rows, np.concatenate([x, y]), sizes, 90, None)[1])
+            for share in (0.0, 0.5, 1.0):  # whatever the order, a shared one is left
+                some = every[r.random(len(every)) < share]
+                order = jaccard_join.Frequent(some, r.integers(1, 5, len(some)))
+                row, sig = jaccard_join.signatures(rows, np.concatenate([x, y]), sizes, 90, order)
+                assert set(sig[row == 0]) & set(sig[row == 1])
             bits = jaccard_join.parity_bitmaps(rows, np.concatenate([x, y]), 2)
             apart = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
             assert apart <= len(np.setxor1d(x, y))

@@ -62,11 +62,11 @@ def test_stages_against_plain_counterparts(spark, tmp_path):
             x = root[x]
         return x
 
-    sets = [shingles(t, 3) for _, t in docs]
+    sets = [shingles(t, 5) for _, t in docs]
     for i in range(len(docs)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 90 * len(sets[i] | sets[j]):
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     ids = [d for d, _ in docs]
     least = {}
@@ -118,3 +118,12 @@ def test_near_copies_with_an_edit_in_fifty_words(spark):
     assert 100 * len(shingles(" ".join(base), 3) & shingles(" ".join(other), 3)) < 90 * 104
     frame = table(spark, [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(prose(2, 100)))])
     assert [d for d, _ in pairs_of(corpus_pipeline.near_duplicates(spark, frame, ""))] == [1, 3]
+
+
+def test_rows_go_by_id_and_text(spark):
+    a, b = " ".join(prose(1, 60)), " ".join(prose(2, 60))
+    near = " ".join(edited(prose(1, 60), 3, 1))
+    rows = [(3, a), (5, a), (5, b), (5, b), (3, near), (None, a), (7, b)]
+    kept = pairs_of(corpus_pipeline.near_duplicates(spark, table(spark, rows), ""))
+    assert len([r for r in kept if r[0] == 3]) == 1 and kept[0][1] in (a, near)
+    assert kept[1:] == [(5, b), (None, a)]

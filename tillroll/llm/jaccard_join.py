@@ -8,7 +8,14 @@ so a document is one segment per fragment.
   linked ones lie in the same or in neighbouring classes; each writes the signatures of its
   segments for its own class, and for the next if it is large enough to link with one there.
   A pair is a candidate when a signature is equal.
-* Count: for a candidate the overlap is counted in each fragment separately and summed.
+* Common passages: a document is cut into ``s`` segments more than that and leaves out its
+  ``s`` most frequent signatures, by one order of all signatures (frequency, then hash). Two
+  linked documents share ``s + 1`` segments or more, and the first of these in that order is
+  among those left out on neither side; so passages that many documents share build no
+  groups, and no link is lost. Any order does for that: only the most frequent signatures
+  are counted, the others count as equally rare.
+* Count: the n-grams of candidates are shuffled fragment by fragment; a task counts the
+  overlaps of one fragment of a pivot with some of its partners, and they are summed per pair.
 
 Nothing is lost, as the only filters are bounds: equal segments, sizes, and a parity bitmap
 whose Hamming distance never exceeds the number of n-grams in which two sets differ.
@@ -23,6 +30,7 @@ nothing more; at last every pair that the bitmaps cannot exclude.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +46,14 @@ _U = np.uint64
 BITS = 1024
 #: Fragments for counting overlaps of a pair.
 FRAGMENTS = 8
+#: Partners of a pivot that are counted together.
+PARTNERS = 64
 #: Members of a signature that meet those of another block in one row.
 BLOCK = 256
-#: So many empty segments still leave a shared one that is not empty.
-SPARE = 2
+#: A signature is frequent from so many classes on, and so many at most are known to be.
+FREQUENT, MOST_FREQUENT = 24, 200_000
+#: Signatures a task counts at once.
+COUNTED = 1 << 21
 
 
 #: Each size class reaches so many times further than the one before.
@@ -57,11 +69,33 @@ def size_classes(percent: int, largest: int) -> np.ndarray:
     return np.array(bounds, np.int64)
 
 
+@dataclass(frozen=True)
+class Frequent:
+    """The most frequent signatures (sorted) and how often they were seen."""
+
+    signature: np.ndarray
+    count: np.ndarray
+
+    def of(self, signature: np.ndarray) -> np.ndarray:
+        if not len(self.signature):
+            return np.zeros(len(signature), np.int64)
+        place = np.minimum(np.searchsorted(self.signature, signature), len(self.signature) - 1)
+        return np.where(self.signature[place] == signature, self.count[place], 0)
+
+
+NONE = Frequent(np.zeros(0, _U), np.zeros(0, np.int64))
+
+
 def signatures(
-    rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, percent: int
+    rows: np.ndarray,
+    hashes: np.ndarray,
+    sizes: np.ndarray,
+    percent: int,
+    frequent: Frequent | None = NONE,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) for all segments, of both size classes, that can prove a link.
-    ``rows`` and ``hashes`` are the distinct n-grams by row, then hash."""
+    """(row, signature) of the segments, of both size classes, that can prove a link.
+    ``rows`` and ``hashes`` are the distinct n-grams by row, then hash. With ``frequent``
+    None those of all segments that are not empty, to be counted."""
     bounds = size_classes(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(bounds, np.maximum(sizes, 1))
     value = mix(hashes ^ _U(0xA5A5A5A5A5A5A5A5))
@@ -69,7 +103,8 @@ def signatures(
     reaches = sizes * 100 >= (bounds[own] + 1) * percent  # some larger class
     for level, some in ((own, sizes > 0), (own + 1, reaches)):
         differ = (100 - percent) * 2 * bounds[level] // (100 + percent)
-        pieces = np.where((differ > 0) & some, differ + 1 + SPARE, 0)
+        spare = differ + 1
+        pieces = np.where((differ > 0) & some, differ + 1 + spare, 0)
         live = pieces[rows] > 0
         r, h, v = rows[live], hashes[live], value[live]
         if not len(r):
@@ -79,15 +114,28 @@ def signatures(
         first[1:] = (r[1:] != r[:-1]) | (piece[1:] != piece[:-1])
         start = np.flatnonzero(first)
         total = sums(v, np.append(start, len(r)))
-        tag = lambda row, p: mix((level[row].astype(_U) << _U(32)) + p.astype(_U))
-        found_rows.append(r[start])
-        found.append(mix(total + tag(r[start], piece[start])))
-        filled = np.bincount(r[start], minlength=len(sizes))
-        for row in np.flatnonzero(pieces - filled > SPARE):
-            a, b = np.searchsorted(r[start], [row, row + 1])
-            empty = np.setdiff1d(np.arange(pieces[row]), piece[start][a:b].astype(np.int64))
-            found_rows.append(np.full(len(empty), row))
-            found.append(mix(tag(np.full(len(empty), row), empty)))
+        tag = lambda row, p: mix((level[row].astype(_U) << _U(32)) + p.astype(_U))  # noqa: B023, E731
+        row = r[start]
+        sign = mix(total + tag(row, piece[start]))
+        if frequent is None:
+            found_rows.append(row)
+            found.append(sign)
+            continue
+        # empty segments are the most frequent of all, so they are left out first
+        filled = np.bincount(row, minlength=len(sizes))
+        empty = pieces - filled
+        order = np.lexsort((sign, frequent.of(sign), row))
+        before = np.concatenate([[0], np.cumsum(filled)])
+        place = np.arange(len(order)) - before[row[order]]
+        left = filled - np.maximum(spare - empty, 0)
+        kept = order[place < left[row[order]]]
+        found_rows.append(row[kept])
+        found.append(sign[kept])
+        for i in np.flatnonzero(empty > spare):
+            a, b = np.searchsorted(row, [i, i + 1])
+            gaps = np.setdiff1d(np.arange(pieces[i]), piece[start][a:b].astype(np.int64))
+            found_rows.append(np.full(len(gaps), i))
+            found.append(mix(tag(np.full(len(gaps), i), gaps)))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, _U)
     found_rows, found = np.concatenate(found_rows), np.concatenate(found)
@@ -95,6 +143,70 @@ def signatures(
     return found_rows[order], found[order]
 
 
+def _frequent(docs: DataFrame, text: str, n: int, percent: int) -> Frequent:
+    """The signatures that most classes have. A task counts its own and sends those it has
+    seen three times or more; at most ``MOST_FREQUENT`` counts reach the driver."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = np.zeros(0, _U), np.zeros(0, np.int64)
+        waiting: list[np.ndarray] = []
+        for batch in batches:
+            seen: set[int] = set()
+            for part in slices(batch, "text"):
+                rows, hashes, sizes, _, old = _sets(part.column(0), n, seen)
+                fresh = ~old[rows]
+                sizes = np.where(old, 0, sizes)
+                waiting.append(signatures(rows[fresh], hashes[fresh], sizes, percent, None)[1])
+            if sum(map(len, waiting)) > COUNTED:
+                known, times = _merged(known, times, waiting)
+                if len(known) > COUNTED:
+                    known, times = known[times > 1], times[times > 1]
+                waiting = []
+        known, times = _merged(known, times, waiting)
+        often = times > 2
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(known[often].view(np.int64)), pa.array(times[often])], ["signature", "n"]
+        )
+
+    top = (
+        docs.select(F.col(text).alias("text"))
+        .mapInArrow(counts, "signature long, n long")
+        .groupBy("signature")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") >= FREQUENT)
+        .orderBy(F.desc("n"), "signature")
+        .limit(MOST_FREQUENT)
+        .toArrow()
+    )
+    signature = top.column("signature").to_numpy().view(_U)
+    order = np.argsort(signature)
+    return Frequent(signature[order], top.column("n").to_numpy()[order])
+
+
+def _merged(
+    known: np.ndarray, times: np.ndarray, more: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of values, with those of ``more`` added."""
+    values = np.concatenate([known, *more])
+    weights = np.concatenate([times, *(np.ones(len(m), np.int64) for m in more)])
+    out, place = np.unique(values, return_inverse=True)
+    return out, np.bincount(place, weights, minlength=len(out)).astype(np.int64)
+
+
+def _sets(column: pa.Array, n: int, seen: set[int]) -> tuple[np.ndarray, ...]:
+    """(row, hash) of the distinct n-grams, set sizes and keys, and which rows are empty or
+    have a key that was ``seen`` before."""
+    rows, hashes = distinct(*shingles(words(column), n))
+    cut = np.searchsorted(rows, np.arange(len(column) + 1))
+    sizes = np.diff(cut)
+    key = mix(sums(mix(hashes + _U(1)), cut) + sizes.astype(_U)).view(np.int64)
+    old = np.zeros(len(column), bool)
+    for i, k in enumerate(key.tolist()):
+        old[i] = k in seen or not sizes[i]
+        seen.add(k)
+    return rows, hashes, sizes, key, old
+
+
 def parity_bitmaps(rows: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
     """(count, BITS / 64) uint64: each n-gram of a set flips one bit."""
     out = np.zeros((count, BITS // 8), np.uint8)
@@ -116,6 +228,7 @@ def _lists(values: np.ndarray, first: np.ndarray, null: np.ndarray | None = None
 def _profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
     """One row per document: id, text hash, set size, set key; signatures and bitmap are
     null where the batch has an earlier copy."""
+    frequent = _frequent(docs, text, n, percent)
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = (
         f"doc_id {kind}, text_hash long, size long, key long, "
@@ -126,17 +239,10 @@ def _profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
         for batch in batches:
             seen: set[int] = set()
             for part in slices(batch, "text"):
-                rows, hashes = distinct(*shingles(words(part.column(2)), n))
-                cut = np.searchsorted(rows, np.arange(part.num_rows + 1))
-                sizes = np.diff(cut)
-                key = mix(sums(mix(hashes + _U(1)), cut) + sizes.astype(_U)).view(np.int64)
-                old = np.zeros(part.num_rows, bool)
-                for i, k in enumerate(key.tolist()):
-                    old[i] = k in seen or not sizes[i]
-                    seen.add(k)
+                rows, hashes, sizes, key, old = _sets(part.column(2), n, seen)
                 fresh = ~old[rows]
                 sig_rows, sigs = signatures(
-                    rows[fresh], hashes[fresh], np.where(old, 0, sizes), percent
+                    rows[fresh], hashes[fresh], np.where(old, 0, sizes), percent, frequent
                 )
                 bits = parity_bitmaps(rows[fresh], hashes[fresh], part.num_rows)
                 steps = np.arange(part.num_rows + 1)
@@ -229,46 +335,94 @@ def _links(
         wanted,
         F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")),
     ).select("key", "text")
-    texts = materialise(texts, "texts")
-    both = pairs
-    for end in ("a", "b"):
-        both = both.join(texts.select(F.col("key").alias(end), F.col("text").alias(f"text_{end}")), end)
-
-    def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text_a"):
-                rows, hashes = [], []
-                for name in ("text_a", "text_b"):
-                    column = part.column(part.schema.get_field_index(name))
-                    r, h = distinct(*shingles(words(column), n))
-                    rows.append(r)
-                    hashes.append(h)
-                rows, hashes = np.concatenate(rows), np.concatenate(hashes)
-                order = np.argsort(hashes, kind="stable")
-                order = order[np.argsort(rows[order], kind="stable")]
-                rows, hashes = rows[order], hashes[order]
-                shared = (rows[1:] == rows[:-1]) & (hashes[1:] == hashes[:-1])
-                piece = ((hashes >> _U(32)) * _U(FRAGMENTS) >> _U(32)).astype(np.int64)
-                place = (rows * FRAGMENTS + piece)[1:][shared]
-                count = np.bincount(place, minlength=part.num_rows * FRAGMENTS)
-                place = np.flatnonzero(count)
-                row = pa.array(place // FRAGMENTS)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index(c)).take(row) for c in _PAIR]
-                    + [pa.array((place % FRAGMENTS).astype(np.int32)), pa.array(count[place])],
-                    [*_PAIR, "fragment", "overlap"],
-                )
-
-    kinds = ", ".join(f"{c} long" for c in _PAIR)
-    partial = both.mapInArrow(overlaps, f"{kinds}, fragment int, overlap long")
-    # a text found twice under one id repeats its counts, which max undoes
-    partial = partial.groupBy(*_PAIR, "fragment").agg(F.max("overlap").alias("overlap"))
+    texts = materialise(texts.dropDuplicates(["key"]), "texts")
+    # a pivot's fragments go to every slice of its partners once, not to every partner
+    degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("slices"))
+    sliced = pairs.join(degree, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")))
+    sliced = materialise(sliced.drop("slices"), "sliced")
+    ends = sliced.select("a", "slice").distinct()
+
+    def fragments(keys: DataFrame, key: str) -> DataFrame:
+        chosen = texts.join(keys.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
+        return chosen.mapInArrow(lambda batches: _fragments(batches, n), _FRAGMENT).withColumnRenamed("key", key)
+
+    gap = F.lit(None).cast("long")
+    pivots = fragments(ends, "a").join(ends, "a").select(
+        "a", "slice", "fragment", *(gap.alias(c) for c in ("b", "size_a", "size_b")), "hashes"
+    )
+    partners = fragments(sliced, "b").join(sliced, "b").select(*pivots.columns)
+    group = ["a", "slice", "fragment"]
+    met = pivots.unionByName(partners).repartition(*group).sortWithinPartitions(*group, F.asc_nulls_first("b"))
+    partial = met.mapInArrow(_overlaps, f"{', '.join(f'{c} long' for c in _PAIR)}, fragment int, overlap long")
     shared = partial.groupBy(*_PAIR).agg(F.sum("overlap").alias("shared"))
     return shared.filter(
         F.col("shared") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("shared")) * percent
     ).select("a", "b")
 
 
+_FRAGMENT = "key long, fragment int, hashes binary"
+
+
+def _fragments(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """(key, text) to the sorted n-grams of every fragment of the global order."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            rows, hashes = distinct(*shingles(words(part.column(1)), n))
+            piece = ((hashes >> _U(32)) * _U(FRAGMENTS) >> _U(32)).astype(np.int64)
+            place = rows * FRAGMENTS + piece
+            first = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+            offsets = (np.append(first, len(place)) * 8).astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(hashes.tobytes())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(pa.array(rows[first])),
+                    pa.array(piece[first].astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(first), buffers),
+                ],
+                ["key", "fragment", "hashes"],
+            )
+
+
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of groups, each the fragment of a pivot (no b) and then those of partners,
+    to the number of n-grams that each partner's fragment shares with the pivot's."""
+    group, pivot = None, np.zeros(0, _U)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        keys = np.stack([column[c].to_numpy().astype(np.int64) for c in ("a", "slice", "fragment")])
+        partner = np.asarray(column["b"].is_valid())
+        hashes = column["hashes"]
+        at = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + batch.num_rows + 1]
+        at = at.astype(np.int64)
+        data = np.frombuffer(hashes.buffers()[2], np.uint8)[at[0] : at[-1]].copy().view(_U)
+        at = (at - at[0]) // 8
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        found, overlap = [], []
+        for begin, stop in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            this = tuple(keys[:, begin])
+            if not partner[begin]:
+                pivot, begin = data[at[begin] : at[begin + 1]], begin + 1
+            elif this != group:
+                pivot = np.zeros(0, _U)  # the pivot has nothing in this fragment
+            group = this
+            if begin == stop or not len(pivot):
+                continue
+            values = data[at[begin] : at[stop]]
+            hit = pivot[np.minimum(np.searchsorted(pivot, values), len(pivot) - 1)] == values
+            count = np.add.reduceat(hit.astype(np.int64), at[begin:stop] - at[begin])
+            some = np.flatnonzero(count)
+            found.append(begin + some)
+            overlap.append(count[some])
+        if found:
+            rows = pa.array(np.concatenate(found))
+            yield pa.RecordBatch.from_arrays(
+                [column[c].take(rows) for c in (*_PAIR, "fragment")] + [pa.array(np.concatenate(overlap))],
+                [*_PAIR, "fragment", "overlap"],
+            )
+
+
 _PAIR = ("a", "b", "size_a", "size_b")
 
 
@@ -402,6 +556,7 @@ def jaccard_components(
     text: str = "text",
     n: int = 3,
     percent: int = 90,
+    least: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` (its distinct n-word
     shingles), ``component_id`` (the smallest doc_id reachable by links, its own included).
@@ -415,13 +570,21 @@ def jaccard_components(
     An empty table gives no rows. Other columns, whatever their names, are not read.
     Sets are compared as 64-bit hashes.
 
+    With ``least`` also ``text_hash`` (xxhash64 of the text) and ``is_least``: whether this is
+    the text of its component with the smallest id, of one id's texts the one that hashes
+    lowest. Rows that are in no group, or have no id, are least.
+
     Work grows with the documents and their links; only in groups of similar documents that
     do not link does it grow with the square of the group, as bitmap comparisons in blocks.
     """
     profiles = materialise(_profiles(docs, doc_id, text, n, percent), "profiles")
     described = profiles.filter("signatures is not null")
     first = profiles.filter("size > 0").groupBy("key").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("row"), F.min("doc_id").alias("least_id")
+        F.coalesce(
+            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))),
+            F.min(F.struct("doc_id", "text_hash")),
+        ).alias("row"),
+        F.min("doc_id").alias("least_id"),
     )
     first = materialise(first, "classes")
     small = described.select("key", "size", "bitmap").dropDuplicates(["key"])
@@ -449,11 +612,19 @@ def jaccard_components(
             break
         nearest, more = more is not None, None
     named = first.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    component = named.join(least, "root").select("key", "component_id")
+    lowest = named.groupBy("root").agg(
+        F.min("least_id").alias("component_id"),
+        F.min(F.when(F.col("row.doc_id").isNotNull(), F.col("row"))).alias("lowest"),
+    )
+    component = named.join(lowest, "root").select("key", "component_id", "lowest")
     placed = profiles.join(component, "key", "left")
-    return placed.select(
+    alone = F.col("size") == 0
+    found = [
         "doc_id",
         F.col("size").alias("n_shingles"),
-        F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    ]
+    if least:
+        same = (F.col("doc_id") == F.col("lowest.doc_id")) & (F.col("text_hash") == F.col("lowest.text_hash"))
+        found += ["text_hash", (alone | F.col("doc_id").isNull() | same).alias("is_least")]
+    return placed.select(*found)
