@@ -25,16 +25,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents (five-word shingles, Jaccard 0.8) the one
-    with the smallest id stays. Of rows with the same id and text one stays; a row without
-    words, or without an id, is in no group with other texts and stays."""
-    groups = jaccard_components(docs, n=5, percent=80)
-    leave = (
-        groups.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
-        .select("doc_id")
-        .distinct()
-    )
-    kept = docs.withColumn("__text", F.xxhash64("text")).join(leave, "doc_id", "left_anti")
+    """Of each group of linked documents (five-word shingles, Jaccard 0.8) one stays: the text
+    with the smallest id, and of several texts under that id the one that hashes lowest. Rows
+    go by id and text, so another text under an id that goes is judged by itself. Of rows with
+    the same id and text one stays; a row without words, or without an id, stays."""
+    groups = jaccard_components(docs, n=5, percent=80, least=True)
+    leave = groups.filter("not is_least").select("doc_id", F.col("text_hash").alias("__text")).distinct()
+    kept = docs.withColumn("__text", F.xxhash64("text")).join(leave, ["doc_id", "__text"], "left_anti")
     return kept.dropDuplicates(["doc_id", "__text"]).select(docs.columns)
 
 
