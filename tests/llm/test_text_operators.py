@@ -130,6 +130,15 @@ def test_tagger_adds_what_patterns_miss_and_spares_prose(spark):
     assert all(not s for d, s in found.items() if d != 1)
 
 
+def test_repeated_ids_send_one_text_to_the_fit(spark, monkeypatch):
+    docs = [(i, noise(i)) for i in range(40)]
+    sizes = []
+    monkeypatch.setattr(secrets, "fit", lambda x, y: sizes.append(x.shape))
+    secrets.fit_tagger(table(spark, docs))
+    secrets.fit_tagger(table(spark, docs + docs[:1] * 2000 + docs[3:4] * 500))
+    assert sizes[0] == sizes[1]
+
+
 def test_secrets_of_odd_rows(spark):
     docs = EDGES + SECRETS
     model = secrets.fit_tagger(table(spark, docs))

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .rows import map_rows
 from .words import Words, slices, words
 
@@ -336,17 +337,19 @@ def fit_tagger(
 ) -> Tagger:
     """A tagger fitted on windows of ``window`` runs from at most ``sample_docs`` documents
     (those whose id hashes lowest), up to ``windows_per_doc`` around base matches and one
-    elsewhere from each. These bounds are what reaches the driver. A sample without base
-    matches, as of an empty table, gives a tagger that tags nothing."""
+    elsewhere from each. These bounds are what reaches the driver: of rows that repeat an id
+    one counts, the text that hashes lowest. A sample without base matches, as of an empty
+    table, gives a tagger that tags nothing."""
     order = F.xxhash64(doc_id)
     lowest = (
         docs.filter(F.col(doc_id).isNotNull())
         .select(F.col(doc_id).alias("__id"), order.alias("__order"))
+        .distinct()
         .orderBy("__order", "__id")
         .limit(sample_docs)
     )
     chosen = docs.join(F.broadcast(lowest), F.col(doc_id) == F.col("__id"))
-    chosen = chosen.select("__order", F.col(text).alias("text"))
+    chosen = chosen.select("__order", F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,18 +362,25 @@ def fit_tagger(
                     a, b = w.first[row], w.first[row + 1]
                     if a == b:
                         continue
-                    seed = part.column(0)[row].as_py() % (1 << 31)
+                    order, text_hash = part.column(0)[row].as_py(), part.column(2)[row].as_py()
+                    seed = order % (1 << 31)
                     centres = a + np.flatnonzero(y[a:b] == 0)[:windows_per_doc]
                     others = a + np.array([seed]) % (b - a)
-                    for centre in [*centres, *others]:
+                    for k, centre in enumerate([*centres, *others]):
                         i = max(a, min(centre - window // 2, b - window))
                         j = min(b, i + window)
-                        out.append((seed, x[i:j].tobytes(), y[i:j].tobytes()))
+                        out.append((order, text_hash, k, seed, x[i:j].tobytes(), y[i:j].tobytes()))
                 if out:
                     columns = [pa.array(c) for c in zip(*out, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, ["seed", "x", "y"])
-
-    rows = sorted(chosen.mapInArrow(cut, "seed long, x binary, y binary").collect())
+                    yield pa.RecordBatch.from_arrays(
+                        columns, ["order", "hash", "k", "seed", "x", "y"]
+                    )
+
+    schema = "`order` long, hash long, k long, seed long, x binary, y binary"
+    windows = materialise(chosen.mapInArrow(cut, schema), "windows")
+    lowest_text = windows.groupBy("order").agg(F.min("hash").alias("hash"))
+    once = windows.join(lowest_text, ["order", "hash"]).dropDuplicates(["order", "k"])
+    rows = sorted(once.select("seed", "x", "y").collect())
     x = np.zeros((len(rows), window, FEATURES), np.uint8)
     y = np.full((len(rows), window), -1, np.int8)
     for k, row in enumerate(rows):
