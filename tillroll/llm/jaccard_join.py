@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, scratch_scope
 from .components import components
 from .sieve import sieve
 from .words import distinct, mix, shingles, slices, sums, words
@@ -46,6 +46,8 @@ _U = np.uint64
 BITS = 1024
 #: Fragments for counting overlaps of a pair.
 FRAGMENTS = 8
+#: Fragments (from, up to) that are counted before the others are.
+FRAGMENT_STEPS = ((0, 2), (2, FRAGMENTS))
 #: Partners of a pivot that are counted together.
 PARTNERS = 64
 #: Members of a signature that meet those of another block in one row.
@@ -324,7 +326,34 @@ def _links(
     pairs: DataFrame, docs: DataFrame, first: DataFrame, doc_id: str, text: str, n: int, percent: int
 ) -> DataFrame:
     """Those of ``pairs`` (a, b, size_a, size_b) that reach the similarity: overlaps are
-    counted in every fragment of the global order and summed per pair."""
+    counted in fragments of the global order and summed per pair. A few fragments go first,
+    and a pair that the rest cannot bring to the similarity any more goes no further. What
+    the count needs is deleted after it."""
+    spark = pairs.sparkSession
+    with scratch_scope(spark, keep=lambda purpose: purpose == "links"):
+        texts = _texts(pairs, docs, first, doc_id, text)
+        zero = F.lit(0).cast("long")
+        open_ = pairs.select(*_PAIR, zero.alias("shared"))
+        for part in FRAGMENT_STEPS:
+            counted = _counted(open_, texts, n, part)
+            shared, rest_a, rest_b = (
+                F.col("shared") + F.coalesce("overlap", zero),
+                F.col("size_a") - F.coalesce("here_a", zero),
+                F.col("size_b") - F.coalesce("here_b", zero),
+            )
+            last = part is FRAGMENT_STEPS[-1]
+            most = shared if last else shared + F.least(rest_a, rest_b)
+            both = F.col("size_a") + F.col("size_b")
+            reach = most * 100 >= (both - most) * percent
+            open_ = open_.join(counted, ["a", "b"], "left").filter(reach)
+            open_ = open_.select(*_PAIR, shared.alias("shared"))
+            open_ = materialise(open_, "links" if last else "open")
+    spark._jvm.System.gc()  # the driver tells executors of shuffle files nobody needs any more
+    return open_.select("a", "b")
+
+
+def _texts(pairs: DataFrame, docs: DataFrame, first: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(key, text) of the classes that occur in ``pairs``, each once."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     wanted = first.join(needed, "key").select("key", "row.doc_id", "row.text_hash")
     wanted = materialise(wanted, "wanted")
@@ -335,40 +364,47 @@ def _links(
         wanted,
         F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash")),
     ).select("key", "text")
-    texts = materialise(texts.dropDuplicates(["key"]), "texts")
+    return materialise(texts.dropDuplicates(["key"]), "texts")
+
+
+def _counted(pairs: DataFrame, texts: DataFrame, n: int, part: tuple[int, int]) -> DataFrame:
+    """(a, b, overlap, here_a, here_b): what a and b share in the fragments ``part`` (from, up
+    to), and how many n-grams they have there (not counted where one of them has none)."""
     # a pivot's fragments go to every slice of its partners once, not to every partner
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("slices"))
-    sliced = pairs.join(degree, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")))
-    sliced = materialise(sliced.drop("slices"), "sliced")
+    sliced = pairs.select("a", "b").join(degree, "a")
+    sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices"))).drop("slices")
+    sliced = materialise(sliced, "sliced")
     ends = sliced.select("a", "slice").distinct()
 
     def fragments(keys: DataFrame, key: str) -> DataFrame:
         chosen = texts.join(keys.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
-        return chosen.mapInArrow(lambda batches: _fragments(batches, n), _FRAGMENT).withColumnRenamed("key", key)
+        cut = chosen.mapInArrow(lambda batches: _fragments(batches, n, part), _FRAGMENT)
+        return cut.withColumnRenamed("key", key)
 
-    gap = F.lit(None).cast("long")
     pivots = fragments(ends, "a").join(ends, "a").select(
-        "a", "slice", "fragment", *(gap.alias(c) for c in ("b", "size_a", "size_b")), "hashes"
+        "a", "slice", "fragment", F.lit(None).cast("long").alias("b"), "hashes"
     )
     partners = fragments(sliced, "b").join(sliced, "b").select(*pivots.columns)
     group = ["a", "slice", "fragment"]
     met = pivots.unionByName(partners).repartition(*group).sortWithinPartitions(*group, F.asc_nulls_first("b"))
-    partial = met.mapInArrow(_overlaps, f"{', '.join(f'{c} long' for c in _PAIR)}, fragment int, overlap long")
-    shared = partial.groupBy(*_PAIR).agg(F.sum("overlap").alias("shared"))
-    return shared.filter(
-        F.col("shared") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("shared")) * percent
-    ).select("a", "b")
+    sums_ = [F.sum(c).alias(c) for c in ("overlap", "here_a", "here_b")]
+    return met.mapInArrow(_overlaps, "a long, b long, overlap long, here_a long, here_b long").groupBy("a", "b").agg(*sums_)
 
 
 _FRAGMENT = "key long, fragment int, hashes binary"
 
 
-def _fragments(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """(key, text) to the sorted n-grams of every fragment of the global order."""
+def _fragments(
+    batches: Iterator[pa.RecordBatch], n: int, span: tuple[int, int]
+) -> Iterator[pa.RecordBatch]:
+    """(key, text) to the sorted n-grams of some fragments of the global order."""
     for batch in batches:
         for part in slices(batch, "text"):
             rows, hashes = distinct(*shingles(words(part.column(1)), n))
             piece = ((hashes >> _U(32)) * _U(FRAGMENTS) >> _U(32)).astype(np.int64)
+            mine = (piece >= span[0]) & (piece < span[1])
+            rows, hashes, piece = rows[mine], hashes[mine], piece[mine]
             place = rows * FRAGMENTS + piece
             first = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
             offsets = (np.append(first, len(place)) * 8).astype(np.int32)
@@ -392,14 +428,14 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
         keys = np.stack([column[c].to_numpy().astype(np.int64) for c in ("a", "slice", "fragment")])
-        partner = np.asarray(column["b"].is_valid())
+        partner = column["b"].is_valid().to_numpy(zero_copy_only=False)
         hashes = column["hashes"]
         at = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + batch.num_rows + 1]
         at = at.astype(np.int64)
         data = np.frombuffer(hashes.buffers()[2], np.uint8)[at[0] : at[-1]].copy().view(_U)
         at = (at - at[0]) // 8
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        found, overlap = [], []
+        overlap, here_a = np.zeros((2, batch.num_rows), np.int64)
         for begin, stop in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             this = tuple(keys[:, begin])
             if not partner[begin]:
@@ -411,16 +447,14 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             values = data[at[begin] : at[stop]]
             hit = pivot[np.minimum(np.searchsorted(pivot, values), len(pivot) - 1)] == values
-            count = np.add.reduceat(hit.astype(np.int64), at[begin:stop] - at[begin])
-            some = np.flatnonzero(count)
-            found.append(begin + some)
-            overlap.append(count[some])
-        if found:
-            rows = pa.array(np.concatenate(found))
-            yield pa.RecordBatch.from_arrays(
-                [column[c].take(rows) for c in (*_PAIR, "fragment")] + [pa.array(np.concatenate(overlap))],
-                [*_PAIR, "fragment", "overlap"],
-            )
+            overlap[begin:stop] = np.add.reduceat(hit.astype(np.int64), at[begin:stop] - at[begin])
+            here_a[begin:stop] = len(pivot)
+        rows = np.flatnonzero(partner)
+        yield pa.RecordBatch.from_arrays(
+            [column["a"].take(pa.array(rows)), column["b"].take(pa.array(rows))]
+            + [pa.array(v[rows]) for v in (overlap, here_a, np.diff(at))],
+            ["a", "b", "overlap", "here_a", "here_b"],
+        )
 
 
 _PAIR = ("a", "b", "size_a", "size_b")
@@ -593,7 +627,7 @@ def jaccard_components(
     near = materialise(_bounded(stars.select("a", "b").distinct(), small, percent), "pairs")
     best = near.groupBy("b").agg(F.min(F.struct("a", "size_a", "size_b")).alias("x"))
     once = best.select("x.a", "b", "x.size_a", "x.size_b")
-    links = materialise(_links(once, docs, first, doc_id, text, n, percent), "links")
+    links = _links(once, docs, first, doc_id, text, n, percent)
     roots = _rooted(links)
     groups = materialise(_groups(stars), "groups")
     nearest, more = True, _apart(near, roots)
@@ -601,7 +635,7 @@ def jaccard_components(
         met = _met_across(groups, small, roots, percent, nearest)
         more = materialise(met if more is None else more.unionByName(met).distinct(), "across")
         if not more.isEmpty():
-            found = materialise(_links(more, docs, first, doc_id, text, n, percent), "links")
+            found = _links(more, docs, first, doc_id, text, n, percent)
             more = None if found.isEmpty() else found
         else:
             more = None
