@@ -55,7 +55,7 @@ BLOCK = 256
 #: A signature is frequent from so many classes on, and so many at most are known to be.
 FREQUENT, MOST_FREQUENT = 24, 200_000
 #: Signatures a task counts at once.
-COUNTED = 1 << 21
+COUNTED = 1 << 19
 
 
 #: Each size class reaches so many times further than the one before.
