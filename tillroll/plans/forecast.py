@@ -34,9 +34,15 @@ class ForecastSettings:
     partitions: int = 4
     #: Group means from training rows only, without the features that contain the label.
     leak_free: bool = False
+    #: Whether a tree is fitted on rows drawn with replacement, or on all as they are.
+    bootstrap: bool = True
+    #: Features to use; None stands for all.
+    only: tuple[str, ...] | None = None
 
     @property
     def inputs(self) -> list[str]:
+        if self.only is not None:
+            return list(self.only)
         return [f for f in feat.FEATURES if not (self.leak_free and f in feat.LEAKING)]
 
 
@@ -108,6 +114,7 @@ def forest(settings: ForecastSettings) -> Pipeline:
                 maxDepth=settings.depth,
                 minInstancesPerNode=settings.min_leaf,
                 featureSubsetStrategy="all",
+                bootstrap=settings.bootstrap,
                 seed=settings.seed,
             ),
         ]

@@ -1,4 +1,5 @@
-"""Queries over stored state: committed versions, incremental views, bitmaps, buckets."""
+"""Queries over stored state: committed versions, incremental views, bitmaps, buckets, search
+indexes, saved forests, and quantiles by brackets."""
 
 from __future__ import annotations
 
@@ -7,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import bitmaps, marts, products
+from tillroll.operators import bitmaps, evaluation, features, marts, products, quantiles, search_index
 from tillroll.operators.joins import join_dimension
-from tillroll.plans import incremental
+from tillroll.plans import forecast, forest_table, incremental
 from tillroll.sample import star
 from tillroll.schemas import as_doubles
 from tillroll.session import scratch_dir
@@ -178,3 +179,64 @@ def bucketed_order_analysis(spark, sf_dir):
             marts.cents(F.sum("saved")).alias("total_customer_savings_usd"),
         )
     )
+
+
+# -- search -------------------------------------------------------------------------------
+
+#: Search texts of the index query, and whether % and _ are wildcards in them.
+SEARCHES = (("bolt", False), ("Small Ri", False), ("o", False), ("s_l%gea", True), ("297", False), ("no such", False))
+
+
+@_query
+def search_by_trigrams(spark, sf_dir):
+    """Hits of several search texts by the stored index."""
+    dim = star.dim_products(spark, sf_dir).select("product_id", "product_name")
+    index = search_index.build_index(dim, scratch_dir(spark, "trigrams"))
+    found = None
+    for text, wildcards in SEARCHES:
+        hits = search_index.search(dim, index, text, wildcards).withColumn("search", F.lit(text))
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+# -- quantiles ----------------------------------------------------------------------------
+
+
+@_query
+def price_tier_by_brackets(spark, sf_dir):
+    rows = features.training_rows(*_star(spark, sf_dir))
+    return quantiles.price_tiers(rows).select("order_id", "product_id", "units_sold", "price_tier")
+
+
+# -- forests ------------------------------------------------------------------------------
+
+#: A forest whose numbers another engine can work out: one split, on features of few values.
+STUMP = forecast.ForecastSettings(
+    trees=1,
+    depth=1,
+    bootstrap=False,
+    only=("price_tier", "is_discounted", "is_high_rated", "is_out_of_stock", "is_low_stock"),
+)
+
+
+def _stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its prediction, by the node table of the saved model."""
+    rows = forecast.feature_table(*_star(spark, sf_dir), STUMP)
+    path = f"{scratch_dir(spark, 'stump')}/model"
+    forecast.save_model(forecast.train(forecast.labelled(rows, STUMP), STUMP), path)
+    return forest_table.apply_nodes(rows, forest_table.node_table(spark, path), STUMP.inputs, STUMP.depth)
+
+
+@_query
+def stump_forecast(spark, sf_dir):
+    """Predicted units of every line."""
+    units = F.round("prediction", 6).alias("predicted_units")
+    return _stump(spark, sf_dir).select("order_id", "product_id", "units_sold", units)
+
+
+@_query
+def stump_metrics(spark, sf_dir):
+    """Error and fit over all held-out lines."""
+    held_out = _stump(spark, sf_dir).filter("not is_train")
+    found = evaluation.regression_metrics(held_out, "prediction", "units_sold")
+    return found.select(F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))

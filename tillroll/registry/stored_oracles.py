@@ -2,12 +2,57 @@
 
 from __future__ import annotations
 
-from tillroll.registry.oracles import _DIM, _LINES, _with, all_oracles
-from tillroll.registry.stored import SNAPSHOT_DAY
+from tillroll.registry.oracles import _DIM, _FEATURES, _LINE_KEY, _LINES, _md5, _with, all_oracles
+from tillroll.registry.stored import SEARCHES, SNAPSHOT_DAY, STUMP
 
 _AFTER = f"FROM lineitem WHERE NOT (l_shipdate < '{SNAPSHOT_DAY}' AND l_returnflag = 'R')"
 
 
+def _search(text: str, wildcards: bool) -> str:
+    name = f"LIKE lower('%{text}%')" if wildcards else f"LIKE '%' || lower('{text}') || '%'"
+    return f"""SELECT '{text}' AS search, product_id, product_name FROM dim
+        WHERE lower(product_name) {name} OR CAST(product_id AS VARCHAR) = '{text}'"""
+
+
+def _stump(body: str) -> str:
+    """The best single split by squared error over the training lines of the sample."""
+    key = [k.replace("quantity", "units_sold") for k in _LINE_KEY]
+    ctes = _FEATURES.replace(
+        "SELECT order_id, product_id, quantity AS units_sold,",
+        "SELECT order_id, product_id, quantity AS units_sold, gross, discount,",
+        1,
+    )
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS f, {name} AS v, units_sold AS y FROM fitted" for i, name in enumerate(STUMP.inputs)
+    )
+    value = " ".join(f"WHEN {i} THEN {name}" for i, name in enumerate(STUMP.inputs))
+    return _with(
+        f"""{ctes},
+        numbered AS (
+            SELECT *, {_md5("'labelled'", *key)} AS h, {_md5("'42'", *key)} % 10 < 8 AS is_train,
+                count(*) OVER () AS n FROM feats),
+        fitted AS (
+            SELECT * FROM numbered
+            WHERE is_train AND (n <= {STUMP.labelled_rows} OR h < 4294967296 * {STUMP.labelled_rows} / n)),
+        spread AS ({values}),
+        sums AS (SELECT f, v, count(*) AS n, sum(y) AS s FROM spread GROUP BY f, v),
+        sides AS (
+            SELECT f, v, sum(n) OVER up AS nl, sum(s) OVER up AS sl,
+                sum(n) OVER everything - sum(n) OVER up AS nr,
+                sum(s) OVER everything - sum(s) OVER up AS sr
+            FROM sums WINDOW up AS (PARTITION BY f ORDER BY v), everything AS (PARTITION BY f)),
+        best AS (
+            SELECT f, v, CAST(sl AS DOUBLE) / nl AS left_mean, CAST(sr AS DOUBLE) / nr AS right_mean
+            FROM sides WHERE nl >= {STUMP.min_leaf} AND nr >= {STUMP.min_leaf}
+            ORDER BY CAST(sl AS DOUBLE) * sl / nl + CAST(sr AS DOUBLE) * sr / nr DESC, f, v LIMIT 1),
+        predicted AS (
+            SELECT order_id, product_id, units_sold, is_train,
+                CASE WHEN (CASE f {value} END) <= v THEN left_mean ELSE right_mean END AS p
+            FROM numbered CROSS JOIN best)""",
+        body,
+    )
+
+
 def stored_oracles() -> dict[str, str]:
     known = all_oracles()
 
@@ -38,4 +83,15 @@ def stored_oracles() -> dict[str, str]:
             FROM lines LEFT JOIN dim USING (product_id)""",
         ),
         "bucketed_order_analysis": known["order_analysis"],
+        "search_by_trigrams": _with(_DIM, " UNION ALL ".join(_search(*s) for s in SEARCHES)),
+        "price_tier_by_brackets": known["features_price_tier"],
+        "stump_forecast": _stump(
+            "SELECT order_id, product_id, units_sold, round(p, 6) AS predicted_units FROM predicted"
+        ),
+        "stump_metrics": _stump(
+            """SELECT round(avg(abs(p - units_sold)), 4) AS mae,
+                round(1 - sum((units_sold - p) * (units_sold - p))
+                    / (var_pop(units_sold) * count(*)), 6) AS r2
+            FROM predicted WHERE NOT is_train"""
+        ),
     }
