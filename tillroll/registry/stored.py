@@ -8,13 +8,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import bitmaps, evaluation, features, marts, products, quantiles, search_index
+from tillroll.operators import (
+    bitmaps,
+    evaluation,
+    features,
+    folds,
+    marts,
+    products,
+    quantiles,
+    search_index,
+)
 from tillroll.operators.joins import join_dimension
-from tillroll.plans import forecast, forest_table, incremental
+from tillroll.plans import analytics, forecast, forest_table, incremental
+from tillroll.registry.queries import _with_text_errors
 from tillroll.sample import star
-from tillroll.schemas import as_doubles
+from tillroll.schemas import RAW_CART, as_doubles
 from tillroll.session import scratch_dir
-from tillroll.sinks import buckets, versions
+from tillroll.sinks import buckets, files, tables, versions
+from tillroll.sources import inference, snapshots
+from tillroll.sources.tables import Warehouse
 
 _QUERIES: dict = {}
 
@@ -240,3 +252,92 @@ def stump_metrics(spark, sf_dir):
     held_out = _stump(spark, sf_dir).filter("not is_train")
     found = evaluation.regression_metrics(held_out, "prediction", "units_sold")
     return found.select(F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
+
+
+# -- folds and encodings ------------------------------------------------------------------
+
+
+@_query
+def contiguous_folds(spark, sf_dir):
+    """Ten runs of the stored order lines, one after the other."""
+    rows = folds.with_contiguous_folds(spark, f"{sf_dir}/lineitem.parquet", 10)
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", "position", "fold")
+
+
+@_query
+def out_of_fold_features(spark, sf_dir):
+    """Mean units of a line's category and brand over the folds it is not in."""
+    settings = forecast.ForecastSettings()
+    fold = evaluation.fold_of(settings.seed, settings.folds, *forecast.line_key())
+    rows = features.training_rows(*_star(spark, sf_dir)).withColumn("fold", fold)
+    rows = folds.out_of_fold_means(rows, "category", "units_sold", "fold", "category_mean")
+    rows = folds.out_of_fold_means(rows, "brand", "units_sold", "fold", "brand_mean")
+    means = [F.round(c, 6).alias(c) for c in ("category_mean", "brand_mean")]
+    return rows.select("order_id", "product_id", "units_sold", "fold", *means)
+
+
+# -- types and rejected values ------------------------------------------------------------
+
+
+@_query
+def inferred_types(spark, sf_dir):
+    """Types of the raw product file's columns, from its text."""
+    raw = star.products_raw(spark, sf_dir).select(
+        "id", "title", "category", "brand", "price", "discountPercentage", "rating", "stock"
+    )
+    path = files.write_csv(raw, scratch_dir(spark, "raw-csv"))
+    return inference.infer_types(inference.read_text_csv(spark, path))
+
+
+@_query
+def rejected_values(spark, sf_dir):
+    """Values of the raw products that are no numbers."""
+    raw = _with_text_errors(star.products_raw(spark, sf_dir))
+    kinds = {"price": "decimal(28,10)", "discountPercentage": "decimal(28,10)", "rating": "double", "stock": "bigint"}
+    return inference.rejected_values(raw, kinds, "ingest_pos")
+
+
+# -- files and tables by name -------------------------------------------------------------
+
+
+def _mart_file(name: str):
+    def build(spark, sf_dir):
+        built = analytics.build_marts(*_star(spark, sf_dir))
+        paths = files.write_marts({name: built[name]}, scratch_dir(spark, "marts"), "csv")
+        return snapshots.read_csv(spark, paths[name], built[name].schema)
+
+    return build
+
+
+for _name in ("revenue_by_category", "dead_inventory", "discount_impact"):
+    _QUERIES[f"mart_file_{_name}"] = _mart_file(_name)
+
+
+@_query
+def scan_json_array(spark, sf_dir):
+    """Carts landed as files of one JSON array each."""
+    carts = star.carts_raw(spark, sf_dir)
+    path = scratch_dir(spark, "array")
+    body = F.to_json(F.struct(*carts.columns), {"ignoreNullFields": "false"})
+    pieces = carts.select(body.alias("body"), F.pmod("id", F.lit(16)).alias("piece"))
+    arrays = pieces.groupBy("piece").agg(F.concat(F.lit("["), F.array_join(F.collect_list("body"), ","), F.lit("]")).alias("value"))
+    arrays.select("value").repartition(16).write.text(path)
+    back = spark.read.schema(RAW_CART).option("multiLine", True).json(path)
+    return back.select(
+        F.col("id").alias("order_id"),
+        F.col("userId").alias("user_id"),
+        F.col("total").cast("double").alias("total"),
+        F.size("products").cast("bigint").alias("n_lines"),
+    )
+
+
+@_query
+def warehouse_sources(spark, sf_dir):
+    """The revenue report over tables found by their logical names."""
+    database = f"analytics_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'warehouse')}'")
+    house = Warehouse(spark, database)
+    fact, dim = _star(spark, sf_dir)
+    tables.full_refresh(fact, house.name("fact_orders"))
+    tables.full_refresh(dim, house.name("dim_products"))
+    return marts.order_analysis(house.source("fact_orders"), house.source("dim_products"))

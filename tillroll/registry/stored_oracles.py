@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tillroll.registry.oracles import _DIM, _FEATURES, _LINE_KEY, _LINES, _md5, _with, all_oracles
+from tillroll.registry.oracles import (
+    _CARTS,
+    _DIM,
+    _FEATURES,
+    _LINE_KEY,
+    _LINES,
+    _RAW,
+    _SPLIT,
+    _md5,
+    _with,
+    all_oracles,
+)
 from tillroll.registry.stored import SEARCHES, SNAPSHOT_DAY, STUMP
 
 _AFTER = f"FROM lineitem WHERE NOT (l_shipdate < '{SNAPSHOT_DAY}' AND l_returnflag = 'R')"
@@ -53,6 +64,41 @@ def _stump(body: str) -> str:
     )
 
 
+_KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def _inferred(column: str, value: str) -> str:
+    # the other engine rounds a fraction to a whole number, which is none here
+    whole = "CASE WHEN regexp_full_match(x, '[+-]?[0-9]+') THEN x END"
+    texts = {name: whole if name in ("int", "bigint") else "x" for name in _KINDS}
+    tried = " ".join(
+        f"WHEN count(TRY_CAST({texts[name]} AS {kind})) = count(x) THEN '{name}'"
+        for name, kind in _KINDS.items()
+    )
+    return f"""SELECT '{column}' AS column_name, count(x) AS n_values,
+        CASE WHEN count(x) = 0 THEN 'string' {tried} ELSE 'string' END AS inferred
+        FROM (SELECT CAST({value} AS VARCHAR) AS x FROM raw)"""
+
+
+def _rejects() -> str:
+    """Text that the fields of spoilt records hold: 'n/a', or nothing at all."""
+    fields = {"price": "decimal(28,10)", "discountPercentage": "decimal(28,10)", "rating": "double", "stock": "bigint"}
+    return " UNION ALL ".join(
+        f"""SELECT pos AS ingest_pos, '{field}' AS field,
+            CASE WHEN id % 11 = 0 THEN 'n/a' ELSE '' END AS raw,
+            CASE WHEN id % 11 = 0 THEN 'not {kind}' ELSE 'blank' END AS reason
+        FROM raw WHERE id % 11 = 0 OR id % 13 = 0"""
+        for field, kind in fields.items()
+    )
+
+
+def _left_out(key: str) -> str:
+    """Mean of a group without a fold, for every (group, fold)."""
+    return f"""(SELECT (sum(sum(units_sold)) OVER (PARTITION BY {key}) - sum(units_sold))
+            / (sum(count(*)) OVER (PARTITION BY {key}) - count(*)) AS mean, {key}, fold
+        FROM folded GROUP BY {key}, fold)"""
+
+
 def stored_oracles() -> dict[str, str]:
     known = all_oracles()
 
@@ -84,6 +130,39 @@ def stored_oracles() -> dict[str, str]:
         ),
         "bucketed_order_analysis": known["order_analysis"],
         "search_by_trigrams": _with(_DIM, " UNION ALL ".join(_search(*s) for s in SEARCHES)),
+        "contiguous_folds": """
+            SELECT l_orderkey, l_partkey, l_linenumber, position, CAST(
+                CASE WHEN position < n % 10 * (n // 10 + 1) THEN position // (n // 10 + 1)
+                ELSE n % 10 + (position - n % 10 * (n // 10 + 1)) // greatest(n // 10, 1) END AS INT) AS fold
+            FROM (SELECT *, row_number() OVER () - 1 AS position, count(*) OVER () AS n FROM lineitem)""",
+        "out_of_fold_features": _with(
+            f"""{_SPLIT},
+            folded AS (
+                SELECT order_id, product_id, quantity AS units_sold, fold, category, brand FROM (
+                    SELECT joined.*, CAST({_md5("'42'", "'fold'", *_LINE_KEY)} % 5 AS INT) AS fold
+                    FROM joined))""",
+            f"""SELECT order_id, product_id, units_sold, f.fold,
+                round(CAST(c.mean AS DOUBLE), 6) AS category_mean, round(CAST(b.mean AS DOUBLE), 6) AS brand_mean
+            FROM folded f JOIN {_left_out("category")} c ON c.category = f.category AND c.fold = f.fold
+            JOIN {_left_out("brand")} b ON b.brand = f.brand AND b.fold = f.fold""",
+        ),
+        "inferred_types": _with(
+            _RAW,
+            " UNION ALL ".join(
+                _inferred(column, value)
+                for column, value in {
+                    "id": "id", "title": "title", "category": "category", "brand": "brand",
+                    "price": "price", "discountPercentage": "CAST(discount AS BIGINT)", "rating": "rating",
+                    "stock": "stock",
+                }.items()
+            ),
+        ),
+        "rejected_values": _with(_RAW, _rejects()),
+        **{f"mart_file_{name}": known[name] for name in ("revenue_by_category", "dead_inventory", "discount_impact")},
+        "scan_json_array": _with(
+            _CARTS, "SELECT order_id, user_id, CAST(total AS DOUBLE) AS total, n AS n_lines FROM headers"
+        ),
+        "warehouse_sources": known["order_analysis"],
         "price_tier_by_brackets": known["features_price_tier"],
         "stump_forecast": _stump(
             "SELECT order_id, product_id, units_sold, round(p, 6) AS predicted_units FROM predicted"
