@@ -44,10 +44,10 @@ from .words import distinct, mix, shingles, slices, sums, words
 
 _U = np.uint64
 BITS = 1024
-#: Fragments for counting overlaps of a pair.
-FRAGMENTS = 8
+#: Fragments for counting overlaps of a pair: a row holds one, so rows of long texts are short.
+FRAGMENTS = 32
 #: Fragments (from, up to) that are counted before the others are.
-FRAGMENT_STEPS = ((0, 2), (2, FRAGMENTS))
+FRAGMENT_STEPS = ((0, 8), (8, FRAGMENTS))
 #: Partners of a pivot that are counted together.
 PARTNERS = 64
 #: Members of a signature that meet those of another block in one row.
@@ -432,7 +432,7 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = column["hashes"]
         at = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + batch.num_rows + 1]
         at = at.astype(np.int64)
-        data = np.frombuffer(hashes.buffers()[2], np.uint8)[at[0] : at[-1]].copy().view(_U)
+        data = np.frombuffer(hashes.buffers()[2], _U, (at[-1] - at[0]) // 8, at[0])
         at = (at - at[0]) // 8
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         overlap, here_a = np.zeros((2, batch.num_rows), np.int64)
