@@ -218,6 +218,31 @@ def test_banded_alignment_finds_the_best_local_one():
         assert full_alignment(x, y) <= n and n >= 70 - 3 * (seed % 5) and edits <= 8
 
 
+def test_a_straight_passage_is_what_the_matrix_finds():
+    r = np.random.default_rng(5)
+    left, right, shifts = [], [], []
+    for i in range(400):
+        size, before, after = r.integers(20, 150), r.integers(0, 100), r.integers(0, 100)
+        vocabulary = (4, 30, 10**6)[i % 3]
+        core = r.integers(0, vocabulary, size)
+        x = np.concatenate([r.integers(0, vocabulary, before), core, r.integers(0, vocabulary, after)])
+        head = r.integers(0, 100)
+        y = np.concatenate([r.integers(0, vocabulary, head), core, r.integers(0, vocabulary, r.integers(0, 100))])
+        wrong = r.integers(head, head + size, i % 9)
+        y[wrong] = r.integers(0, 10**7, len(wrong))
+        if i % 5 == 4:  # a word more, somewhere
+            y = np.insert(y, head + size // 2, 7)
+        left.append(x.astype(np.uint32))
+        right.append(y.astype(np.uint32))
+        shifts.append(int(before) - int(head))
+    got, certain = chaining.straight(left, right, shifts)
+    assert 100 < certain.sum() < 400
+    at = [np.array([0, len(y) - 1]) for y in right]
+    want = chaining.align(left, right, [(a + s, a) for a, s in zip(at, shifts, strict=True)])
+    assert (got[certain] == want[certain]).all()
+    assert chaining.straight([], [], [])[0].shape == (0, 5)
+
+
 def test_repeated_passages_are_found_and_clean_texts_left(spark):
     passage = prose(1, 70)
     docs = [(i, " ".join(prose(1000 + i, 150 + i))) for i in range(40)]
