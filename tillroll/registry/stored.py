@@ -13,6 +13,7 @@ from tillroll.operators import (
     evaluation,
     features,
     folds,
+    known_keys,
     marts,
     products,
     quantiles,
@@ -341,3 +342,27 @@ def warehouse_sources(spark, sf_dir):
     tables.full_refresh(fact, house.name("fact_orders"))
     tables.full_refresh(dim, house.name("dim_products"))
     return marts.order_analysis(house.source("fact_orders"), house.source("dim_products"))
+
+
+# -- known keys ---------------------------------------------------------------------------
+
+
+@_query
+def first_wins_across_snapshots(spark, sf_dir):
+    """Products after three deliveries, each dearer than the one before: three quarters of the
+    ids, all of them, and all of them again."""
+    raw = star.products_raw(spark, sf_dir)
+    price = F.col("price").cast("decimal(12,2)")
+    kept = known_keys.FirstWins(spark, scratch_dir(spark, "first-wins"), "id", "ingest_pos")
+    for rise, where in ((0, "id div 3 % 4 <> 0"), (5, "true"), (9, "true")):
+        dearer = (price + rise).cast("decimal(12,2)").alias("price")
+        kept.deliver(raw.filter(where).select("id", "title", dearer, "ingest_pos"))
+    return as_doubles(kept.rows())
+
+
+@_query
+def orphans_by_known_keys(spark, sf_dir):
+    """Order lines without a product, by the filter of the product ids."""
+    fact, dim = _star(spark, sf_dir)
+    lines = fact.select("order_id", "product_id", "quantity_ordered", "line_total_usd")
+    return as_doubles(known_keys.orphans_by_filter(lines, dim, "product_id"))

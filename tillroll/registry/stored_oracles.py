@@ -163,6 +163,13 @@ def stored_oracles() -> dict[str, str]:
             _CARTS, "SELECT order_id, user_id, CAST(total AS DOUBLE) AS total, n AS n_lines FROM headers"
         ),
         "warehouse_sources": known["order_analysis"],
+        "first_wins_across_snapshots": _with(
+            _RAW,
+            """SELECT id, title, pos AS ingest_pos,
+                CAST(price + CASE WHEN id // 3 % 4 = 0 THEN 5 ELSE 0 END AS DOUBLE) AS price
+            FROM raw QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos) = 1""",
+        ),
+        "orphans_by_known_keys": known["dq_orphans"],
         "price_tier_by_brackets": known["features_price_tier"],
         "stump_forecast": _stump(
             "SELECT order_id, product_id, units_sold, round(p, 6) AS predicted_units FROM predicted"
