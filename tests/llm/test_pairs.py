@@ -9,7 +9,7 @@ import pytest
 from helpers import EDGES, prose, shingles, table, words
 
 from tillroll.llm import chaining, jaccard_join
-from tillroll.llm.components import components
+from tillroll.llm.components import components, merged_components
 from tillroll.llm.decontaminate import contained_items, without_contained
 
 
@@ -146,6 +146,33 @@ def test_components_of_long_chains(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_more_links(spark):
+    r = random.Random(5)
+    links = [(r.randrange(400), r.randrange(400)) for _ in range(260)] + [(0, i) for i in range(0, 400, 9)]
+    kind, cuts, roots = "a long, b long", (0, 40, 150, len(links)), None
+    for begin, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        new = spark.createDataFrame(links[begin:stop], kind)
+        if roots is None:
+            roots = components(new).withColumnRenamed("node", "key")
+        else:
+            roots = merged_components(roots, new, "key")
+        whole = components(spark.createDataFrame(links[:stop], kind))
+        assert sorted(map(tuple, roots.select("key", "root").collect())) == sorted(map(tuple, whole.collect()))
+    same = merged_components(roots, spark.createDataFrame([], kind), "key")
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, roots.select("key", "root").collect()))
+    edges = {}
+    for a, b in links:
+        edges.setdefault(a, set()).add(b)
+        edges.setdefault(b, set()).add(a)
+    for node, root in map(tuple, roots.select("key", "root").collect()):
+        seen, todo = {node}, [node]
+        while todo:
+            more = edges[todo.pop()] - seen
+            seen |= more
+            todo += more
+        assert root == min(seen)
+
+
 # -- substring dedup -----------------------------------------------------------------------
 
 

@@ -19,6 +19,32 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.filter("a <> b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every ``a`` has one ``b``, which is no ``a`` itself: then each ``b`` is the least
+    node of its component. One aggregate, which a hub enters as one row a task."""
+    nodes = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sums = nodes.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.filter("up + down > 1 and up > 0").isEmpty()
+
+
+def merged_components(roots: DataFrame, links: DataFrame, key: str, a: str = "a", b: str = "b") -> DataFrame:
+    """``roots`` (``key``, ``root``) after more ``links`` between keys: components are found among
+    the roots that the new links join, and the other rows are carried over. Keys that were in no
+    component before come in by their links."""
+    named = links.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    for end in ("a", "b"):
+        known = roots.select(F.col(key).alias(end), F.col("root").alias("__root"))
+        named = named.join(known, end, "left").withColumn(end, F.coalesce("__root", end)).drop("__root")
+    joined = materialise(components(named), "joined")
+    known = roots.select(key, "root")
+    fresh = joined.select(F.col("node").alias(key)).join(known.select(key), key, "left_anti")
+    every = known.unionByName(fresh.select(key, F.col(key).alias("root")))
+    top = joined.select(F.col("node").alias("root"), F.col("root").alias("__top"))
+    return every.join(top, "root", "left").select(key, F.coalesce("__top", "root").alias("root"))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``root`` (the least node of its component) for every node of ``links``.
 
@@ -34,18 +60,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
     )
     edges = materialise(edges, "links")
-    state = None
-    while True:
+    while not _are_stars(edges):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
         grown = materialise(_star(both, large=True), "links")
         pairs = grown.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         edges = materialise(_star(pairs, large=False), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
-        if now == state:
-            break
-        state = now
     return (
         edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")))

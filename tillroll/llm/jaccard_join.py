@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_scope
-from .components import components
+from .components import components, merged_components
 from .sieve import sieve
 from .words import distinct, mix, shingles, slices, sums, words
 
@@ -640,8 +640,7 @@ def jaccard_components(
         else:
             more = None
         if more is not None:
-            links = materialise(links.unionByName(more), "links")
-            roots = _rooted(links)
+            roots = materialise(merged_components(roots, more, "key"), "roots")
         if not nearest:  # every pair that was still open has been counted
             break
         nearest, more = more is not None, None
