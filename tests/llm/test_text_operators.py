@@ -278,14 +278,19 @@ def test_swapped_answers(spark):
     rows = [
         (0, 0, "user", "q0"), (0, 1, "assistant", "a0"), (0, 2, "user", "bye"),
         (1, 0, "user", "q1"), (1, 1, "assistant", "x"), (1, 2, "user", "y"), (1, 3, "assistant", "a1"),
-        (2, 0, "user", "no neighbour"), (2, 1, "assistant", "a2"),
-        (4, 0, "user", "none"), (5, 0, "user", "none"), (None, 0, "user", "x"),
+        (2, 0, "user", "an id further on"), (2, 1, "assistant", "a2"),
+        (4, 0, "user", "none"), (5, 0, "user", "none"), (None, 0, "user", "x"), (7, None, "assistant", "x"),
+        (90, 4, "assistant", "b"), (90, 4, "assistant", "a90"), (90, 4, "assistant", "a90"),
     ]
     talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {
         (r["pair_id"], r["side"], r["turn"]): r["text"] for r in swapped_answers(talk).collect()
     }
-    assert {k[0] for k in got} == {0, 1}
+    assert {k[0] for k in got} == {0, 1, 2, 90}
     assert got[0, "chosen", 1] == "a0" and got[0, "rejected", 1] == "a1"
-    assert got[1, "rejected", 3] == "a0" and got[1, "rejected", 1] == "x"
+    assert got[1, "rejected", 3] == "a2" and got[1, "rejected", 1] == "x"
+    assert got[2, "rejected", 1] == "a90"
+    assert got[90, "chosen", 4] == "a90" and got[90, "rejected", 4] == "a0"
     assert (0, "chosen", 2) not in got
+    for few in ("conv_id = 1", "conv_id = 4", "false"):  # nobody else has an answer
+        assert swapped_answers(talk.filter(few)).count() == 0

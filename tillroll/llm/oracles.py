@@ -53,8 +53,9 @@ def op6() -> str:
             SELECT conv_id, max(turn) AS last, arg_max(said.text, turn) AS answer
             FROM t WHERE said.role = 'assistant' GROUP BY conv_id),
         swaps AS (
-            SELECT a.conv_id, a.last, b.answer AS other
-            FROM answers a JOIN answers b ON b.conv_id = xor(a.conv_id, 1)),
+            SELECT conv_id, last, coalesce(lead(answer) OVER (ORDER BY conv_id),
+                                           first_value(answer) OVER (ORDER BY conv_id)) AS other
+            FROM answers QUALIFY count(*) OVER () > 1),
         sides AS (
             SELECT conv_id AS pair_id, turn, said.role AS role, said.text AS chosen,
                    CASE WHEN turn = last THEN other ELSE said.text END AS rejected

@@ -7,6 +7,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import running_total
+from ..session import materialise
+
 START, END = "<|turn|>", "<|end|>"
 
 
@@ -84,9 +87,10 @@ def format_preferences(pairs: DataFrame, *, pair_id: str = "pair_id") -> DataFra
 
 def swapped_answers(conversations: DataFrame) -> DataFrame:
     """Preference pairs from plain conversations: the conversation is chosen; rejected is the
-    same one with its last assistant turn replaced by that of its neighbour (ids 2k and 2k + 1
-    are neighbours). Conversations without an assistant turn, or whose neighbour is missing
-    or has none, form no pair. Of several rows with one turn the least (role, text) stands.
+    same one with its last assistant turn replaced by that of the next conversation, in order
+    of ids, that has one; the last takes the first one's. So each conversation with an assistant
+    turn forms a pair, unless it is the only one; those without form none. Of several rows with
+    one turn the least (role, text) stands. Rows without an id or a turn are left out.
     """
     turns = (
         conversations.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
@@ -101,15 +105,25 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
         )
         .select("conv_id", "turn", "said.role", "said.text")
     )
-    last = (
+    answers = (
         turns.filter("role = 'assistant'")
         .groupBy("conv_id")
         .agg(F.max(F.struct("turn", "text")).alias("answer"))
+        .select("conv_id", F.col("answer.turn").alias("last"), F.col("answer.text").alias("other"))
     )
-    swap = last.select(
-        F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("answer.text").alias("other")
+    answers = materialise(answers, "answers")
+    ranked = running_total(answers.select("conv_id", F.lit(1).alias("one")), "conv_id", "one")
+    ranked = materialise(ranked.select("conv_id", "upto"), "ranks")
+    number = ranked.count()
+    before = F.when(F.col("upto") > 1, F.col("upto") - 1).otherwise(F.lit(number))
+    swap = answers.join(ranked, "conv_id").select(before.alias("upto"), "other")
+    both = (
+        answers.select("conv_id", "last")
+        .join(ranked, "conv_id")
+        .filter(F.lit(number > 1))
+        .join(swap, "upto")
+        .select("conv_id", "last", "other")
     )
-    both = last.select("conv_id", F.col("answer.turn").alias("last")).join(swap, "conv_id")
     joined = turns.join(both, "conv_id")
     at_last = F.col("turn") == F.col("last")
     sides = F.array(
