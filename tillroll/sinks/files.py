@@ -2,16 +2,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.ordering import running_total
 from tillroll.schemas import as_doubles
 from tillroll.sources.paged import StoredPages
 from tillroll.sources.snapshots import TIMESTAMP_FORMAT
 
 #: Keeps one CSV or JSON part file, which a reader may not be able to split, small.
 ROWS_PER_FILE = 2_000_000
+#: Row groups of landed collections, which are read page by page.
+ROW_GROUP_BYTES = 1 << 20
 
 
 def stamp(run_ts: datetime) -> str:
@@ -61,34 +62,38 @@ def write_marts(marts: dict[str, DataFrame], base: str, fmt: str = "csv") -> dic
 
 
 def land_records(records: DataFrame, path: str) -> StoredPages:
-    """Land a collection as JSON bodies with dense positions, in the order of ``ingest_pos``
-    (its values are distinct), and return a fetcher of its pages. The files are ranges of
-    positions, about as many as the session has shuffle partitions."""
+    """Land a collection as JSON bodies in the order of ``ingest_pos`` (its values are
+    distinct), and return a fetcher of its pages. The files are ranges of it, about as many as
+    the session has shuffle partitions, so a body's position is its row in its file after the
+    rows of the files before. Small row groups let a page be read without the rest of its file.
+    Records that share a place are each landed as often as there are of them."""
     spark = records.sparkSession
-    ranked = running_total(
-        records.select("ingest_pos").withColumn("one", F.lit(1)), "ingest_pos", "one"
-    ).select("ingest_pos", (F.col("upto") - 1).alias("position"))
     body = F.to_json(
         F.struct(*(c for c in records.columns if c != "ingest_pos")), {"ignoreNullFields": "false"}
     )
     (
-        records.select("ingest_pos", body.alias("body"))
-        .join(ranked, "ingest_pos")
-        .select("position", "body")
-        .repartitionByRange("position")
-        .sortWithinPartitions("position")
+        records.filter(F.col("ingest_pos").isNotNull())
+        .select("ingest_pos", body.alias("body"))
+        .repartitionByRange("ingest_pos")
+        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("ingest_pos")))
+        .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+        .drop("_n")
+        .sortWithinPartitions("ingest_pos")
         .write.mode("overwrite")
+        .option("parquet.block.size", ROW_GROUP_BYTES)
         .parquet(path)
     )
     files = (
         spark.read.parquet(path)
         .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.min("position").alias("first"), F.max("position").alias("last"))
+        .agg(F.min("ingest_pos").alias("low"), F.count(F.lit(1)).alias("rows"))
         .collect()
     )
-    return StoredPages([(f["first"], f["last"], f["file"]) for f in files], sum(
-        f["last"] - f["first"] + 1 for f in files
-    ))
+    total, pieces = 0, []
+    for f in sorted(files, key=lambda f: f["low"]):
+        pieces.append((total, f["rows"], f["file"]))
+        total += f["rows"]
+    return StoredPages(pieces, total)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> str:

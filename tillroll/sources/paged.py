@@ -47,8 +47,9 @@ class HttpPages:
 
 
 class StoredPages:
-    """Fetcher over records that Spark has landed as Parquet, sorted by their position in the
-    collection: a page is a range of positions, read from the files whose range it meets."""
+    """Fetcher over records that Spark has landed as Parquet in the order of the collection:
+    ``files`` are (position of the first record, records, URI). A page is a range of positions;
+    of the files that it meets only the row groups that hold it are read."""
 
     def __init__(self, files: list[tuple[int, int, str]], total: int) -> None:
         self.files, self.total = sorted(files), total
@@ -56,13 +57,20 @@ class StoredPages:
     def __call__(self, member: str, limit: int, skip: int) -> dict[str, Any]:
         from pyarrow import fs, parquet
 
-        records = []
-        for first, last, uri in self.files:
-            if first < skip + limit and last >= skip:
-                system, path = fs.FileSystem.from_uri(uri)
-                low, high = ("position", ">=", skip), ("position", "<", skip + limit)
-                found = parquet.read_table(path, filesystem=system, filters=[low, high])
-                records += found.sort_by("position").column("body").to_pylist()
+        records, end = [], skip + limit
+        for start, rows, uri in self.files:
+            if start >= end or start + rows <= skip:
+                continue
+            system, path = fs.FileSystem.from_uri(uri)
+            with system.open_input_file(path) as source:
+                stored = parquet.ParquetFile(source)
+                for group in range(stored.num_row_groups):
+                    size = stored.metadata.row_group(group).num_rows
+                    low, high = max(skip - start, 0), min(end - start, size)
+                    if low < high:
+                        body = stored.read_row_group(group, columns=["body"]).column("body")
+                        records += body.slice(low, high - low).to_pylist()
+                    start += size
         return {member: [json.loads(r, parse_float=str) for r in records], "total": self.total}
 
 
