@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import join_dimension
+from tillroll.session import materialise
 
 
 def stored_positions(spark: SparkSession, path: str) -> DataFrame:
@@ -54,12 +55,16 @@ def out_of_fold_means(
     own label is in it. A group with no rows elsewhere has the mean of all rows elsewhere, and
     that of one fold only has null.
 
-    One aggregate takes sums per (group, fold), combined map-side; a fold's part is taken from
-    the group's total. Rows meet a table of groups times folds by a join that splits hot ones.
+    One aggregate takes sums per (group, fold), combined map-side and written once; a fold's
+    part is taken from the group's total. Rows meet a table of groups times folds by a join
+    that splits hot ones. So ``rows`` are worked out twice, whatever else is made of the sums.
     """
     value = F.col(label).cast("decimal(28,6)")
-    sums = rows.groupBy(F.col(key).alias("_key"), F.col(fold).alias("_fold")).agg(
-        F.sum(value).alias("s"), F.count(value).alias("n")
+    sums = materialise(
+        rows.groupBy(F.col(key).alias("_key"), F.col(fold).alias("_fold")).agg(
+            F.sum(value).alias("s"), F.count(value).alias("n"), F.count(F.lit(1)).alias("rows")
+        ),
+        "fold-sums",
     )
     by_key = sums.groupBy("_key").agg(F.sum("s").alias("key_s"), F.sum("n").alias("key_n"))
     by_fold = sums.groupBy("_fold").agg(F.sum("s").alias("fold_s"), F.sum("n").alias("fold_n"))
@@ -72,7 +77,7 @@ def out_of_fold_means(
         return F.coalesce(whole, F.lit(0)) - F.coalesce(part, F.lit(0))
 
     same = lambda a, b: a.eqNullSafe(b)
-    table = (
+    table = materialise(
         sums.join(by_key.withColumnRenamed("_key", "_k"), same(F.col("_key"), F.col("_k")))
         .join(by_fold.withColumnRenamed("_fold", "_f"), same(F.col("_fold"), F.col("_f")))
         .withColumn("_total", total)
@@ -82,7 +87,9 @@ def out_of_fold_means(
                 mean(rest("key_s", "s"), rest("key_n", "n")),
                 mean(rest("_total.s", "fold_s"), rest("_total.n", "fold_n")),
             ).alias(name),
-        )
+        ),
+        "fold-means",
     )
     grouped = rows.withColumn("_group", F.struct(F.col(key).alias("_key"), F.col(fold).alias("_fold")))
-    return join_dimension(grouped, table, "_group", **join).drop("_group")
+    counts = sums.select(F.struct("_key", "_fold").alias("_group"), F.col("rows").alias("n"))
+    return join_dimension(grouped, table, "_group", counts=counts, **join).drop("_group")
