@@ -9,8 +9,8 @@ from tillroll.schemas import as_doubles
 from tillroll.sources.paged import StoredPages
 from tillroll.sources.snapshots import TIMESTAMP_FORMAT
 
-#: Keeps one CSV or JSON part file, which a reader may not be able to split, small.
-ROWS_PER_FILE = 2_000_000
+#: Keeps one CSV or JSON part file, which is compressed and read by one task, small.
+ROWS_PER_FILE = 250_000
 #: Row groups of landed collections, which are read page by page.
 ROW_GROUP_BYTES = 1 << 20
 
@@ -21,11 +21,13 @@ def stamp(run_ts: datetime) -> str:
 
 
 def land_json(raw: DataFrame, base: str, prefix: str, run_ts: datetime) -> str:
-    """Raw records as they came, one JSON document per line; NULL fields are written too."""
+    """Raw records as they came, one JSON document per line, compressed; NULL fields are
+    written too."""
     path = f"{base}/{prefix}_{stamp(run_ts)}.json"
     (
         raw.write.mode("overwrite")
         .option("ignoreNullFields", False)
+        .option("compression", "gzip")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .json(path)
     )
@@ -33,12 +35,13 @@ def land_json(raw: DataFrame, base: str, prefix: str, run_ts: datetime) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with header. Decimals keep all their digits."""
+    """CSV with header, compressed. Decimals keep all their digits."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("timestampFormat", TIMESTAMP_FORMAT)
+        .option("compression", "gzip")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .csv(path)
     )
