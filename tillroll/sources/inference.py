@@ -27,10 +27,18 @@ def infer_types(rows: DataFrame) -> DataFrame:
     gap, and a column of gaps is text. What values rule out is folded by OR, so the types are
     the same however the file is cut, and a bad value at its very end counts.
     """
-    blank = {c: F.when(F.trim(F.col(f"`{c}`")) != "", F.trim(F.col(f"`{c}`"))) for c in rows.columns}
-    folded = rows.agg(
-        *(F.coalesce(F.bit_or(_fails(v)), F.lit(0)).alias(f"f{i}") for i, v in enumerate(blank.values())),
-        *(F.count(v).alias(f"n{i}") for i, v in enumerate(blank.values())),
+    places = range(len(rows.columns))
+    blank = F.array(*(F.trim(F.col(f"`{c}`")) for c in rows.columns))
+    # a column's values one below the other: the same few casts serve all columns
+    values = rows.select(F.posexplode(blank).alias("place", "text")).select(
+        "place", F.when(F.col("text") != "", F.col("text")).alias("value")
+    )
+    found = values.groupBy("place").agg(
+        F.bit_or(_fails(F.col("value"))).alias("f"), F.count("value").alias("n")
+    )
+    folded = found.agg(
+        *(F.coalesce(F.max(F.when(F.col("place") == i, F.col("f"))), F.lit(0)).alias(f"f{i}") for i in places),
+        *(F.coalesce(F.max(F.when(F.col("place") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in places),
     )
 
     def chosen(i: int) -> Column:
