@@ -16,29 +16,36 @@ def bit_columns(key: Column) -> dict[str, Column]:
 
 
 def key_bitmaps(rows: DataFrame, key: str, *by: str) -> DataFrame:
-    """Per group and bucket the bitmap of the keys (4 KB each). A missing key has no bit.
+    """Per group and ``word`` (64 numbers) the bitmap of the keys, one whole number. A missing
+    key has no bit.
 
-    Combined map-side: a task sends at most one bitmap for each group and 32,768 ids of the id
-    range, whatever the number of rows. That pays where ids are dense, as sequence numbers
-    are; for keys spread over the whole range of 64 bits it does not.
+    Combined map-side: a task sends at most one word for each group and 64 ids of the id range,
+    and never more words than it has rows. So groups may be many and hold few ids each, where
+    bitmaps of a whole bucket would be empty but for a few bits.
     """
+    number = F.col(key).cast("bigint")
     return (
         rows.filter(F.col(key).isNotNull())
-        .withColumns(bit_columns(F.col(key)))
-        .groupBy(*by, "bucket")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .withColumns({"word": F.shiftright(number, 6), "bits": _bit(number)})
+        .groupBy(*by, "word")
+        .agg(F.bit_or("bits").alias("bits"))
     )
 
 
+def _bit(number: Column) -> Column:
+    """The bit of a whole number in its word."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+
+
 def merged_bitmaps(bitmaps: DataFrame, *by: str) -> DataFrame:
     """Bitmaps of finer groups, or of several loads, as those of the groups ``by``."""
-    return bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return bitmaps.groupBy(*by, "word").agg(F.bit_or("bits").alias("bits"))
 
 
 def distinct_keys(bitmaps: DataFrame, *by: str, name: str = "n") -> DataFrame:
     """Exact distinct keys per group ``by``, which may be coarser than that of the bitmaps."""
     merged = merged_bitmaps(bitmaps, *by)
-    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("bits")).alias(name))
+    return merged.groupBy(*by).agg(F.sum(F.bit_count("bits")).alias(name))
 
 
 def category_revenue(fact: DataFrame, products: DataFrame, **join: int) -> DataFrame:
