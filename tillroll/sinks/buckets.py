@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import ROWS_PER_SLICE, key_counts
+from tillroll.session import materialise
+
+#: Lines that a bucket holds on average. A key below the hot ones may add ROWS_PER_SLICE.
+ROWS_PER_BUCKET = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -61,13 +65,18 @@ def save_star(
     rows_per_bucket_key: int = ROWS_PER_SLICE,
     path: str | None = None,
 ) -> BucketedStar:
-    """Store ``fact`` and ``dim`` as ``<prefix>_fact``, ``_hot``, ``_dim`` and ``_hot_dim``.
+    """Store ``fact`` and ``dim`` as ``<prefix>_fact``, ``_hot``, ``_dim`` and ``_hot_dim``, in
+    ``buckets`` buckets, or as many more as keep them at ``ROWS_PER_BUCKET`` lines on average: a
+    bucket is sorted by one task.
 
     Lines without a key match nothing and would share a bucket, so they go to the side table
     as well. With ``path`` the tables are folders below it.
     """
     star = BucketedStar(key, *(f"{prefix}_{part}" for part in ("fact", "hot", "dim", "hot_dim")))
-    hot = key_counts(fact, key).filter((F.col("n") > rows_per_bucket_key) & F.col(key).isNotNull())
+    counts = materialise(key_counts(fact, key), "key-counts")
+    lines = counts.agg(F.sum("n")).first()[0] or 0
+    buckets = max(buckets, -(-lines // ROWS_PER_BUCKET))
+    hot = counts.filter((F.col("n") > rows_per_bucket_key) & F.col(key).isNotNull())
     place = {name: f"{path}/{name.rsplit('.', 1)[-1]}" if path else None for name in
              (star.fact, star.hot, star.dim, star.hot_dim)}
 
