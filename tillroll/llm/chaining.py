@@ -148,76 +148,80 @@ def align(
     left: list[np.ndarray], right: list[np.ndarray], anchors: list[tuple[np.ndarray, np.ndarray]]
 ) -> np.ndarray:
     """(pairs, 5): start and end of the best local alignment in left and right words, and how
-    many words match. The band follows the anchors; pairs are solved side by side."""
+    many words match. The band follows the anchors; pairs are solved side by side.
+
+    A cell takes the best of a match or mismatch, a right word left out and up to three left
+    words left out, in this order where they tie. All scores are even, so a cell's candidates
+    are numbers whose lowest four bits say which one it is, and one maximum chooses."""
     count = len(left)
     rows = max((len(r) for r in right), default=0)
     longest = max((len(x) for x in left), default=0)
     width = 2 * BAND + 1
-    a = np.zeros((count, longest + 1), np.uint32)
-    b = np.zeros((count, rows), np.uint32)
+    out = np.zeros((count, 5), np.int64)
+    if not rows:
+        return out
+    # values that no word has, not the same on both sides, around every pair
+    around = 2 * BAND + 1
+    a = np.full((count, longest + 2 * around + 1), -1, np.int64)
+    b = np.full((rows, count, 1), -2, np.int64)
     centre = np.zeros((count, rows), np.int64)
-    len_a = np.array([len(x) for x in left], np.int64)
-    len_b = np.array([len(x) for x in right], np.int64)
+    at = np.arange(rows)
     for p, (x, y, (pa_, pb_)) in enumerate(zip(left, right, anchors, strict=True)):
-        a[p, : len(x)], b[p, : len(y)] = x, y
-        at = np.arange(rows)
+        a[p, around : around + len(x)], b[: len(y), p, 0] = x, y
         middle = np.interp(at, pb_, pa_)
         middle += np.where(at < pb_[0], at - pb_[0], 0) + np.where(at > pb_[-1], at - pb_[-1], 0)
         centre[p] = np.rint(middle)
     offset = np.arange(width) - BAND
-    score = np.zeros((count, width), np.int32)
-    start_a = start_b = hits = np.zeros((count, width), np.int32)
+    moves = np.diff(centre, axis=1, prepend=centre[:, :1] - 1)
+    bent = (moves != 1).any(axis=0)
+    line = np.arange(count)[:, None]
+    looked = np.clip(centre, -BAND - 1, longest + BAND) + around + line * a.shape[1]
+    looked, centre = np.ascontiguousarray(looked.T), np.ascontiguousarray(centre.T)
+    words_ = a.reshape(-1)
+    # the state of a row: scores times 16, where the alignment began, words that match; the
+    # cell that a match comes from has the same place, the one above has the next
+    score = np.zeros((count, width + 1), np.int32)
+    begun, hits = np.zeros((count, width + 1), np.int64), np.zeros((count, width + 1), np.int32)
+    cell = line * (width + 1) + np.arange(width)
+    code = np.arange(16)
+    source = (code >> 2) - 3 + 1 - (code >> 1 & 1)
     best = np.zeros(count, np.int32)
-    out = np.zeros((count, 5), np.int64)
-    every = np.arange(count)
-    before = centre[:, 0] - 1 if rows else None
-
-    def moved(values: np.ndarray, index: np.ndarray, fill: int) -> np.ndarray:
-        ok = (index >= 0) & (index < width)
-        return np.where(ok, np.take_along_axis(values, np.clip(index, 0, width - 1), 1), fill)
-
+    equal, unequal = np.int32(16 * MATCH + 15), np.int32(16 * OTHER + 14)
     for t in range(rows):
-        column = centre[:, t, None] + offset
-        shift = (centre[:, t] - before)[:, None] + np.arange(width)
-        before = centre[:, t]
-        inside = (column >= 0) & (column < len_a[:, None]) & (t < len_b)[:, None]
-        same = inside & (np.take_along_axis(a, np.clip(column, 0, longest), 1) == b[:, t, None])
-        diagonal = moved(score, shift - 1, 0)
-        fresh = diagonal <= 0
-        value = np.maximum(diagonal, 0) + np.where(same, MATCH, OTHER)
-        sa = np.where(fresh, column, moved(start_a, shift - 1, 0))
-        sb = np.where(fresh, t, moved(start_b, shift - 1, 0))
-        n = np.where(fresh, 0, moved(hits, shift - 1, 0)) + same
-        up = moved(score, shift, 0) + SKIP
-        take = up > value
-        value = np.where(take, up, value)
-        sa, sb = np.where(take, moved(start_a, shift, 0), sa), np.where(take, moved(start_b, shift, 0), sb)
-        n = np.where(take, moved(hits, shift, 0), n)
-        for _ in range(3):  # words of the left text left out, up to three in a row
-            side = np.full_like(value, -9)
-            side[:, 1:] = value[:, :-1] + SKIP
-            take = side > value
-            value = np.where(take, side, value)
-            for x in (sa, sb, n):
-                x[:, 1:] = np.where(take[:, 1:], x[:, :-1].copy(), x[:, 1:])
-        score = np.where(inside, np.maximum(value, 0), 0).astype(np.int32)
-        start_a, start_b, hits = sa, sb, n
-        top = score.argmax(axis=1)
-        high = score[every, top]
+        if bent[t]:
+            turned = np.flatnonzero(moves[:, t] != 1)
+            index = moves[turned, t, None] - 1 + np.arange(width + 1)
+            ok = (index >= 0) & (index < width)
+            index = np.clip(index, 0, width - 1)
+            for state in (score, begun, hits):
+                state[turned] = np.where(ok, np.take_along_axis(state[turned], index, 1), 0)
+        there = words_.take(looked[t, :, None] + offset)
+        fresh = score[:, :width] == 0
+        np.copyto(begun[:, :width], ((centre[t, :, None] + offset) << 32) + t, where=fresh)
+        np.copyto(hits[:, :width], 0, where=fresh)
+        one = np.maximum(
+            score[:, :width] + np.where(there == b[t], equal, unequal),
+            score[:, 1:] + np.int32(16 * SKIP + 12),
+        )
+        value = one.copy()
+        for step in (1, 2, 3):  # words of the left text left out
+            side = one[:, :-step] + np.int32(step * (16 * SKIP - 4))
+            np.maximum(value[:, step:], side, out=value[:, step:])
+        come = cell + source.take(value & 15)
+        begun[:, :width] = begun.take(come)
+        hits[:, :width] = hits.take(come) + (value & 1)
+        np.maximum(value & ~15, 0, out=value)
+        score[:, :width] = np.where(there >= 0, value, 0)
+        score[:, width] = 0
+        high = score.max(axis=1)
         better = np.flatnonzero(high > best)
         if len(better):
             best[better] = high[better]
-            c = top[better]
-            out[better] = np.stack(
-                [
-                    sa[better, c],
-                    column[better, c] + 1,
-                    sb[better, c],
-                    np.full(len(better), t + 1),
-                    n[better, c],
-                ],
-                axis=1,
-            )
+            c = score[better].argmax(axis=1)
+            first = begun[better, c]
+            ends = (first >> 32, centre[t, better] + offset[c] + 1, first & 0xFFFFFFFF, t + 1, hits[better, c])
+            for i, end in enumerate(ends):
+                out[better, i] = end
     return out
 
 
@@ -464,7 +468,7 @@ def _passages(
     ordered = windows.repartition("chain").sortWithinPartitions("chain", "right")
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, left = [], None
+        held, left, size = [], None, 0
 
         def solved() -> pa.RecordBatch:
             even = [len(set((x[4][0] - x[4][1]).tolist())) == 1 for x in held]
@@ -503,8 +507,10 @@ def _passages(
                     a, b = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
                     held.append((a, b, left[1], data, (x, y), (left[2], low)))
                     left = None
-                    if sum(len(h[3]) for h in held) > 400_000 or len(held) >= 2048:
+                    size += len(data)
+                    if size > 400_000 or len(held) >= 2048:
                         yield solved()
+                        size = 0
         if held:
             yield solved()
 
