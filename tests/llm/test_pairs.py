@@ -326,6 +326,19 @@ def test_passages_whose_parts_other_documents_hold(spark):
     assert not set(got) & {10 * f + i for f in range(12) for i in (2, 3)}
 
 
+def test_edited_passages_whose_parts_other_documents_hold(spark):
+    docs = []
+    for f in range(8):  # no 50 equal words in a row, and three smaller or larger pivots for each half
+        base, n = prose(17000 + f, 60, 10**6), 10 * f
+        changed = [f"edit{i}" if i in (20, 40) else w for i, w in enumerate(base)]
+        for i, part in enumerate((base, changed, *[base[:30], base[30:]] * 3)):
+            rest = prose(18000 + n + i, 120, 10**6)
+            docs.append((n + i, " ".join(rest[:50] + part + rest[50:])))
+    rows = chaining.repeated_passages(table(spark, docs)).collect()
+    got = {(r["doc_id"], r["start_word"], r["end_word"], r["partner_id"], r["matched"]) for r in rows}
+    assert got == {(10 * f + i, 50, 110, 10 * f + 1 - i, 58) for f in range(8) for i in range(2)}
+
+
 # -- decontamination -----------------------------------------------------------------------
 
 

@@ -14,6 +14,9 @@
   So where a stretch that is not in a passage yet is shared, the group that gets a pivot is
   that of ``min_words`` equal words. Anchors (grams that are least in a wide window, with the
   words that follow) tell which stretches to look at, so that few texts are read again.
+* What is left over: seeds that lie in no passage by then meet every other class, not only a
+  pivot, wherever two classes have the same two seeds in the same order, as far apart as a
+  chain must reach. Those matches are chained and aligned like the first ones.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ _U = np.uint64
 #: What a word of gap costs a chain, and words around a chain that the alignment may reach.
 GAP_COST = 0.25
 REACH = 96
+#: Places of two seeds that one task compares with one place of another class.
+MEMBERS = 256
 #: Half the width of the alignment's band, and its scores.
 BAND = 12
 MATCH, OTHER, SKIP = 1, -2, -2
@@ -319,8 +324,10 @@ def _profiles(docs: DataFrame, k: int, window: int, least: int) -> DataFrame:
     return chosen.mapInArrow(profile, schema)
 
 
-def _matches(profiles: DataFrame) -> DataFrame:
-    """(a, b, pos_a, pos_b): a seed in class ``b`` and its first place in the pivot ``a``."""
+def _shared(profiles: DataFrame) -> DataFrame:
+    """(seed, b, pos_b, a, pos_a): every place of a seed that several classes have, with the
+    class that is the pivot of the seed's group (of its batch, if that has a smaller one) and
+    its first place there."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,8 +339,10 @@ def _matches(profiles: DataFrame) -> DataFrame:
             seed, key, place = seed[order], key[order], place[order]
             new = np.ones(len(seed), bool)
             new[1:] = seed[1:] != seed[:-1]
-            first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(seed) else order
+            group = np.cumsum(new) - 1
+            first = np.flatnonzero(new)[group] if len(seed) else order
             inner = key[first] != key
+            met = np.bincount(group, inner, minlength=1)[group] > 0
             pivots = ~inner  # the pivot's own places are all that other batches need
             for rows, is_inner in ((pivots, False), (inner, True)):
                 n = int(rows.sum())
@@ -345,20 +354,25 @@ def _matches(profiles: DataFrame) -> DataFrame:
                         pa.array(place[rows]),
                         pa.array(key[at]) if is_inner else pa.nulls(n, pa.int64()),
                         pa.array(place[at]) if is_inner else pa.nulls(n, pa.int32()),
+                        pa.array(met[rows]),
                     ],
-                    ["seed", "b", "pos_b", "a", "pos_a"],
+                    ["seed", "b", "pos_b", "a", "pos_a", "met"],
                 )
 
     seeded = profiles.filter("seeds is not null").select("key", "seeds", "places")
-    reduced = seeded.mapInArrow(reduce, "seed long, b long, pos_b int, a long, pos_a int")
-    group = Window.partitionBy("seed").orderBy("b", "pos_b")
+    reduced = seeded.mapInArrow(reduce, "seed long, b long, pos_b int, a long, pos_a int, met boolean")
+    group = Window.partitionBy("seed")
+    ordered = group.orderBy("b", "pos_b")
     across = (
         reduced.filter("a is null")
-        .select("seed", "b", "pos_b", F.first("b").over(group).alias("a"), F.first("pos_b").over(group).alias("pos_a"))
-        .filter("a <> b")
+        .withColumns({
+            "a": F.first("b").over(ordered),
+            "pos_a": F.first("pos_b").over(ordered),
+            "met": F.max("met").over(group) | (F.min("b").over(group) < F.max("b").over(group)),
+        })
+        .filter("met")
     )
-    columns = ["a", "b", "pos_a", "pos_b"]
-    return across.select(columns).unionByName(reduced.filter("a is not null").select(columns))
+    return across.unionByName(reduced.filter("a is not null")).drop("met")
 
 
 def _chains(matches: DataFrame, k: int, least_span: int) -> DataFrame:
@@ -555,9 +569,7 @@ def _exact(
         .select("key", "anchor", "spot"),
         "anchors",
     )
-    held = _islands(_sides(found)).groupBy("key").agg(
-        F.collect_list(F.struct("start_word", "end_word")).alias("held")
-    )
+    held = _held(found)
     covered = F.exists(
         "held",
         lambda s: (s["start_word"] <= F.greatest(F.col("spot") - (wide - 1), F.lit(0)))
@@ -627,6 +639,96 @@ def _exact(
     )
 
 
+def _held(found: DataFrame) -> DataFrame:
+    """(key, held): the stretches of a class that lie in passages."""
+    return _islands(_sides(found)).groupBy("key").agg(
+        F.collect_list(F.struct("start_word", "end_word")).alias("held")
+    )
+
+
+def _left_over(shared: DataFrame, found: DataFrame, k: int, min_words: int) -> DataFrame:
+    """(a, b, pos_a, pos_b): matches of any two classes, not only of pivots, that have the same
+    two seeds in the same order, as far apart as a chain must reach, where one of the two
+    classes has them outside of all passages of ``found``."""
+    near, far = max(min_words // 2 - k, 1), 2 * min_words
+    outside = ~F.exists(
+        "held",
+        lambda s: (s["start_word"] <= F.col("place")) & (s["end_word"] >= F.col("place") + k),
+    )
+    seeds = shared.select("seed", F.col("b").alias("key"), F.col("pos_b").alias("place")).distinct()
+    placed = seeds.join(_held(found), "key", "left").select(
+        "seed", "key", "place", F.coalesce(outside, F.lit(True)).alias("open")
+    )
+    lists = (
+        placed.withColumn("wanted", F.max("open").over(Window.partitionBy("seed")))
+        .filter("wanted")
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "seed", "open"))).alias("at"))
+    )
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                at = batch.column(1)[row].values
+                place, seed, free = (at.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                low = np.searchsorted(place, place + near)
+                high = np.searchsorted(place, place + far, "right")
+                count = np.maximum(high - low, 0)
+                for i, j in _bounded_runs(count):
+                    left = np.repeat(np.arange(i, j), count[i:j])
+                    nth = np.arange(len(left)) - np.repeat(np.cumsum(count[i:j]) - count[i:j], count[i:j])
+                    right = low[left] + nth
+                    both = mix(mix(seed[left].view(_U)) + seed[right].view(_U))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(both.view(np.int64)),
+                            batch.column(0)[row : row + 1].take(pa.array(np.zeros(len(left), np.int64))),
+                            pa.array(place[left]),
+                            pa.array(place[right]),
+                            pa.array(free[left] | free[right]),
+                        ],
+                        ["both", "key", "one", "two", "open"],
+                    )
+
+    pairs = lists.mapInArrow(paired, "both long, key long, one int, two int, open boolean")
+    group = Window.partitionBy("both")
+    several = materialise(
+        pairs.withColumns({
+            "low": F.min("key").over(group),
+            "high": F.max("key").over(group),
+            "wanted": F.max("open").over(group),
+            "blocks": F.ceil(F.count(F.lit(1)).over(group) / MEMBERS),
+        })
+        .filter("wanted and low < high")
+        .withColumn("block", F.pmod(F.xxhash64("key", "one", "two"), "blocks"))
+        .drop("low", "high", "wanted"),
+        "loose",
+    )
+    asks = several.filter("open").select(
+        "both",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        *(F.col(c).alias(f"{c}_") for c in ("key", "one", "two")),
+    )
+    met = several.join(asks, ["both", "block"]).filter("key <> key_")
+    first = F.col("key") < F.col("key_")
+    ends = lambda c: (F.when(first, F.col(c)).otherwise(F.col(f"{c}_")), F.when(first, F.col(f"{c}_")).otherwise(F.col(c)))
+    (a, b), one, two = ends("key"), ends("one"), ends("two")
+    places = F.explode(F.array(*(F.struct(x.alias("pos_a"), y.alias("pos_b")) for x, y in (one, two))))
+    return met.select(a.alias("a"), b.alias("b"), places.alias("p")).select("a", "b", "p.*").distinct()
+
+
+def _bounded_runs(count: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
+    """Runs of ``count`` that add up to about ``most`` at most."""
+    total = np.cumsum(count)
+    begin = 0
+    while begin < len(count):
+        before = total[begin - 1] if begin else 0
+        stop = max(int(np.searchsorted(total, before + most, "right")), begin + 1)
+        if total[stop - 1] > before:
+            yield begin, stop
+        begin = stop
+
+
 def _exact_passages(
     runs: DataFrame, docs: DataFrame, first: DataFrame, k: int, min_words: int, percent: int
 ) -> DataFrame:
@@ -677,9 +779,12 @@ def repeated_passages(
 
     A stretch of ``min_words`` equal words is always found, whatever other documents hold of
     it. A shared stretch of ``k + window - 1`` words is sure to share a seed; passages without
-    ``min_words`` equal words can be missed if they have more edits than one in so many words,
-    or if other documents hold parts of them, so that seeds meet those. Work grows with texts
-    and matches; no group of texts that share a passage is compared all with all.
+    ``min_words`` equal words are found wherever two seeds of theirs are in both texts,
+    ``min_words // 2 - k`` to ``2 * min_words`` words apart, whatever others hold of them. They
+    can be missed if they have more edits than one in so many words, so that there are no two
+    such seeds. Work grows with texts and matches; texts in a passage that their pivot has too
+    are not compared all with all, those that share two seeds but no passage are, in pieces of
+    bounded size.
     """
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     profiles = materialise(_profiles(chosen, k, window, min_words), "profiles")
@@ -694,10 +799,14 @@ def repeated_passages(
         ),
         "classes",
     )
-    chains = materialise(_chains(_matches(profiles), k, min_words // 2), "chains")
+    shared = materialise(_shared(profiles), "seeds")
+    matches = shared.filter("a <> b").select("a", "b", "pos_a", "pos_b")
+    chains = materialise(_chains(matches, k, min_words // 2), "chains")
     found = materialise(_passages(chains, chosen, first, min_words, percent), "passages")
     runs = materialise(_exact(profiles, chosen, first, found, k, min_words), "runs")
     found = found.unionByName(_exact_passages(runs, chosen, first, k, min_words, percent))
+    chains = materialise(_chains(_left_over(shared, found, k, min_words), k, min_words // 2), "chains")
+    found = found.unionByName(_passages(chains, chosen, first, min_words, percent))
     both = _sides(found)
     ids = first.select("key", "class_id")
     named = (
