@@ -138,6 +138,32 @@ def test_linked_sets_share_a_signature():
             assert apart <= len(np.setxor1d(x, y))
 
 
+def test_bitmaps_of_long_sets_tell_them_apart():
+    r = np.random.default_rng(8)
+    sizes = np.array([0, 900, 1500, 4000, 20000, 20000])
+    rows = np.repeat(np.arange(6), sizes)
+    hashes = r.integers(0, 2**63, len(rows)).astype(np.uint64)
+    bits, at = jaccard_join.sized_bitmaps(rows, hashes, sizes)
+    assert (np.diff(at) * 64).tolist() == [1024, 1024, 2048, 4096, 16384, 16384]
+    short = jaccard_join.parity_bitmaps(rows, hashes, 6)
+    for i in range(6):  # folded, they are the bitmaps of 1024 bits
+        assert (np.bitwise_xor.reduce(bits[at[i] : at[i + 1]].reshape(-1, 16)) == short[i]).all()
+    one, two = bits[at[4] : at[5]], bits[at[5] : at[6]]
+    linked = 40000 * 20 // 180  # what two linked sets can differ by at 80 percent
+    assert np.bitwise_count(one ^ two).sum() > linked > np.bitwise_count(short[4] ^ short[5]).sum()
+
+
+def test_links_of_long_texts_with_bitmaps_of_two_lengths(spark):
+    docs, base = [], prose(61, 1200, 10**6)
+    for i in range(6):  # sets of 1,018 to 1,098 shingles, on both sides of 1,024
+        docs.append((i, " ".join(edited(base[: 1020 + 16 * i], i, 2))))
+        other = base[:60] + prose(70 + i, 950 + 20 * i, 10**6)
+        docs.append((10 + i, " ".join(other)))  # the same beginning, otherwise unlike
+    out = jaccard_join.jaccard_components(table(spark, docs), n=3, percent=80)
+    got = {r["doc_id"]: r["component_id"] for r in out.collect()}
+    assert got == {**{i: 0 for i in range(6)}, **{10 + i: 10 + i for i in range(6)}}
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (7, 7), (None, 3)]
     out = components(spark.createDataFrame(links, "a long, b long")).collect()

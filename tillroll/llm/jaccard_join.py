@@ -43,7 +43,10 @@ from .sieve import sieve
 from .words import distinct, mix, shingles, slices, sums, words
 
 _U = np.uint64
-BITS = 1024
+#: Bits of a set's parity bitmap: the next power of two from its size on, within these bounds.
+BITS, MOST_BITS = 1024, 16384
+#: Parts of the signatures that are shuffled one after the other.
+PASSES = 4
 #: Fragments for counting overlaps of a pair: a row holds one, so rows of long texts are short.
 FRAGMENTS = 32
 #: Fragments (from, up to) that are counted before the others are.
@@ -209,18 +212,38 @@ def _sets(column: pa.Array, n: int, seen: set[int]) -> tuple[np.ndarray, ...]:
     return rows, hashes, sizes, key, old
 
 
-def parity_bitmaps(rows: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
-    """(count, BITS / 64) uint64: each n-gram of a set flips one bit."""
-    out = np.zeros((count, BITS // 8), np.uint8)
-    bit = (mix(hashes + _U(0x5BF03635)) % _U(BITS)).astype(np.int64)
-    for begin in range(0, count, 1024):
-        stop = min(begin + 1024, count)
+def parity_bitmaps(
+    rows: np.ndarray, hashes: np.ndarray, count: int, bits: int = BITS
+) -> np.ndarray:
+    """(count, bits / 64) uint64: each n-gram of a set flips one bit. The two halves of a
+    bitmap, one flipped by the other, are the set's bitmap of half as many bits."""
+    out = np.zeros((count, bits // 8), np.uint8)
+    bit = (mix(hashes + _U(0x5BF03635)) % _U(bits)).astype(np.int64)
+    step = max(1024 * BITS // bits, 1)
+    for begin in range(0, count, step):
+        stop = min(begin + step, count)
         a, b = np.searchsorted(rows, [begin, stop])
-        flips = np.bincount((rows[a:b] - begin) * BITS + bit[a:b], minlength=(stop - begin) * BITS)
-        out[begin:stop] = np.packbits((flips & 1).astype(np.uint8).reshape(-1, BITS), axis=1)
+        flips = np.bincount((rows[a:b] - begin) * bits + bit[a:b], minlength=(stop - begin) * bits)
+        out[begin:stop] = np.packbits((flips & 1).astype(np.uint8).reshape(-1, bits), axis=1)
     return out.view(_U)
 
 
+def sized_bitmaps(
+    rows: np.ndarray, hashes: np.ndarray, sizes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmaps as long as their sets ask for: the words of all, and where each begins."""
+    bits = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    bits = np.clip(bits, BITS, MOST_BITS)
+    at = np.concatenate([[0], np.cumsum(bits // 64)])
+    out = np.zeros(at[-1], _U)
+    for n in np.unique(bits).tolist():
+        some = np.flatnonzero(bits == n)
+        mine = bits[rows] == n
+        made = parity_bitmaps(np.searchsorted(some, rows[mine]), hashes[mine], len(some), n)
+        out[at[some][:, None] + np.arange(n // 64)] = made
+    return out, at
+
+
 def _lists(values: np.ndarray, first: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
     mask = None if null is None else pa.array(null)
     flat = pa.array(np.ascontiguousarray(values).view(np.int64))
@@ -246,7 +269,7 @@ def _profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
                 sig_rows, sigs = signatures(
                     rows[fresh], hashes[fresh], np.where(old, 0, sizes), percent, frequent
                 )
-                bits = parity_bitmaps(rows[fresh], hashes[fresh], part.num_rows)
+                bits, at = sized_bitmaps(rows[fresh], hashes[fresh], np.where(old, 0, sizes))
                 steps = np.arange(part.num_rows + 1)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -255,7 +278,7 @@ def _profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
                         pa.array(sizes.astype(np.int64)),
                         pa.array(key),
                         _lists(sigs, np.searchsorted(sig_rows, steps), old),
-                        _lists(bits.reshape(-1), steps * bits.shape[1], old),
+                        _lists(bits, at, old),
                     ],
                     ["doc_id", "text_hash", "size", "key", "signatures", "bitmap"],
                 )
@@ -269,33 +292,43 @@ def _profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) ->
 def _stars(classes: DataFrame) -> DataFrame:
     """(signature, a, b) for every class ``b`` with a signature that a class ``a`` has, so
     that the links hold every group of equal signatures together. Groups are first reduced
-    inside each batch; the shuffle sees one row per signature and batch."""
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            sig = lists.flatten().to_numpy()
-            key = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
-            order = np.lexsort((key, sig))
-            sig, key = sig[order], key[order]
-            new = np.ones(len(sig), bool)
-            new[1:] = sig[1:] != sig[:-1]
-            pivot = key[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else key
-            inner = pivot != key
-            for rows, a, b in ((new, None, key), (inner, pivot, key)):
-                ends = [pa.array(sig[rows]), None if a is None else pa.array(a[rows])]
-                ends[1] = pa.nulls(len(ends[0]), pa.int64()) if a is None else ends[1]
+    inside each batch; the shuffle sees one row per signature and batch, and one part of the
+    signatures at a time, so that the disk holds the shuffle files of that part only."""
+    spark = classes.sparkSession
+
+    def reduced(part: int | None) -> DataFrame:
+        """Of each batch the pivots of a part of the signatures; without one the other members."""
+
+        def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column(1)
+                sig = lists.flatten().to_numpy()
+                key = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+                if part is not None:
+                    mine = (sig.view(_U) % _U(PASSES)) == _U(part)
+                    sig, key = sig[mine], key[mine]
+                order = np.lexsort((key, sig))
+                sig, key = sig[order], key[order]
+                new = np.ones(len(sig), bool)
+                new[1:] = sig[1:] != sig[:-1]
+                pivot = key[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else key
+                rows = pivot != key if part is None else new
                 yield pa.RecordBatch.from_arrays(
-                    [*ends, pa.array(b[rows])], ["signature", "a", "b"]
+                    [pa.array(sig[rows]), pa.array(pivot[rows]), pa.array(key[rows])],
+                    ["signature", "a", "b"],
                 )
 
-    # read twice, as it is cheaper than to write it
-    reduced = classes.select("key", "signatures").mapInArrow(
-        reduce, "signature long, a long, b long"
-    )
+        return classes.select("key", "signatures").mapInArrow(
+            reduce, "signature long, a long, b long"
+        )
+
     least = F.first("b").over(Window.partitionBy("signature").orderBy("b"))
-    across = reduced.filter("a is null").select("signature", least.alias("a"), "b")
-    return across.unionByName(reduced.filter("a is not null")).filter("a <> b")
+    stars = materialise(reduced(None), "stars")
+    for part in range(PASSES):
+        across = reduced(part).select("signature", least.alias("a"), "b").filter("a <> b")
+        stars = stars.unionByName(materialise(across, "stars"))
+        spark._jvm.System.gc()  # executors learn that the part's shuffle files can go
+    return stars
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -310,10 +343,17 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ),
             end,
         )
+    flip = lambda x, y: x.bitwiseXOR(y)
+    words_a, words_b = F.size("bitmap_a"), F.size("bitmap_b")
+    half = lambda c, n: F.zip_with(F.slice(c, 1, n), F.slice(c, n + 1, n), flip)
+    flips = (
+        F.when(words_a == words_b, F.zip_with("bitmap_a", "bitmap_b", flip))
+        .when(words_a == 2 * words_b, F.zip_with(half("bitmap_a", words_b), "bitmap_b", flip))
+        .when(words_b == 2 * words_a, F.zip_with("bitmap_a", half("bitmap_b", words_a), flip))
+        .otherwise(F.array().cast("array<long>"))  # too different in size to say
+    )
     apart = F.aggregate(
-        F.zip_with("bitmap_a", "bitmap_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")),
-        F.lit(0).cast("long"),
-        lambda total, x: total + x,
+        flips, F.lit(0).cast("long"), lambda total, x: total + F.bit_count(x).cast("long")
     )
     both = F.col("size_a") + F.col("size_b")
     return pairs.filter(
@@ -516,6 +556,9 @@ def _met_across(
         .agg(F.collect_list("m").alias("members"))
     )
     placed = materialise(placed, "blocks")
+    # a group of one block meets itself where it is
+    alone = placed.filter("blocks = 1").select(F.col("members").alias("left"), F.col("members").alias("right"))
+    placed = placed.filter("blocks > 1")
     left = placed.select(
         "signature",
         F.col("block").alias("left_block"),
@@ -524,15 +567,41 @@ def _met_across(
     )
     meet = left.join(
         placed.select("signature", "block", F.col("members").alias("right")), ["signature", "block"]
-    ).select("left", "right")
+    ).select("left", "right").unionByName(alone)
 
     def unpack(column: pa.Array) -> tuple[np.ndarray, ...]:
         flat = column.flatten()
         field = lambda name: flat.field(flat.type.get_field_index(name))
         numbers = [field(name).to_numpy(zero_copy_only=False) for name in ("key", "root", "size")]
-        bits = field("bitmap").flatten().to_numpy().view(_U).reshape(len(flat), -1)
+        bitmap = field("bitmap")
+        bits = bitmap.flatten().to_numpy().view(_U), bitmap.offsets.to_numpy() - bitmap.offsets[0].as_py()
         return column.offsets.to_numpy() - column.offsets[0].as_py(), *numbers, bits
 
+    def by_length(bits: tuple[np.ndarray, np.ndarray], members: slice) -> dict[int, tuple]:
+        """Words of a bitmap to (members with so many, their bitmaps)."""
+        values, at = bits
+        long = np.diff(at)[members]
+        out = {}
+        for n in np.unique(long).tolist():
+            some = np.flatnonzero(long == n)
+            out[n] = some, values[(at[some + members.start])[:, None] + np.arange(n)]
+        return out
+
+    def distances(left: dict[int, tuple], right: dict[int, tuple], shape: tuple[int, int]) -> np.ndarray:
+        """Hamming distances of bitmaps; 0, which excludes nothing, where one is over twice as long."""
+        apart = np.zeros(shape, np.int64)
+        for n, (x, p) in left.items():
+            for m, (y, q) in right.items():
+                if max(n, m) > 2 * min(n, m):
+                    continue
+                u = p if n <= m else p[:, :m] ^ p[:, m:]
+                v = q if m <= n else q[:, :n] ^ q[:, n:]
+                total = np.zeros((len(x), len(y)), np.int64)
+                for w in range(u.shape[1]):
+                    total += np.bitwise_count(u[:, None, w] ^ v[None, :, w])
+                apart[np.ix_(x, y)] = total
+        return apart
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, key, root, size, bits = unpack(batch.column(0))
@@ -541,9 +610,7 @@ def _met_across(
             for i in range(batch.num_rows):
                 p, q = slice(at[i], at[i + 1]), slice(at2[i], at2[i + 1])
                 both = size[p, None] + size2[None, q]
-                apart = np.zeros(both.shape, np.int64)
-                for w in range(bits.shape[1]):
-                    apart += np.bitwise_count(bits[p, None, w] ^ bits2[None, q, w])
+                apart = distances(by_length(bits, p), by_length(bits2, q), both.shape)
                 fits = (
                     (root[p, None] != root2[None, q])
                     & (apart * (100 + percent) <= both * (100 - percent))
@@ -611,8 +678,14 @@ def jaccard_components(
     Work grows with the documents and their links; only in groups of similar documents that
     do not link does it grow with the square of the group, as bitmap comparisons in blocks.
     """
-    profiles = materialise(_profiles(docs, doc_id, text, n, percent), "profiles")
-    described = profiles.filter("signatures is not null")
+    spark = docs.sparkSession
+    with scratch_scope(spark, keep=lambda purpose: purpose != "profiles"):  # the signatures
+        described = materialise(_profiles(docs, doc_id, text, n, percent), "profiles")
+        profiles = materialise(described.select("doc_id", "text_hash", "size", "key"), "rows")
+        described = described.filter("signatures is not null")
+        small = described.select("key", "size", "bitmap").dropDuplicates(["key"])
+        small = materialise(small, "bitmaps")
+        stars = _stars(described)
     first = profiles.filter("size > 0").groupBy("key").agg(
         F.coalesce(
             F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))),
@@ -621,9 +694,6 @@ def jaccard_components(
         F.min("doc_id").alias("least_id"),
     )
     first = materialise(first, "classes")
-    small = described.select("key", "size", "bitmap").dropDuplicates(["key"])
-    small = materialise(small, "bitmaps")
-    stars = materialise(_stars(described), "stars")
     near = materialise(_bounded(stars.select("a", "b").distinct(), small, percent), "pairs")
     best = near.groupBy("b").agg(F.min(F.struct("a", "size_a", "size_b")).alias("x"))
     once = best.select("x.a", "b", "x.size_a", "x.size_b")
@@ -632,8 +702,9 @@ def jaccard_components(
     groups = materialise(_groups(stars), "groups")
     nearest, more = True, _apart(near, roots)
     while True:
-        met = _met_across(groups, small, roots, percent, nearest)
-        more = materialise(met if more is None else more.unionByName(met).distinct(), "across")
+        with scratch_scope(spark, keep=lambda purpose: purpose != "blocks"):
+            met = _met_across(groups, small, roots, percent, nearest)
+            more = materialise(met if more is None else more.unionByName(met).distinct(), "across")
         if not more.isEmpty():
             found = _links(more, docs, first, doc_id, text, n, percent)
             more = None if found.isEmpty() else found
