@@ -365,6 +365,52 @@ def test_edited_passages_whose_parts_other_documents_hold(spark):
     assert got == {(10 * f + i, 50, 110, 10 * f + 1 - i, 58) for f in range(8) for i in range(2)}
 
 
+def test_edited_passages_of_a_large_group_meet_few_classes(spark, monkeypatch):
+    docs = []
+    for f in range(4):
+        base, n = prose(27000 + f, 62, 10**6), 1000 * f
+        for i in range(24):  # each with edits of its own, no 50 equal words in a row
+            changed = [f"edit{n + i}x{j}" if j in (20, 41) else w for j, w in enumerate(base)]
+            rest = prose(28000 + n + i, 120, 10**6)
+            docs.append((n + i, " ".join(rest[:50] + changed + rest[50:])))
+        for i in range(240):  # most seeds of a third have their pivot here, where no passage is
+            third = base[21 * (i % 3) : 21 * (i % 3) + 20]
+            docs.append((n + 100 + i, " ".join(prose(40000 + n + i, 30, 10**6) + third + prose(50000 + n + i, 30, 10**6))))
+    made, plain = {}, chaining.materialise
+
+    def counted(df, purpose):
+        out = plain(df, purpose)
+        made.setdefault(purpose, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(chaining, "materialise", counted)
+    rows = chaining.repeated_passages(table(spark, docs)).collect()
+    assert {(r["doc_id"], r["start_word"], r["end_word"]) for r in rows} == {(1000 * f + i, 50, 112) for f in range(4) for i in range(24)}
+    assert all(r["partner_id"] != r["doc_id"] and r["matched"] == 60 for r in rows)
+    assert sum(made["chains"][2:]) <= 4 * 48  # up to 24 * 23 / 2 pairs a family otherwise
+
+
+def test_places_as_lists_are_the_matches_of_all_places(spark):
+    r = np.random.default_rng(3)
+    one, rows = [], []
+    for a, b in ((1, 2), (1, 3), (2, 3)):
+        for _ in range(4):
+            n, m = r.integers(1, 9, 2)
+            ends = [
+                [(int(x), int(x) + 20 + int(d), bool(f)) for x, d, f in zip(r.integers(0, 400, s), r.integers(0, 80, s), r.integers(0, 2, s))]
+                for s in (n, m)
+            ]
+            one.append((a, b, *(tuple(map(list, zip(*e))) for e in ends)))
+            rows += [(a, b, x[i], y[i]) for x in ends[0] for y in ends[1] if x[2] or y[2] for i in (0, 1)]
+    at = "struct<one:array<int>,two:array<int>,open:array<boolean>>"
+    lists = spark.createDataFrame(one, f"a long, b long, at_a {at}, at_b {at}")
+    plain = spark.createDataFrame(rows, "a long, b long, pos_a int, pos_b int").distinct()
+    got = [sorted(map(str, chaining._chains(m, 5, 25).collect())) for m in (lists, plain)]
+    assert got[0] == got[1] and got[0]
+    big = [np.arange(30), np.arange(30) + 25, np.ones(30, bool)]
+    assert (chaining._met(big, big, 40) == chaining._met(big, big)).all()
+
+
 # -- decontamination -----------------------------------------------------------------------
 
 

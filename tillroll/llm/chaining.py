@@ -14,9 +14,10 @@
   So where a stretch that is not in a passage yet is shared, the group that gets a pivot is
   that of ``min_words`` equal words. Anchors (grams that are least in a wide window, with the
   words that follow) tell which stretches to look at, so that few texts are read again.
-* What is left over: seeds that lie in no passage by then meet every other class, not only a
-  pivot, wherever two classes have the same two seeds in the same order, as far apart as a
-  chain must reach. Those matches are chained and aligned like the first ones.
+* What is left over: seeds that lie in no passage by then meet a class that has the same two
+  seeds in the same order, as far apart as a chain must reach, and where that gives no passage
+  over them every class that has. Those matches are chained and aligned like the first ones;
+  until then the places of two seeds travel as lists, not as pairs of places.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ _U = np.uint64
 #: What a word of gap costs a chain, and words around a chain that the alignment may reach.
 GAP_COST = 0.25
 REACH = 96
-#: Places of two seeds that one task compares with one place of another class.
+#: Classes with the same two seeds that one task compares with another class.
 MEMBERS = 256
 #: Half the width of the alignment's band, and its scores.
 BAND = 12
@@ -375,23 +376,63 @@ def _shared(profiles: DataFrame) -> DataFrame:
     return across.unionByName(reduced.filter("a is not null")).drop("met")
 
 
+def _met(one: list[np.ndarray], other: list[np.ndarray], most: int = 1 << 20) -> np.ndarray:
+    """(2, matches): all places of two seeds in one class with all in the other, where either
+    is open, each pair of places once. ``one`` and ``other``: places of the two seeds, open."""
+    step = max(most // max(len(other[0]), 1), 1)
+    out = np.zeros(0, np.int64)
+    for i in range(0, len(one[0]), step):
+        x, y = np.nonzero(one[2][i : i + step, None] | other[2])
+        places = [(a[x + i].astype(np.int64) << 32) + b[y] for a, b in zip(one[:2], other[:2], strict=True)]
+        out = np.unique(np.concatenate([out, *places]))
+    return np.stack([out >> 32, out & 0xFFFFFFFF])
+
+
 def _chains(matches: DataFrame, k: int, least_span: int) -> DataFrame:
-    """(chain, a, b, places_a, places_b): chains that span ``least_span`` words or more."""
+    """(chain, a, b, places_a, places_b): chains that span ``least_span`` words or more. A row
+    of ``matches`` is one match, or all places of two seeds in both classes."""
+    lists = "at_a" in matches.columns
+
+    def of_lists(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+        a, b = (c.to_numpy() for c in batch.columns[:2])
+        ends = [[batch.column(c).field(n) for n in ("one", "two", "open")] for c in (2, 3)]
+        at = [e[0].offsets.to_numpy() for e in ends]
+        values = [[f.values.to_numpy(zero_copy_only=False) for f in e] for e in ends]
+        single = (np.diff(at[0]) == 1) & (np.diff(at[1]) == 1)  # such a place is open in one of the two
+        cut = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        for i, j in zip(cut, np.append(cut[1:], len(a)), strict=True):
+            rows = np.flatnonzero(single[i:j]) + i
+            yield int(a[i]), int(b[i]), np.stack([np.concatenate([v[0][o[rows]], v[1][o[rows]]]) for v, o in zip(values, at, strict=True)])
+            for row in np.flatnonzero(~single[i:j]) + i:
+                yield int(a[i]), int(b[i]), _met(*([f[o[row] : o[row + 1]] for f in v] for v, o in zip(values, at, strict=True)))
+
+    def of_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+        a, b, x, y = (c.to_numpy() for c in batch.columns)
+        cut = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        for i, j in zip(cut, np.append(cut[1:], len(a)), strict=True):
+            yield int(a[i]), int(b[i]), np.stack([x[i:j], y[i:j]])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
         held, name = [], None
+
+        def whole() -> np.ndarray:
+            x, y = np.concatenate(held, axis=1)
+            if not lists:
+                return np.stack([x, y])
+            each = np.unique((x.astype(np.int64) << 32) + y)
+            return np.stack([each >> 32, each & 0xFFFFFFFF])
+
         for batch in batches:
-            a, b, x, y = (c.to_numpy() for c in batch.columns)
-            cut = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-            for i, j in zip(cut, np.append(cut[1:], len(a)), strict=True):
-                here = (int(a[i]), int(b[i]))
-                if here != name and held:
-                    yield *name, np.concatenate(held, axis=1)
+            if not batch.num_rows:
+                continue
+            for a, b, places in (of_lists if lists else of_rows)(batch):
+                if (a, b) != name and held:
+                    yield *name, whole()
                     held = []
-                name = here
-                held.append(np.stack([x[i:j], y[i:j]]))
+                name = (a, b)
+                held.append(places)
         if held:
-            yield *name, np.concatenate(held, axis=1)
+            yield *name, whole()
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -417,7 +458,11 @@ def _chains(matches: DataFrame, k: int, least_span: int) -> DataFrame:
         if out:
             yield full()
 
-    ordered = matches.repartition("a", "b").sortWithinPartitions("a", "b", "pos_a", "pos_b")
+    if lists:  # few bytes for the work that they are, so no partitions are put together
+        parts = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ordered = matches.repartition(parts, "a", "b").sortWithinPartitions("a", "b")
+    else:
+        ordered = matches.repartition("a", "b").sortWithinPartitions("a", "b", "pos_a", "pos_b")
     found = ordered.mapInArrow(link, "a long, b long, places_a array<int>, places_b array<int>")
     return found.select(F.xxhash64("a", "b", "places_a", "places_b").alias("chain"), "*")
 
@@ -646,10 +691,11 @@ def _held(found: DataFrame) -> DataFrame:
     )
 
 
-def _left_over(shared: DataFrame, found: DataFrame, k: int, min_words: int) -> DataFrame:
-    """(a, b, pos_a, pos_b): matches of any two classes, not only of pivots, that have the same
-    two seeds in the same order, as far apart as a chain must reach, where one of the two
-    classes has them outside of all passages of ``found``."""
+def _loose(shared: DataFrame, found: DataFrame, k: int, min_words: int) -> DataFrame:
+    """(both, key, at, open, other, classes): the places of two seeds in the same order, as far
+    apart as a chain must reach, that several classes have and that some class has outside of
+    all passages of ``found``; ``open`` where this class has. ``other`` is the class with the
+    fewest such places, for that class itself another one."""
     near, far = max(min_words // 2 - k, 1), 2 * min_words
     outside = ~F.exists(
         "held",
@@ -679,42 +725,97 @@ def _left_over(shared: DataFrame, found: DataFrame, k: int, min_words: int) -> D
                     nth = np.arange(len(left)) - np.repeat(np.cumsum(count[i:j]) - count[i:j], count[i:j])
                     right = low[left] + nth
                     both = mix(mix(seed[left].view(_U)) + seed[right].view(_U))
+                    order = np.argsort(both, kind="stable")
+                    both, left, right = both[order], left[order], right[order]
+                    cut = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+                    ends = pa.array(np.append(cut, len(both)).astype(np.int32))
+                    free_ = free[left] | free[right]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(both.view(np.int64)),
-                            batch.column(0)[row : row + 1].take(pa.array(np.zeros(len(left), np.int64))),
-                            pa.array(place[left]),
-                            pa.array(place[right]),
-                            pa.array(free[left] | free[right]),
+                            pa.array(both[cut].view(np.int64)),
+                            batch.column(0)[row : row + 1].take(pa.array(np.zeros(len(cut), np.int64))),
+                            *(pa.ListArray.from_arrays(ends, pa.array(v)) for v in (place[left], place[right], free_)),
+                            pa.array(np.logical_or.reduceat(free_, cut)),
                         ],
-                        ["both", "key", "one", "two", "open"],
+                        ["both", "key", "one", "two", "opens", "open"],
                     )
 
-    pairs = lists.mapInArrow(paired, "both long, key long, one int, two int, open boolean")
+    kinds = "both long, key long, one array<int>, two array<int>, opens array<boolean>, open boolean"
+    pairs = lists.mapInArrow(paired, kinds).select(
+        "both", "key", "open", F.struct("one", "two", F.col("opens").alias("open")).alias("at")
+    )
     group = Window.partitionBy("both")
-    several = materialise(
+    member = F.struct(F.size("at.one").alias("n"), "key", "at")
+    return (
         pairs.withColumns({
-            "low": F.min("key").over(group),
-            "high": F.max("key").over(group),
+            "low": F.min(member).over(group),
+            "high": F.max(F.struct("key", "at")).over(group),
+            "least": F.min(F.struct("key", "at")).over(group),
             "wanted": F.max("open").over(group),
-            "blocks": F.ceil(F.count(F.lit(1)).over(group) / MEMBERS),
+            "classes": F.count(F.lit(1)).over(group),
         })
-        .filter("wanted and low < high")
-        .withColumn("block", F.pmod(F.xxhash64("key", "one", "two"), "blocks"))
-        .drop("low", "high", "wanted"),
-        "loose",
+        .filter("wanted and least.key < high.key")
+        .withColumn(
+            "other",
+            F.when(F.col("key") != F.col("low.key"), F.struct("low.key", "low.at"))
+            .when(F.col("key") != F.col("high.key"), F.col("high"))
+            .otherwise(F.col("least")),
+        )
+        .select("both", "key", "at", "open", "other", "classes")
+    )
+
+
+def _between(asks: DataFrame) -> DataFrame:
+    """(a, b, at_a, at_b) of (key, at) and (other.key, other.at), the smaller class first, each
+    once for two seeds."""
+    first = F.col("key") < F.col("other.key")
+    ends = [F.struct("key", "at"), F.col("other")]
+    return asks.select(
+        F.when(first, ends[0]).otherwise(ends[1]).alias("x"),
+        F.when(first, ends[1]).otherwise(ends[0]).alias("y"),
+    ).select(
+        F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.at").alias("at_a"), F.col("y.at").alias("at_b")
+    )
+
+
+def _still_open(loose: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """The rows of ``loose`` with places open as of ``found``; open in groups of two classes
+    no more, as these have met."""
+    covered = lambda x: F.exists(
+        F.coalesce("held", F.array()), lambda s: (s["start_word"] <= x) & (s["end_word"] >= x + k)
+    )
+    opens = F.transform(
+        F.arrays_zip("at.one", "at.two", "at.open"),
+        lambda p: p["open"] & ~(covered(p["one"]) & covered(p["two"])),
+    )
+    return (
+        loose.join(_held(found), "key", "left")
+        .withColumn("at", F.col("at").withField("open", opens))
+        .withColumn("open", F.exists("at.open", lambda x: x) & (F.col("classes") > 2))
+        .drop("held")
+    )
+
+
+def _all_met(loose: DataFrame) -> DataFrame:
+    """(a, b, at_a, at_b): every open row of ``loose`` and every other class of its group."""
+    group = Window.partitionBy("both")
+    several = materialise(
+        loose.withColumn("wanted", F.max("open").over(group))
+        .filter("wanted")
+        .withColumn("blocks", F.ceil(F.col("classes") / MEMBERS))
+        .withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
+        .select("both", "key", "at", "open", "blocks", "block"),
+        "open",
     )
     asks = several.filter("open").select(
         "both",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        *(F.col(c).alias(f"{c}_") for c in ("key", "one", "two")),
+        F.struct("key", "at").alias("other"),
+    )
+    met = several.join(asks, ["both", "block"]).filter(
+        "key <> other.key and not (open and key > other.key)"  # two that ask meet once
     )
-    met = several.join(asks, ["both", "block"]).filter("key <> key_")
-    first = F.col("key") < F.col("key_")
-    ends = lambda c: (F.when(first, F.col(c)).otherwise(F.col(f"{c}_")), F.when(first, F.col(f"{c}_")).otherwise(F.col(c)))
-    (a, b), one, two = ends("key"), ends("one"), ends("two")
-    places = F.explode(F.array(*(F.struct(x.alias("pos_a"), y.alias("pos_b")) for x, y in (one, two))))
-    return met.select(a.alias("a"), b.alias("b"), places.alias("p")).select("a", "b", "p.*").distinct()
+    return _between(met)
 
 
 def _bounded_runs(count: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
@@ -783,8 +884,9 @@ def repeated_passages(
     ``min_words // 2 - k`` to ``2 * min_words`` words apart, whatever others hold of them. They
     can be missed if they have more edits than one in so many words, so that there are no two
     such seeds. Work grows with texts and matches; texts in a passage that their pivot has too
-    are not compared all with all, those that share two seeds but no passage are, in pieces of
-    bounded size.
+    are not compared all with all. Two seeds outside of all passages meet one class of those that
+    have both, and every one, in pieces of bounded size, only where that gave no passage; what
+    no class shares further than those two seeds thus still costs a pair for each class.
     """
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     profiles = materialise(_profiles(chosen, k, window, min_words), "profiles")
@@ -805,8 +907,11 @@ def repeated_passages(
     found = materialise(_passages(chains, chosen, first, min_words, percent), "passages")
     runs = materialise(_exact(profiles, chosen, first, found, k, min_words), "runs")
     found = found.unionByName(_exact_passages(runs, chosen, first, k, min_words, percent))
-    chains = materialise(_chains(_left_over(shared, found, k, min_words), k, min_words // 2), "chains")
-    found = found.unionByName(_passages(chains, chosen, first, min_words, percent))
+    loose = materialise(_loose(shared, found, k, min_words), "loose")
+    for asked in (lambda: _between(loose.filter("open")), lambda: _all_met(_still_open(loose, found, k))):
+        chains = materialise(_chains(asked(), k, min_words // 2), "chains")
+        late = materialise(_passages(chains, chosen, first, min_words, percent), "passages")
+        found = found.unionByName(late)
     both = _sides(found)
     ids = first.select("key", "class_id")
     named = (
