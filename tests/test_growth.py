@@ -131,3 +131,31 @@ def test_records_that_share_a_place(spark):
     pages = files.land_records(records, scratch_dir(spark, "pages"))
     got = [record["t"] for record in pages("carts", 10, 0)["carts"]]
     assert sorted(got[:4]) == ["a", "a", "b", "b"] and got[4:] == ["c"] and pages.total == 5
+
+
+def test_json_arrays_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(files, "ARRAY_CHARS", 2000)
+    rows = [(i, "x" * (3000 if i == 7 else 20), None) for i in range(600)] + [(None, 'a "b"\n', None)]
+    df = spark.createDataFrame(rows, "id long, t string, gap string").coalesce(1)
+    path = files.land_json_arrays(df, scratch_dir(spark, "arrays"))
+    parts = list(Path(path).glob("part-*"))
+    assert len(parts) > 10 and all(p.name.endswith(".gz") for p in parts)
+    arrays = [r.value for r in spark.read.text(path).collect()]
+    assert len(arrays) == len(parts) and sorted(map(len, arrays))[-2] < 2200
+    assert all('"gap":null' in a for a in arrays)
+    back = spark.read.schema(df.schema).option("multiLine", True).json(path).collect()
+    assert sorted(map(str, back)) == sorted(map(str, df.collect()))
+    none = files.land_json_arrays(df.limit(0), scratch_dir(spark, "arrays"))
+    assert spark.read.schema(df.schema).option("multiLine", True).json(none).count() == 0
+
+
+def test_an_array_file_holds_one_array_whatever_the_partitions(spark, sf_dir, monkeypatch):
+    carts = star.carts_raw(spark, sf_dir)
+    monkeypatch.setattr(star, "carts_raw", lambda *_: carts.repartition(40))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = stored_queries()["scan_json_array"](spark, sf_dir)
+        assert found.select("order_id").distinct().count() == found.count() == carts.count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

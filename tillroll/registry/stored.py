@@ -317,12 +317,7 @@ for _name in ("revenue_by_category", "dead_inventory", "discount_impact"):
 @_query
 def scan_json_array(spark, sf_dir):
     """Carts landed as files of one JSON array each."""
-    carts = star.carts_raw(spark, sf_dir)
-    path = scratch_dir(spark, "array")
-    body = F.to_json(F.struct(*carts.columns), {"ignoreNullFields": "false"})
-    pieces = carts.select(body.alias("body"), F.pmod("id", F.lit(16)).alias("piece"))
-    arrays = pieces.groupBy("piece").agg(F.concat(F.lit("["), F.array_join(F.collect_list("body"), ","), F.lit("]")).alias("value"))
-    arrays.select("value").repartition(16).write.text(path)
+    path = files.land_json_arrays(star.carts_raw(spark, sf_dir), scratch_dir(spark, "array"))
     back = spark.read.schema(RAW_CART).option("multiLine", True).json(path)
     return back.select(
         F.col("id").alias("order_id"),

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from tillroll.sources.snapshots import TIMESTAMP_FORMAT
 
 #: Keeps one CSV or JSON part file, which is compressed and read by one task, small.
 ROWS_PER_FILE = 250_000
+#: Characters of one landed JSON array; a longer record is an array of its own. Whoever writes or
+#: reads an array holds all of it.
+ARRAY_CHARS = 8 << 20
 #: Row groups of landed collections, which are read page by page.
 ROW_GROUP_BYTES = 1 << 20
 
@@ -34,6 +39,38 @@ def land_json(raw: DataFrame, base: str, prefix: str, run_ts: datetime) -> str:
     return path
 
 
+def land_json_arrays(raw: DataFrame, path: str) -> str:
+    """Raw records as files of one JSON array each, compressed; NULL fields are written too.
+    Records are put into arrays as they come, without a shuffle; files grow in number with the
+    records, not in size, as such a file is read by one task and as a whole."""
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def array() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f"[{','.join(bodies)}]"])], ["value"])
+
+        bodies, chars = [], 0
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                if bodies and chars + len(body) > ARRAY_CHARS:
+                    yield array()
+                    bodies, chars = [], 0
+                bodies.append(body)
+                chars += len(body)
+        if bodies:
+            yield array()
+
+    body = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    (
+        raw.select(body.alias("body"))
+        .mapInArrow(arrays, "value string")
+        .write.mode("overwrite")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", 1)
+        .text(path)
+    )
+    return path
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV with header, compressed. Decimals keep all their digits."""
     (
