@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import features as feat
 from tillroll.operators.evaluation import fold_of, is_training_row
 from tillroll.plans import forecast
+from tillroll.registry import queries as registry
 from tillroll.sample import star
 from tillroll.session import scratch_dir
 
@@ -223,3 +224,28 @@ def test_models_are_fitted_on_all_lines(spark):
     assert forecast.labelled(lines, forecast.ForecastSettings(labelled_rows=3000)).count() < 4000
     counts = [forecast.fit_partitions(n, 4) for n in (0, 12_000, 600_000, 36_000_000, 216_000_000)]
     assert counts == [4, 4, 6, 48, 108]
+
+
+def test_the_job_fits_and_validates_on_all_lines(spark, monkeypatch):
+    fact = spark.range(9000).selectExpr(
+        "id AS order_id", "id % 40 AS product_id", "id % 13 + 1 AS quantity_ordered",
+        "cast(id % 500 + 1 AS decimal(19,2)) AS line_total_usd", "cast(id % 10 AS decimal(28,10)) AS discount_pct",
+        "cast(id % 400 + 1 AS decimal(19,2)) AS line_discounted_usd", "cast(1 AS decimal(19,2)) AS line_savings_usd",
+    )
+    dim = spark.range(40).selectExpr(
+        "id AS product_id", "concat('p', id) AS product_name", "concat('c', id % 3) AS category",
+        "cast(id + 1 AS decimal(28,10)) AS price_usd", "cast(id % 5 AS decimal(28,10)) AS discount_pct",
+        "cast(id % 5 AS double) AS avg_rating", "id % 30 AS stock_quantity", "concat('b', id % 4) AS brand",
+    )
+    seen = {}
+    for name in ("train", "fold_scores"):
+        whole = getattr(forecast, name)
+
+        def spy(rows, settings, name=name, whole=whole):
+            seen[name] = rows.count()
+            return whole(rows, settings)
+
+        monkeypatch.setattr(forecast, name, spy)
+    run = forecast.run_forecast(fact, dim, "whole_predictions", scratch_dir(spark, "job"), SMALL)
+    assert seen == {"train": 9000, "fold_scores": 9000} and run.predictions.count() == 9000
+    assert registry.FORECAST.labelled_rows is None
